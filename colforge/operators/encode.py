@@ -1,6 +1,6 @@
 """Encoding and scaling (EN1–EN5, EN8).
 
-Label encoding is a persisted dictionary table ``(column, value, code)``: one fit covers
+Label encoding is a persisted dictionary table ``(feature, value, code)``: one fit covers
 every column (one unpivot, one distinct, one exact ranking), and decoding is the same
 join in reverse, so each column keeps its own classes (the reference kept only the last
 column's).  Codes follow the sorted distinct values; numeric columns sort numerically.
@@ -18,7 +18,7 @@ from ..functions.missing import nan_to_null
 from ..session import row_count_at_most
 from .ranking import exact_row_number
 
-DICT_SCHEMA = "column string, value string, code bigint"
+DICT_SCHEMA = "feature string, value string, code bigint"
 
 
 def _value_text(df: DataFrame, c: str) -> Column:
@@ -35,7 +35,7 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
 
 
 def fit_dictionary(df: DataFrame, cols) -> DataFrame:
-    """EN1 / EN2: dictionary ``(column, value, code)`` with code = rank of the sorted
+    """EN1 / EN2: dictionary ``(feature, value, code)`` with code = rank of the sorted
     distinct non-missing value, 0-based, per column."""
     cols = list(cols)
     if not cols:
@@ -43,16 +43,16 @@ def fit_dictionary(df: DataFrame, cols) -> DataFrame:
     items = []
     for c in cols:
         num = nan_to_null(F.col(c).cast("double")) if _is_numeric(df, c) else F.lit(None).cast("double")
-        items.append(F.struct(F.lit(c).alias("column"), _value_text(df, c).alias("value"), num.alias("_num")))
+        items.append(F.struct(F.lit(c).alias("feature"), _value_text(df, c).alias("value"), num.alias("_num")))
     long = df.select(F.inline(F.array(*items))).where(F.col("value").isNotNull())
-    distinct = long.groupBy("column", "value").agg(F.first("_num").alias("_num"))
-    ranked = exact_row_number(distinct, ["column"], [F.col("_num").asc_nulls_last(), F.col("value")], name="_rn",
+    distinct = long.groupBy("feature", "value").agg(F.first("_num").alias("_num"))
+    ranked = exact_row_number(distinct, ["feature"], [F.col("_num").asc_nulls_last(), F.col("value")], name="_rn",
                               max_groups=max(len(cols), 1))
-    return ranked.select("column", "value", (F.col("_rn") - 1).alias("code"))
+    return ranked.select("feature", "value", (F.col("_rn") - 1).alias("code"))
 
 
 def _dict_for(dictionary: DataFrame, c: str, max_broadcast_rows: int) -> DataFrame:
-    d = dictionary.where(F.col("column") == c).select(F.col("value").alias("_cf_v"), F.col("code").alias("_cf_code"))
+    d = dictionary.where(F.col("feature") == c).select(F.col("value").alias("_cf_v"), F.col("code").alias("_cf_code"))
     return F.broadcast(d) if row_count_at_most(d, max_broadcast_rows) else d
 
 
