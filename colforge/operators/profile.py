@@ -89,7 +89,7 @@ def distinct_counts(df: DataFrame, cols=None, approx: bool = False, rsd: float =
         return one.select(F.inline(F.array(*pairs)))
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), _as_text(df, c).alias("value"))
                                          for c in cols])))
-    found = (long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg()
+    found = (long.where(F.col("value").isNotNull()).select("feature", "value").distinct()
              .groupBy("feature").agg(F.count(F.lit(1)).alias("nunique")))
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "feature string")
     return names.join(found, "feature", "left").select("feature", F.coalesce("nunique", F.lit(0)).cast("bigint").alias("nunique"))
@@ -114,7 +114,7 @@ def pairwise_corr(df: DataFrame, cols) -> DataFrame:
                  (F.min(xb) == F.max(xb)).alias(f"kb{k}"), F.count(xa).alias(f"n{k}")]
         r = F.when(~F.col(f"ka{k}") & ~F.col(f"kb{k}") & (F.col(f"n{k}") > 1),
                    F.try_divide(F.col(f"c{k}"), F.col(f"sa{k}") * F.col(f"sb{k}")))
-        r = F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))
+        r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
         rows.append(F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), r.alias("corr")))
     if not rows:
         schema = "feature_1 string, feature_2 string, corr double"
