@@ -80,6 +80,9 @@ class FeatureSelector:
 
     def __init__(self, data: DataFrame, label_df: DataFrame | None = None, key: str | None = None,
                  label: str | None = None):
+        self._full = None
+        if label is not None and label_df is None and label in data.columns:
+            self._full, data = data, data.drop(label)
         self.data = data
         self.label_df, self.key, self.label = label_df, key, label
         self.base_features = list(data.columns)
@@ -120,13 +123,17 @@ class FeatureSelector:
 
     def identify_zero_importance(self, n_iterations: int = 10, num_trees: int = 100, seed: int = 2,
                                  max_depth: int = 5):
-        if self.label_df is None:
+        if self.label_df is None and self._full is None:
             raise ValueError("labels are needed for importance-based selection")
         from ..ml.models import forest_importances
-        data = get_dummies(self.data, text_columns(self.data))
+        if self._full is not None:
+            joined = get_dummies(self._full, text_columns(self._full, exclude=[self.label]))
+            data = joined.drop(self.label)
+        else:
+            data = get_dummies(self.data, text_columns(self.data))
+            joined = data.join(self.label_df, self.key)
         self.one_hot_features = [c for c in data.columns if c not in self.base_features]
         self.data_all = data
-        joined = data.join(self.label_df, self.key) if self.key else data
         feats = numeric_columns(data, exclude=[self.key] if self.key else [])
         imp = forest_importances(joined, feats, self.label, n_iterations, num_trees, seed, max_depth)
         self.feature_importances = pf.cumulative_share(imp)
@@ -150,7 +157,7 @@ class FeatureSelector:
         self.identify_missing(params["missing_threshold"])
         self.identify_single_unique()
         self.identify_collinear(params["correlation_threshold"])
-        if self.label_df is not None:
+        if self.label_df is not None or self._full is not None:
             self.identify_zero_importance(params.get("n_iterations", 10), params.get("num_trees", 100))
             self.identify_low_importance(params["cumulative_importance"])
         return self.check_removal()
