@@ -263,3 +263,20 @@ def cl7(spark, sf):
     return matches.train_label(fixtures_raw(spark, sf), halftime_table(spark, sf), "LDEM", ids=IDS, scores=SCORES,
                                probas=PROBAS, features=_FIX_FEATS, layout="small")
 
+
+
+@register("rb2_smote")
+def rb2(spark, sf):
+    from ...operators.smote import smote
+    e = table(spark, sf, "embeddings")
+    df = e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
+    return smote(df, "label", "vec_id", [f"e{i}" for i in range(64)], k=5, seed=2)
+
+
+@register("rb3_smote_nc")
+def rb3(spark, sf):
+    from ...operators.smote import smote
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal",
+                                            F.col("c_nationkey").cast("double").alias("nation"),
+                                            (F.col("c_custkey") % 3).cast("string").alias("tier"))
+    return smote(c, "c_mktsegment", "c_custkey", ["c_acctbal", "nation"], k=5, seed=2, categorical=["tier"])
