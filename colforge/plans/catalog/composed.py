@@ -327,3 +327,31 @@ def fl7b(spark, sf):
 
 
 
+
+
+@register("sm1_stream_prepare_fixtures", CL1_SQL)
+def sm1(spark, sf):
+    """CL1 over a file stream of the orders table: the streamed result equals the batch one."""
+    from ...streaming.scoring import file_stream, read_sink, run_available_now
+    schema = table(spark, sf, "orders").schema
+    stream = file_stream(spark, f"{sf.rstrip('/')}/orders*.parquet", schema)
+    raw = stream.select(*[F.expr(e).alias(k) for k, e in FIXTURES_RAW.items()])
+    prepared = prepare_fixtures(raw, "Team1Win", "v5", halftime_table(spark, sf),
+                                id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS)
+    sink = scratch_path(spark, "sm1-sink")
+    run_available_now(prepared, sink)
+    return read_sink(spark, sink)
+
+
+@register("sm2_stream_scoring")
+def sm2(spark, sf):
+    """A model fitted on the batch table scores the same rows arriving as a stream."""
+    from ...ml.models import train
+    from ...streaming.scoring import file_stream, read_sink, score_stream
+    o = table(spark, sf, "orders")
+    feats = ["o_totalprice"]
+    model = train(o, "o_orderstatus", feats, kind="forest", numTrees=10, maxDepth=4)
+    stream = file_stream(spark, f"{sf.rstrip('/')}/orders*.parquet", o.schema)
+    sink = scratch_path(spark, "sm2-sink")
+    score_stream(stream, model, sink, ["o_orderkey", "o_orderstatus"])
+    return read_sink(spark, sink)
