@@ -34,32 +34,81 @@ def _is_numeric(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.NumericType)
 
 
-def fit_dictionary(df: DataFrame, cols) -> DataFrame:
+def fit_dictionary(df: DataFrame, cols, max_local: int = 20_000) -> DataFrame:
     """EN1 / EN2: dictionary ``(feature, value, code)`` with code = rank of the sorted
-    distinct non-missing value, 0-based, per column."""
+    distinct non-missing value, 0-based, per column.
+
+    The distinct values are found in one aggregation.  When there are at most
+    ``max_local`` of them (read with a bounded ``limit``), they are ranked on the driver;
+    otherwise the ranking is the distributed ``exact_row_number``.
+    """
     cols = list(cols)
+    spark = df.sparkSession
     if not cols:
-        return df.sparkSession.createDataFrame([], DICT_SCHEMA)
+        return spark.createDataFrame([], DICT_SCHEMA)
     items = []
     for c in cols:
         num = nan_to_null(F.col(c).cast("double")) if _is_numeric(df, c) else F.lit(None).cast("double")
         items.append(F.struct(F.lit(c).alias("feature"), _value_text(df, c).alias("value"), num.alias("_num")))
     long = df.select(F.inline(F.array(*items))).where(F.col("value").isNotNull())
     distinct = long.groupBy("feature", "value").agg(F.first("_num").alias("_num"))
+    few = distinct.limit(max_local + 1).collect()
+    if len(few) <= max_local:
+        rows, by_col = [], {}
+        for r in few:
+            by_col.setdefault(r["feature"], []).append((r["_num"] is None, r["_num"] or 0.0, r["value"]))
+        for c, vals in by_col.items():
+            rows += [(c, v[2], i) for i, v in enumerate(sorted(vals))]
+        return spark.createDataFrame(rows, DICT_SCHEMA)
     ranked = exact_row_number(distinct, ["feature"], [F.col("_num").asc_nulls_last(), F.col("value")], name="_rn",
                               max_groups=max(len(cols), 1))
     return ranked.select("feature", "value", (F.col("_rn") - 1).alias("code"))
 
 
+def _inline_maps(dictionary: DataFrame, cols, max_inline: int) -> dict | None:
+    """The dictionary of ``cols`` as Python dicts when it has at most ``max_inline``
+    entries (one bounded read), else None."""
+    few = dictionary.where(F.col("feature").isin(list(cols))).limit(max_inline + 1).collect()
+    if len(few) > max_inline:
+        return None
+    maps: dict = {c: {} for c in cols}
+    for r in few:
+        maps[r["feature"]][r["value"]] = r["code"]
+    return maps
+
+
+def map_lookup(mapping: dict, key: Column, value_type: str = "bigint", key_type: str = "string") -> Column:
+    """Look ``key`` up in a literal map (NULL when absent): a codegen expression, no join."""
+    if not mapping:
+        return F.lit(None).cast(value_type)
+    kv = []
+    for k, v in mapping.items():
+        kv += [F.lit(k).cast(key_type), F.lit(v).cast(value_type)]
+    return F.try_element_at(F.create_map(*kv), key.cast(key_type))
+
+
 def _dict_for(dictionary: DataFrame, c: str, max_broadcast_rows: int) -> DataFrame:
     d = dictionary.where(F.col("feature") == c).select(F.col("value").alias("_cf_v"), F.col("code").alias("_cf_code"))
     return F.broadcast(d) if row_count_at_most(d, max_broadcast_rows) else d
 
 
 def encode_columns(df: DataFrame, dictionary: DataFrame, cols, unseen: int | None = -1,
-                   suffix: str = "", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   suffix: str = "", max_broadcast_rows: int = 1_000_000, max_inline: int = 20_000) -> DataFrame:
     """EN1: replace each column by its code (``suffix`` keeps the original).  A value
-    missing from the dictionary gets ``unseen`` (NULL when None); missing stays NULL."""
+    missing from the dictionary gets ``unseen`` (NULL when None); missing stays NULL.
+
+    A dictionary of at most ``max_inline`` entries becomes literal map lookups inside
+    the projection (no join, no shuffle); a larger one is joined, broadcast only below
+    ``max_broadcast_rows``."""
+    cols = list(cols)
+    maps = _inline_maps(dictionary, cols, max_inline) if cols else {}
+    if maps is not None:
+        out = {}
+        for c in cols:
+            code = map_lookup(maps[c], _value_text(df, c))
+            out[f"{c}{suffix}"] = F.when(F.col(c).isNull(), F.lit(None).cast("bigint")).otherwise(
+                F.coalesce(code, F.lit(unseen).cast("bigint")))
+        return df.withColumns(out)
     out = df
     for c in cols:
         d = _dict_for(dictionary, c, max_broadcast_rows)
@@ -71,8 +120,13 @@ def encode_columns(df: DataFrame, dictionary: DataFrame, cols, unseen: int | Non
 
 
 def decode_columns(df: DataFrame, dictionary: DataFrame, cols, suffix: str = "",
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                   max_broadcast_rows: int = 1_000_000, max_inline: int = 20_000) -> DataFrame:
     """EN3: codes back to their values (text) through the same dictionary."""
+    cols = list(cols)
+    maps = _inline_maps(dictionary, cols, max_inline) if cols else {}
+    if maps is not None:
+        return df.withColumns({f"{c}{suffix}": map_lookup({v: k for k, v in maps[c].items()}, F.col(c), "string",
+                                                          "bigint") for c in cols})
     out = df
     for c in cols:
         d = _dict_for(dictionary, c, max_broadcast_rows)

@@ -50,9 +50,18 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight",
                        max_classes: int = 100_000) -> DataFrame:
-    """AG3 applied: attach the balanced weight of each row's class (for ``weightCol``)."""
-    weights = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(bounded_broadcast(weights, max_classes), on=label, how="left")
+    """AG3 applied: attach the balanced weight of each row's class (for ``weightCol``).
+
+    The class-count sized weight table is read behind a bound and applied as a literal
+    map lookup, so the rows are not joined or shuffled."""
+    weights = class_weights(df, label).limit(max_classes + 1).collect()
+    if len(weights) > max_classes:
+        w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
+        return df.join(bounded_broadcast(w, max_classes), on=label, how="left")
+    from .encode import map_lookup
+    ktype = df.schema[label].dataType.simpleString()
+    return df.withColumn(weight_col, map_lookup({r[label]: float(r["weight"]) for r in weights}, F.col(label),
+                                                "double", ktype))
 
 
 def missing_fraction(df: DataFrame, cols=None) -> DataFrame:
@@ -97,29 +106,32 @@ def distinct_counts(df: DataFrame, cols=None, approx: bool = False, rsd: float =
 
 def pairwise_corr(df: DataFrame, cols) -> DataFrame:
     """AG6: Pearson correlation of every column pair (i < j in the given order), over
-    the rows where both values are present, in one aggregation.
-
-    A pair with a constant side (``min = max`` over its rows) or fewer than two rows
-    gives NULL, which never passes a threshold; ANSI mode cannot raise because the
-    division is ``try_divide``.  Output: ``feature_1, feature_2, corr``.
+    the rows where both values are present.
+
+    The pairs are unpivoted (``inline``) and aggregated by pair: the aggregation combines
+    map-side, so the shuffle carries one partial row per pair and task, and the
+    generated code stays small however many pairs there are.  A pair with a constant
+    side (``min = max`` over its rows) or fewer than two rows gives NULL, which never
+    passes a threshold; ``try_divide`` keeps ANSI mode from raising.
+    Output: ``feature_1, feature_2, corr``.
     """
     cols = list(cols)
+    pairs = list(combinations(cols, 2))
+    schema = "feature_1 string, feature_2 string, corr double"
+    spark = df.sparkSession
+    if not pairs:
+        return spark.createDataFrame([], schema)
     xs = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
-    aggs, rows = [], []
-    for k, (a, b) in enumerate(combinations(cols, 2)):
-        both = xs[a].isNotNull() & xs[b].isNotNull()
-        xa, xb = F.when(both, xs[a]), F.when(both, xs[b])
-        aggs += [F.covar_pop(xa, xb).alias(f"c{k}"), F.stddev_pop(xa).alias(f"sa{k}"),
-                 F.stddev_pop(xb).alias(f"sb{k}"), (F.min(xa) == F.max(xa)).alias(f"ka{k}"),
-                 (F.min(xb) == F.max(xb)).alias(f"kb{k}"), F.count(xa).alias(f"n{k}")]
-        r = F.when(~F.col(f"ka{k}") & ~F.col(f"kb{k}") & (F.col(f"n{k}") > 1),
-                   F.try_divide(F.col(f"c{k}"), F.col(f"sa{k}") * F.col(f"sb{k}")))
-        r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
-        rows.append(F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), r.alias("corr")))
-    if not rows:
-        schema = "feature_1 string, feature_2 string, corr double"
-        return df.sparkSession.createDataFrame([], schema)
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    items = [F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), xs[a].alias("x"), xs[b].alias("y"))
+             for a, b in pairs]
+    long = df.select(F.inline(F.array(*items))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    agg = long.groupBy("feature_1", "feature_2").agg(
+        F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"),
+        (F.min("x") == F.max("x")).alias("kx"), (F.min("y") == F.max("y")).alias("ky"), F.count(F.lit(1)).alias("n"))
+    r = F.when(~F.col("kx") & ~F.col("ky") & (F.col("n") > 1), F.try_divide(F.col("c"), F.col("sx") * F.col("sy")))
+    r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
+    names = spark.createDataFrame(pairs, "feature_1 string, feature_2 string")
+    return names.join(agg.select("feature_1", "feature_2", r.alias("corr")), ["feature_1", "feature_2"], "left")
 
 
 def cumulative_share(imp: DataFrame, feature: str = "feature", value: str = "importance") -> DataFrame:
