@@ -18,8 +18,21 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; wide projections of CASE
+    # chains (bands, targets, 100-column fixture rows) otherwise run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+_TUNING = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+
+
+def tune_session(spark: SparkSession) -> None:
+    """Apply the library's runtime SQL settings to a session someone else built, but only
+    where the session still has Spark's default value."""
+    for key, (default, value) in _TUNING.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
 
 def get_session(app: str = "colforge", master: str | None = None,
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
@@ -38,6 +51,7 @@ def get_session(app: str = "colforge", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    tune_session(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
