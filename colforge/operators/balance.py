@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import exact_row_number, md5_order
-from .split import class_counts
+from .split import _ranked_counts
 
 
 def undersample(df: DataFrame, label: str, key_cols, cut=None, target: int | None = None, seed=42) -> DataFrame:
@@ -21,10 +21,10 @@ def undersample(df: DataFrame, label: str, key_cols, cut=None, target: int | Non
     (``cut=[1]``); its two-class form cuts the larger class to the smaller one.
     """
     key_cols = list(key_cols)
-    counts = class_counts(df, label)
-    target = min(counts.values()) if target is None else target
-    cut = list(counts) if cut is None else list(cut)
     ranked = exact_row_number(df.withColumn("_cf_h", md5_order(key_cols, seed)), [label], ["_cf_h", *key_cols],
                               name="_cf_rn")
+    counts = _ranked_counts(ranked, label)
+    target = min(counts.values()) if target is None else target
+    cut = list(counts) if cut is None else list(cut)
     keep = ~F.col(label).isin(*cut) | (F.col("_cf_rn") <= F.lit(target))
     return ranked.where(keep).drop("_cf_h", "_cf_rn")

@@ -54,19 +54,29 @@ def _ranked(df: DataFrame, label: str | None, key_cols, seed, name="_cf_rn") ->
     return exact_row_number(df.withColumn("_cf_h", h), by, ["_cf_h", *key_cols], name=name).drop("_cf_h")
 
 
+def _ranked_counts(ranked: DataFrame, label: str | None, rn: str = "_cf_rn", max_classes: int = 10_000) -> dict:
+    """Class sizes read back from the materialised ranking (max row number per class),
+    so the upstream plan is not executed a second time just to count."""
+    if label is None:
+        return {None: ranked.agg(F.max(rn)).first()[0] or 0}
+    counts = ranked.groupBy(label).agg(F.max(rn).alias("n"))
+    if not row_count_at_most(counts, max_classes):
+        raise ValueError(f"{label} has more than {max_classes} classes")
+    return {r[label]: r["n"] for r in counts.collect()}
+
+
 def stratified_split(df: DataFrame, label: str, key_cols, test_ratio: float = 0.15, seed=42,
                      split_col: str = "split", stratify: bool = True) -> DataFrame:
     """SP1 / SP2: mark every row ``train`` or ``test``; test size = int(n · ratio),
     spread over classes proportionally.  Falls back to an unstratified split when a
     class has fewer than two rows (the reference's ``except`` path)."""
     key_cols = list(key_cols)
-    counts = class_counts(df, label)
+    ranked = _ranked(df, label, key_cols, seed)
+    counts = _ranked_counts(ranked, label)
     n = sum(counts.values())
     n_test = int(n * test_ratio)
     if stratify and min(counts.values(), default=0) >= 2:
-        alloc = allocate(counts, n_test)
-        ranked = _ranked(df, label, key_cols, seed)
-        is_test = F.col("_cf_rn") <= _alloc_expr(label, alloc)
+        is_test = F.col("_cf_rn") <= _alloc_expr(label, allocate(counts, n_test))
     else:
         ranked = _ranked(df, None, key_cols, seed)
         is_test = F.col("_cf_rn") <= F.lit(n_test)
@@ -81,12 +91,12 @@ def stacking_split(df: DataFrame, label: str, key_cols, level0_ratio: float = 0.
     its test part is the first int(n0 · 0.15) of those, again stratified.  Level-1 rows
     are never seen by level-0 models (no stacking leakage)."""
     key_cols = list(key_cols)
-    counts = class_counts(df, label)
+    ranked = _ranked(df, label, key_cols, seed)
+    counts = _ranked_counts(ranked, label)
     n = sum(counts.values())
     alloc0 = allocate(counts, int(n * level0_ratio))
     n0 = sum(alloc0.values())
     alloc0t = allocate(alloc0, int(n0 * level0_test_ratio))
-    ranked = _ranked(df, label, key_cols, seed)
     rn = F.col("_cf_rn")
     fold = (F.when(rn <= _alloc_expr(label, alloc0t), "level0_test")
              .when(rn <= _alloc_expr(label, alloc0), "level0_train").otherwise("level1"))
@@ -96,9 +106,8 @@ def stacking_split(df: DataFrame, label: str, key_cols, level0_ratio: float = 0.
 def head_tail_split(df: DataFrame, order_cols, ratio: float, split_col: str = "split") -> DataFrame:
     """SP4: the first int(n · ratio) rows in the given (total) order are ``head``.
     Ranked with range partitioning, not a single-partition window."""
-    n = df.count()
-    cut = int(n * ratio)
     ranked = exact_row_number(df, [], list(order_cols), name="_cf_rn")
+    cut = int(_ranked_counts(ranked, None)[None] * ratio)
     return ranked.withColumn(split_col, F.when(F.col("_cf_rn") <= cut, "head").otherwise("tail")).drop("_cf_rn")
 
 
