@@ -320,7 +320,28 @@ def cl3(spark, sf):
     return out
 
 
-@register("fl7_fixture_cleaning_report")
+def _fixture_report_sql() -> str:
+    raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
+    p = PRESETS["v5"]
+    ranged = [c for c in PROBAS if c != "Over0_5goals"]
+    steps = [("season", f"season > {p.season_gt}"),
+             ("round", f"CAST(trunc(coalesce(round, 0)) AS INTEGER) >= {p.round_ge}"),
+             ("BW1", "BW1 > 0"), ("BW2", "BW2 > 0"), ("BWN", "BWN > 0"),
+             ("probabilities", " AND ".join(f"try_cast({c} AS DOUBLE) BETWEEN 0 AND 1" for c in ranged)),
+             ("lineup", "NOT (HTPlayerG IS NULL OR HTPlayerG = '0')")]
+    case = " ".join(f"WHEN NOT coalesce({c}, false) THEN {i}" for i, (_, c) in enumerate(steps, 1))
+    sums = ", ".join(f"CAST(sum(CASE WHEN fs = {i} THEN 1 ELSE 0 END) AS BIGINT) AS r{i}" for i in range(1, len(steps) + 1))
+    parts, before = [], "n0"
+    for i, (name, _) in enumerate(steps, 1):
+        parts.append(f"SELECT {i} AS step_no, '{name}' AS step, {before} AS rows_before, r{i} AS rows_removed, "
+                     f"{before} - r{i} AS rows_after FROM c")
+        before = f"({before} - r{i})"
+    parts.append(f"SELECT 0, 'total', n0, n0 - {before}, {before} FROM c")
+    return (f"WITH raw AS (SELECT {raw} FROM orders), f AS (SELECT CASE {case} ELSE 0 END AS fs FROM raw), "
+            f"c AS (SELECT count(*) AS n0, {sums} FROM f) " + " UNION ALL ".join(parts))
+
+
+@register("fl7_fixture_cleaning_report", _fixture_report_sql())
 def fl7b(spark, sf):
     from ...plans.fixtures import fixture_cleaning_report
     return fixture_cleaning_report(fixtures_raw(spark, sf), "v5", proba_cols=PROBAS, id_cols=IDS)

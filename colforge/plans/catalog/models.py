@@ -166,6 +166,16 @@ def ml11(spark, sf):
                                                            *[f"{t}_pred" for t in _CHAIN_TARGETS])
 
 
+@register("ml12_chain_training")
+def ml12(spark, sf):
+    """ML12: per link of the chain, the features it was trained on and its classes."""
+    p = _players_with_targets(spark, sf).select("Nextfixture_id", "player_id", *_P_FEATS, *_CHAIN_TARGETS)
+    chain = fit_chain(p, _CHAIN_TARGETS, _P_FEATS, **_SMALL_FOREST)
+    rows = [(i, t, ",".join(m.numeric), len(m.classes), m.pipeline.stages[-1].getNumTrees)
+            for i, (t, m) in enumerate(zip(chain.targets, chain.models), start=1)]
+    return spark.createDataFrame(rows, "link int, target string, features string, n_classes int, n_trees int")
+
+
 @register("ml13_match_prediction")
 def ml13(spark, sf):
     return matches.predict_matches(fixtures_raw(spark, sf), halftime_table(spark, sf), ["Team1Win"],
