@@ -22,16 +22,19 @@ def _clean(df: DataFrame, c: str) -> Column:
     return nan_to_null(x) if t in ("double", "float") else x
 
 
-def group_mean(df: DataFrame, key: str, col: str, name: str | None = None) -> DataFrame:
+def group_mean(df: DataFrame, key: str, col: str, name: str | None = None,
+               max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """AG1: per-row mean of ``col`` over the row's ``key`` group.
 
     Aggregate-then-join rather than a window: the aggregation combines map-side, so a
-    key holding a third of the rows does not land in one task, and AQE splits a skewed
-    join partition.  Rows with a NULL key get NULL (pandas drops NaN groups).
+    key holding a third of the rows does not land in one task.  The means (one row per
+    key) are broadcast when their count is proven small; otherwise the join shuffles and
+    AQE splits a skewed partition.  Rows with a NULL key get NULL (pandas drops NaN
+    groups).
     """
     name = name or f"{col}_mean"
     means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(_clean(df, col)).alias(name))
-    return df.join(means, on=key, how="left")
+    return df.join(bounded_broadcast(means, max_broadcast_rows), on=key, how="left")
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
