@@ -70,6 +70,12 @@ def collinear_submatrix(corr: DataFrame, pairs: DataFrame) -> DataFrame:
                                         F.col("feature_2").alias("col_feature"), "corr")
 
 
+def _local(stats: DataFrame, schema: str) -> DataFrame:
+    """A per-feature statistics table (one row per column) computed once and kept as a
+    local relation, so later thresholds and unions do not rescan the data."""
+    return stats.sparkSession.createDataFrame(stats.collect(), schema)
+
+
 class FeatureSelector:
     """The five identification methods and removal over one DataFrame.
 
@@ -94,7 +100,7 @@ class FeatureSelector:
         self.feature_importances: DataFrame | None = None
 
     def identify_missing(self, threshold: float):
-        stats = pf.missing_fraction(self.data)
+        stats = _local(pf.missing_fraction(self.data), "feature string, missing_fraction double")
         self.records["missing_stats"] = stats
         rec = missing_above(stats, threshold)
         self.records["missing"] = rec
@@ -102,7 +108,7 @@ class FeatureSelector:
         return rec
 
     def identify_single_unique(self):
-        stats = pf.distinct_counts(self.data)
+        stats = _local(pf.distinct_counts(self.data), "feature string, nunique bigint")
         self.records["unique_stats"] = stats
         rec = single_unique(stats)
         self.records["single_unique"] = rec
@@ -115,7 +121,9 @@ class FeatureSelector:
             data = get_dummies(self.data, text_columns(self.data))
             self.one_hot_features = [c for c in data.columns if c not in self.base_features]
             self.data_all = data
-        self.corr = pf.pairwise_corr(data, numeric_columns(data))
+        # the pair table is feature-count sized (p(p-1)/2 rows): read it once, keep it local
+        corr = pf.pairwise_corr(data, numeric_columns(data)).collect()
+        self.corr = data.sparkSession.createDataFrame(corr, "feature_1 string, feature_2 string, corr double")
         rec = collinear_pairs(self.corr, threshold)
         self.records["collinear"] = rec
         self.ops["collinear"] = list(dict.fromkeys(r["drop_feature"] for r in rec.collect()))
