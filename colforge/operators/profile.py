@@ -37,18 +37,24 @@ def group_mean(df: DataFrame, key: str, col: str, name: str | None = None,
     return df.join(bounded_broadcast(means, max_broadcast_rows), on=key, how="left")
 
 
+def _counts_and_totals(df: DataFrame, label: str):
+    """Per-value counts plus the two scalars (rows, distinct values) read with one
+    aggregation over the counts, so no single-partition window spans all values."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    tot = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    return counts, (tot["n"] or 0), (tot["k"] or 0)
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """AG2: class counts and shares (``value_counts``), missing labels excluded."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("ratio", F.col("count") / total)
+    counts, n, _ = _counts_and_totals(df, label)
+    return counts.withColumn("ratio", F.col("count") / F.lit(n))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """AG3: balanced weights n / (k · n_c) per class."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy()
-    return counts.withColumn("weight", F.sum("count").over(w) / (F.count(F.lit(1)).over(w) * F.col("count")))
+    counts, n, k = _counts_and_totals(df, label)
+    return counts.withColumn("weight", F.lit(n) / (F.lit(k) * F.col("count")))
 
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight",
