@@ -30,6 +30,7 @@ from ..presets import MAX_TREE_DEPTH, MLP_LAYOUTS
 # Probability column names of the three-class labels, in class order.
 COMPAT_NAMES = {"FTR": ("D", "W", "L"), "trend": ("D", "O", "I")}
 TREND_LABELS = {"NextTrend", "NextTrendRng"}
+MAX_CLASSES = 10_000
 
 
 def prob_name(c) -> str:
@@ -134,7 +135,10 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
     numeric, categorical = list(numeric), list(categorical)
     data = df.where(F.col(label).isNotNull())
     labels = labels if labels is not None else label_dictionary(data, label)
-    classes = [r["value"] for r in labels.orderBy("code").collect()]
+    top = labels.limit(MAX_CLASSES + 1).collect()
+    if len(top) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    classes = [r["value"] for r in sorted(top, key=lambda r: r["code"])]
     data = encode_columns(data, labels.withColumn("feature", F.lit(label)), [label], suffix="_cf_code")
     data = data.withColumn("_cf_label", F.col(f"{label}_cf_code").cast("double"))
     if balanced:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import row_count_at_most
@@ -52,18 +52,16 @@ def per_class(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
-    """EV2: per-class rows plus ``macro avg`` and ``weighted avg`` rows; ``label`` is text."""
+    """EV2: per-class rows plus ``macro avg`` and ``weighted avg`` rows; ``label`` is text.
+    The two summary rows are plain aggregations over the per-class table."""
     pc = per_class(df, y, p).withColumn("label", F.col("label").cast("string"))
-    w = Window.partitionBy()
-    n = F.sum("support").over(w)
-    macro = pc.select(F.lit("macro avg").alias("label"), F.avg("precision").over(w).alias("precision"),
-                      F.avg("recall").over(w).alias("recall"), F.avg("f1").over(w).alias("f1"),
-                      n.alias("support")).limit(1)
-    weighted = pc.select(F.lit("weighted avg").alias("label"),
-                         (F.sum(F.col("precision") * F.col("support")).over(w) / n).alias("precision"),
-                         (F.sum(F.col("recall") * F.col("support")).over(w) / n).alias("recall"),
-                         (F.sum(F.col("f1") * F.col("support")).over(w) / n).alias("f1"),
-                         n.alias("support")).limit(1)
+    macro = pc.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
+                   F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), F.sum("support").alias("support"))
+    weighted = pc.agg(F.lit("weighted avg").alias("label"),
+                      (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
+                      (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
+                      (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
+                      F.sum("support").alias("support"))
     return pc.unionByName(macro).unionByName(weighted)
 
 
