@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .missing import col_, nan_to_null, to_double
+from .missing import col_, to_double
 
 IDNULL = "IDnull"
 
@@ -26,17 +26,17 @@ def to_date(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 def sum_pair(a, b) -> Column:
     """PJ5 ``totgoal``: a + b."""
-    return nan_to_null(col_(a).cast("double")) + nan_to_null(col_(b).cast("double"))
+    return to_double(a) + to_double(b)
 
 
 def diff_pair(a, b) -> Column:
     """PJ5 / PJ6: a − b."""
-    return nan_to_null(col_(a).cast("double")) - nan_to_null(col_(b).cast("double"))
+    return to_double(a) - to_double(b)
 
 
 def per_unit(c, unit) -> Column:
     """PJ7: c / unit without ANSI division errors (unit 0 → NULL)."""
-    return F.try_divide(col_(c).cast("double"), col_(unit).cast("double"))
+    return F.try_divide(to_double(c), to_double(unit))
 
 
 def indicator_flags(c, codes=WINNER_CODES, prefix: str | None = None) -> dict[str, Column]:
@@ -49,7 +49,7 @@ def indicator_flags(c, codes=WINNER_CODES, prefix: str | None = None) -> dict[st
 
 def shift_negative(c, offset: float = 4.0) -> Column:
     """PJ9: x < 0 → x + offset, otherwise (and missing) 0."""
-    x = nan_to_null(col_(c).cast("double"))
+    x = to_double(c)
     return F.when(x < 0, x + F.lit(offset)).otherwise(F.lit(0.0))
 
 
@@ -61,12 +61,12 @@ def replace_idnull(c) -> Column:
 
 def zero_to_null(c) -> Column:
     """PJ12: 0.0 → missing."""
-    x = nan_to_null(col_(c).cast("double"))
+    x = to_double(c)
     return F.when(x == 0, F.lit(None).cast("double")).otherwise(x)
 
 
 def null_to_zero(c) -> Column:
-    return F.coalesce(nan_to_null(col_(c).cast("double")), F.lit(0.0))
+    return F.coalesce(to_double(c), F.lit(0.0))
 
 
 def strip_id(c, prefix: str = "ID", dtype: str = "bigint") -> Column:
@@ -79,7 +79,7 @@ def row_mean_nonzero(cols) -> Column:
 
     Plain arithmetic (no arrays) keeps it inside whole-stage codegen.
     """
-    vals = [nan_to_null(col_(c).cast("double")) for c in cols]
+    vals = [to_double(c) for c in cols]
     present = [F.when(v != 0, v) for v in vals]
     total = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in present])
     count = reduce(lambda a, b: a + b, [p.isNotNull().cast("int") for p in present])
@@ -111,12 +111,12 @@ def minutes_between(later, earlier) -> Column:
 
 def round_half_even(c, scale: int = 0) -> Column:
     """PJ17: ``np.around``: half to even."""
-    return F.bround(col_(c).cast("double"), scale)
+    return F.bround(to_double(c), scale)
 
 
 def coalesce_sibling(c, sibling) -> Column:
     """PJ10: fill a column from a sibling column."""
-    return F.coalesce(nan_to_null(col_(c).cast("double")), nan_to_null(col_(sibling).cast("double")))
+    return F.coalesce(to_double(c), to_double(sibling))
 
 
 def all_between(cols, lo: float = 0.0, hi: float = 1.0) -> Column:

@@ -12,11 +12,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .missing import col_, nan_to_null
+from .missing import to_double
 
 
 def _d(c) -> Column:
-    return nan_to_null(col_(c).cast("double"))
+    return to_double(c)
 
 
 def _all(*conds) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bands import band_half, band_unit
-from .missing import col_, nan_to_null
+from .missing import col_, to_double
 
 # Distance thresholds and their target-name suffixes, in output order.
 DISTANCE_THRESHOLDS = (("15", 1.5), ("10", 1.0), ("07", 0.7), ("05", 0.5), ("03", 0.3), ("02", 0.2))
@@ -19,7 +19,7 @@ EXACT_GOALS = tuple(range(6))
 
 
 def _d(c) -> Column:
-    return nan_to_null(col_(c).cast("double"))
+    return to_double(c)
 
 
 def flag(cond: Column) -> Column:

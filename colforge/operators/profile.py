@@ -10,7 +10,6 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.missing import nan_to_null
 from ..session import bounded_broadcast
