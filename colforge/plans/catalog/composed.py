@@ -214,6 +214,8 @@ FIXTURES_RAW = {
     "Over4_5goals": "CAST(o_custkey % 101 AS STRING) || 'e-2'",
     "LDEM_YES": "CASE WHEN o_custkey % 23 = 0 THEN 'NA' ELSE CAST(o_custkey % 90 AS STRING) || 'e-2' END",
 }
+FIXTURES_RAW["homeWin_halftime"] = "CAST(o_orderkey % 10 AS DOUBLE) / 10"
+FIXTURES_RAW["awayWin_halftime"] = "CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE CAST(o_custkey % 7 AS DOUBLE) / 10 END"
 for _i, _c in enumerate(IDS):
     FIXTURES_RAW[_c] = (f"CASE WHEN o_orderkey % {7 + _i} = 0 THEN NULL WHEN o_orderkey % {17 + _i} = 0 THEN '0' "
                         f"ELSE 'ID' || CAST(o_custkey + {_i} AS STRING) END")
@@ -303,6 +305,65 @@ def cl1(spark, sf):
     return _cl1(spark, sf)
 
 
+def _fixtures_base_sql(label: str = "Team1Win") -> str:
+    """The *base* preset: group-mean half-time rates over all rows, only W1/W2 coerced,
+    every probability range-checked, ids replaced after the fill, G/D1/M1/F1 required
+    on both sides, ids kept."""
+    p = PRESETS["base"]
+    raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
+    text_probas = [c for c in PROBAS if c not in p.numeric_cols]
+    groups = {}
+    for c in SCORES:
+        side, slot = c[:2], c[len("HTPlayer"):-len("Score")]
+        if slot[0] in "DMF":
+            groups.setdefault(f"{side}Player{slot[0]}Score", []).append(c)
+    means = ", ".join(f"{_mean_sql(cols)} AS {g}" for g, cols in groups.items())
+    where = " AND ".join([f"season > {p.season_gt}", f"round >= {p.round_ge}", "BW1 > 0", "BW2 > 0", "BWN > 0"]
+                         + [f"try_cast({c} AS DOUBLE) BETWEEN 0 AND 1" for c in PROBAS])
+    ftr = "CASE WHEN h - a > 0 THEN 1 WHEN h - a < 0 THEN 2 WHEN h - a = 0 THEN 0 ELSE -1 END"
+    required = [s for s in p.required_slots if s in IDS]
+    nums_fill = (["HTGS", "HTGC", "HTP", "ATGS", "ATGC", "ATP", "HTGD", "ATGD", "DiffWin12", "DiffWin1N", "DiffWin2N",
+                  "homeWin_halftime", "awayWin_halftime", "pred_under_over", "BLDEM_YES", "W1", "W2"]
+                 + list(groups))
+    text_fill = ["country_name", "league_name", "homeTeam", "awayTeam", "region_name"] + text_probas + IDS
+    return f"""
+WITH raw AS (SELECT {raw} FROM orders),
+s1 AS (SELECT fixture_id, league_id, season, country_name, league_name, homeTeam, awayTeam, region_name,
+              CAST(trunc(coalesce(round, 0)) AS INTEGER) AS round, CAST(trunc(coalesce(HTF, 0)) AS INTEGER) AS HTF,
+              CAST(trunc(coalesce(ATF, 0)) AS INTEGER) AS ATF, HTGS, HTGC, HTP, ATGS, ATGC, ATP,
+              try_cast(W1 AS DOUBLE) AS W1, try_cast(W2 AS DOUBLE) AS W2, {', '.join(text_probas)},
+              BW1, BWN, BW2, BLDEM_YES, pred_under_over, pred_goals_home, pred_goals_away, pred_match_winner,
+              homeWin_halftime, awayWin_halftime, goalsHomeTeam AS h, goalsAwayTeam AS a, {', '.join(IDS)},
+              {', '.join(f'CASE WHEN {c} = 0 THEN NULL ELSE {c} END AS {c}' for c in SCORES)} FROM raw),
+s2 AS (SELECT * EXCLUDE ({', '.join(SCORES)}), {means}, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in SCORES)},
+              coalesce(CAST(({ftr}) = 1 AS INTEGER), 0) AS {label} FROM s1),
+s3 AS (SELECT * REPLACE (avg(homeWin_halftime) OVER (PARTITION BY league_id) AS homeWin_halftime,
+                         avg(awayWin_halftime) OVER (PARTITION BY league_id) AS awayWin_halftime) FROM s2),
+s4 AS (SELECT * REPLACE (CASE WHEN pred_goals_home < 0 THEN pred_goals_home + 4 ELSE 0.0 END AS pred_goals_home,
+                         CASE WHEN pred_goals_away < 0 THEN pred_goals_away + 4 ELSE 0.0 END AS pred_goals_away),
+              coalesce(CAST(pred_match_winner = '1' AS INTEGER), 0) AS pred_match_winner_1,
+              coalesce(CAST(pred_match_winner = '2' AS INTEGER), 0) AS pred_match_winner_2,
+              coalesce(CAST(pred_match_winner = 'N' AS INTEGER), 0) AS pred_match_winner_N,
+              coalesce(CAST(pred_match_winner = '1 N' AS INTEGER), 0) AS pred_match_winner_1N,
+              coalesce(CAST(pred_match_winner = 'N 2' AS INTEGER), 0) AS pred_match_winner_N2 FROM s3),
+s5 AS (SELECT * FROM s4 WHERE {where}),
+s6 AS (SELECT * REPLACE (HTGS / round AS HTGS, HTGC / round AS HTGC, HTP / round AS HTP,
+                         ATGS / round AS ATGS, ATGC / round AS ATGC, ATP / round AS ATP),
+              W1 - W2 AS DiffWin12, W1 - try_cast(WN AS DOUBLE) AS DiffWin1N, W2 - try_cast(WN AS DOUBLE) AS DiffWin2N FROM s5),
+s7 AS (SELECT *, HTGS - HTGC AS HTGD, ATGS - ATGC AS ATGD FROM s6),
+s8 AS (SELECT * EXCLUDE (h, a, pred_match_winner)
+       REPLACE ({', '.join(f'coalesce({c}, 0.0) AS {c}' for c in nums_fill)},
+                {', '.join(f"coalesce({c}, '0') AS {c}" for c in text_fill)}) FROM s7),
+s9 AS (SELECT * REPLACE ({', '.join(f"CASE WHEN {c} = '0' THEN 'IDnull' ELSE {c} END AS {c}" for c in IDS)}) FROM s8)
+SELECT * FROM s9 WHERE {' AND '.join(f"{c} <> 'IDnull'" for c in required)}"""
+
+
+@register("cl1_prepare_fixtures_base", _fixtures_base_sql("Team1Win"))
+def cl1_base(spark, sf):
+    return prepare_fixtures(fixtures_raw(spark, sf), "Team1Win", "base", None,
+                            id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS)
+
+
 _NAMES = ["country_name", "league_name", "homeTeam", "awayTeam", "region_name"]
 
 
