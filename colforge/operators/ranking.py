@@ -21,6 +21,22 @@ from ..session import materialize
 _PID, _MID, _CNT, _FIRST, _BEFORE = "_cf_pid", "_cf_mid", "_cf_cnt", "_cf_first", "_cf_before"
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def target_partitions(df: DataFrame) -> int:
+    """Number of range partitions: at least ``spark.sql.shuffle.partitions``, and enough
+    that each holds about 256 MB by Catalyst's size estimate of the plan (a 100 TB
+    input is not squeezed into a few thousand tasks)."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate only
+        size = 0
+    return max(n, min(-(-size // TARGET_PARTITION_BYTES), 1_000_000))
+
+
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
@@ -33,8 +49,7 @@ def exact_row_number(df: DataFrame, by: list[str], order: list, name: str = "rn"
     ``max_groups``); for many small groups a plain window is the right tool.
     ``order`` items are column names or sort expressions (``F.col(x).desc()``).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or target_partitions(df)
     keys = _cols(by) + _cols(order)
     ranked = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
