@@ -74,9 +74,7 @@ def load_for_prediction(df: DataFrame, score_cols, ts_col: str, since) -> DataFr
 def write_keyed(df: DataFrame, path: str, partition_cols=(), fmt: str = "parquet") -> None:
     """IO7: idempotent sink: with ``partitionOverwriteMode=dynamic`` a rerun replaces
     only the partitions present in ``df``; nothing is sent row by row."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.save(path)
