@@ -105,3 +105,17 @@ def test_first_per_key(spark):
     df = spark.createDataFrame([(1, 2, "x"), (1, 1, "y"), (2, 5, "z")], "k int, o int, v string")
     got = {r.k: r.v for r in joins.first_per_key(df, "k", ["o"], ["v"]).collect()}
     assert got == {1: "y", 2: "z"}
+
+
+def test_lineup_enrich_paths_agree(spark):
+    from colforge.operators.lineup import enrich_lineup
+    from colforge.plans.catalog.relational import _SLOTS, _jn3_wide
+    wide = _jn3_wide(spark, SF)
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    a = enrich_lineup(wide, "l_orderkey", _SLOTS, part, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"])
+    b = enrich_lineup(wide, "l_orderkey", _SLOTS, part, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"],
+                      max_broadcast_rows=1)
+    cols = sorted(a.columns)
+    assert cols == sorted(b.columns)
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+    assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
