@@ -220,10 +220,9 @@ def en6(spark, sf):
 def en7(spark, sf):
     from pyspark.ml import Pipeline
     o = _orders(spark, sf)
-    train = o.where((F.col("o_orderkey") % 2 == 0) & (F.col("o_orderpriority") != "5-LOW"))
+    train = o.where(F.col("o_orderpriority") != "5-LOW")
     pipe = Pipeline(stages=ml.feature_stages(_O_FEATS, ["o_orderpriority"])).fit(train)
-    new = o.where(F.col("o_orderkey") % 2 == 1)
-    return pipe.transform(new).select("o_orderkey", "o_orderpriority",
+    return pipe.transform(o).select("o_orderkey", "o_orderpriority",
                                       vector_to_array("o_orderpriority_ohe").alias("onehot"))
 
 
