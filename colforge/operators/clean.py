@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.missing import any_null, col_, nan_to_null, not_in_keep_missing, to_double
 
@@ -34,31 +33,32 @@ def to_numeric(df: DataFrame, cols, dtype: str = "double") -> DataFrame:
 def fill_groups(df: DataFrame, fills: dict) -> DataFrame:
     """PJ11: fill missing values by column group, ``{value: [columns]}``.
 
-    Unlike ``na.fill`` it also fills NaN in float columns and text columns with text
-    values only where asked (M8).
+    Numeric values go to numeric columns and text values to text columns through one
+    ``na.fill`` call (which also replaces NaN in float columns, M8); a value whose type
+    differs from its column's is cast and coalesced explicitly.
     """
     types = dict(df.dtypes)
-    out = {}
+    direct, cast = {}, {}
     for value, cols in fills.items():
         for c in cols:
             if c not in types:
                 continue
-            x = F.col(c)
-            if types[c] in ("double", "float"):
-                x = nan_to_null(x)
-            out[c] = F.coalesce(x, F.lit(value).cast(types[c]))
-    return df.withColumns(out)
+            numeric_col = types[c] not in ("string", "date", "timestamp", "timestamp_ntz", "boolean")
+            numeric_val = isinstance(value, (int, float)) and not isinstance(value, bool)
+            if (numeric_col and numeric_val) or (types[c] == "string" and isinstance(value, str)):
+                direct[c] = value
+            else:
+                cast[c] = value
+    out = df.na.fill(direct) if direct else df
+    if cast:
+        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in cast.items()})
+    return out
 
 
 def fill_all(df: DataFrame, number=0, text: str = "0") -> DataFrame:
-    """``fillna(0)`` over a whole frame: numbers get ``number``, text gets ``text``."""
-    nums, texts = [], []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.NumericType):
-            nums.append(f.name)
-        elif isinstance(f.dataType, T.StringType):
-            texts.append(f.name)
-    return fill_groups(df, {number: nums}) if not texts else fill_groups(fill_groups(df, {number: nums}), {text: texts})
+    """``fillna(0)`` over a whole frame: numbers get ``number``, text gets ``text``
+    (two ``na.fill`` calls; NaN counts as missing)."""
+    return df.na.fill(number).na.fill(text)
 
 
 def exclude_values(df: DataFrame, col, values) -> DataFrame:
