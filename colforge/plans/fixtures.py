@@ -19,6 +19,7 @@ from ..functions.missing import fill_int, to_double
 from ..operators import clean, joins, profile
 from ..operators.encode import encode_columns, fit_dictionary
 from ..operators.split import head_tail_split
+from ..session import materialize
 from ..presets import (DROPPED_RAW_COLS, HIDDEN_COLS, NAME_COLS, PER_ROUND_COLS, PRESETS,
                        FixturePreset)
 
@@ -118,6 +119,10 @@ def format_fixtures(df: DataFrame, label: str, preset: str | FixturePreset = "v5
     """CL3: CL1 + dictionary encoding of the name columns and the rating columns,
     optionally a head/tail split (SP4).  Returns ``(frame, dictionary)``."""
     out = prepare_fixtures(df, label, preset, halftime, **kw)
+    if dictionary is None or split_ratio is not None:
+        # the prepared table feeds the dictionary fit, the encoding and the ranking:
+        # write it once to the shared checkpoint folder instead of preparing it 3-4 times
+        out = materialize(out, "prepared-fixtures")
     names = [c for c in NAME_COLS if c in out.columns]
     from ..presets import PLAYER_SCORE_COLS
     ratings = [c for c in (kw.get("score_cols") or PLAYER_SCORE_COLS) if c in out.columns]
