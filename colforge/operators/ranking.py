@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import estimated_bytes, materialize
 
 _PID, _MID, _CNT, _FIRST, _BEFORE = "_cf_pid", "_cf_mid", "_cf_cnt", "_cf_first", "_cf_before"
 
@@ -28,13 +28,8 @@ def target_partitions(df: DataFrame) -> int:
     """Number of range partitions: at least ``spark.sql.shuffle.partitions``, and enough
     that each holds about 256 MB by Catalyst's size estimate of the plan (a 100 TB
     input is not squeezed into a few thousand tasks)."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate only
-        size = 0
-    return max(n, min(-(-size // TARGET_PARTITION_BYTES), 1_000_000))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, min(-(-estimated_bytes(df) // TARGET_PARTITION_BYTES), 1_000_000))
 
 
 def _cols(xs) -> list[Column]:

@@ -103,10 +103,20 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a proven size bound; otherwise the plain frame, for
-    which AQE still picks a broadcast at run time if the shuffled side turns out small."""
-    if row_count_at_most(df, max_rows):
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (an upper-bound style estimate; 0 if absent)."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v) if isinstance(v, int) else int(v.toString())
+    except Exception:  # noqa: BLE001 - estimate only
+        return 0
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 256 * 1024 * 1024) -> DataFrame:
+    """Broadcast hint only behind a proven row bound (a ``limit(n+1)`` count) and a
+    plan size estimate under ``max_bytes``; otherwise the plain frame, for which AQE
+    still picks a broadcast at run time if the shuffled side turns out small."""
+    if estimated_bytes(df) <= max_bytes and row_count_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 
