@@ -305,12 +305,13 @@ def cl1(spark, sf):
     return _cl1(spark, sf)
 
 
-def _fixtures_base_sql(label: str = "Team1Win") -> str:
-    """The *base* preset: group-mean half-time rates over all rows, only W1/W2 coerced,
-    every probability range-checked, ids replaced after the fill, G/D1/M1/F1 required
-    on both sides, ids kept."""
-    p = PRESETS["base"]
+def _fixtures_base_sql(label: str = "Team1Win", preset: str = "base") -> str:
+    """The presets that replace ids after the fill (*base*, *vocab*, *stack*): only
+    W1/W2 coerced, ids kept, required slots checked after the fill; half-time rates
+    from a group mean over all rows (*base*) or the lookup table (*vocab*, *stack*)."""
+    p = PRESETS[preset]
     raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
+    ht = ", ".join(f"{e} AS {k}" for k, e in HALFTIME_RAW.items())
     text_probas = [c for c in PROBAS if c not in p.numeric_cols]
     groups = {}
     for c in SCORES:
@@ -318,27 +319,37 @@ def _fixtures_base_sql(label: str = "Team1Win") -> str:
         if slot[0] in "DMF":
             groups.setdefault(f"{side}Player{slot[0]}Score", []).append(c)
     means = ", ".join(f"{_mean_sql(cols)} AS {g}" for g, cols in groups.items())
+    ranged = [c for c in PROBAS if p.check_over05 or c != "Over0_5goals"]
     where = " AND ".join([f"season > {p.season_gt}", f"round >= {p.round_ge}", "BW1 > 0", "BW2 > 0", "BWN > 0"]
-                         + [f"try_cast({c} AS DOUBLE) BETWEEN 0 AND 1" for c in PROBAS])
+                         + [f"try_cast({c} AS DOUBLE) BETWEEN 0 AND 1" for c in ranged])
     ftr = "CASE WHEN h - a > 0 THEN 1 WHEN h - a < 0 THEN 2 WHEN h - a = 0 THEN 0 ELSE -1 END"
     required = [s for s in p.required_slots if s in IDS]
+    ints = {c: f"CAST(trunc(coalesce({c}, 0)) AS INTEGER) AS {c}" for c in p.int_cols}
+    int_sql = ", ".join(ints.get(c, c) for c in ("round", "HTF", "ATF"))
+    kept = ", ".join([f"{ftr} AS FTR", "h + a AS totgoal"]) + ", " if p.keep_ftr_totgoal else ""
+    if p.halftime == "group_mean":
+        halftime = ("s3 AS (SELECT * REPLACE (avg(homeWin_halftime) OVER (PARTITION BY league_id) AS homeWin_halftime, "
+                    "avg(awayWin_halftime) OVER (PARTITION BY league_id) AS awayWin_halftime) FROM s2),")
+    else:
+        halftime = ("s3 AS (SELECT s2.* EXCLUDE (homeWin_halftime, awayWin_halftime), ht.homeWin_halftime, "
+                    "ht.awayWin_halftime FROM s2 LEFT JOIN ht ON s2.league_id = ht.league_id),")
     nums_fill = (["HTGS", "HTGC", "HTP", "ATGS", "ATGC", "ATP", "HTGD", "ATGD", "DiffWin12", "DiffWin1N", "DiffWin2N",
                   "homeWin_halftime", "awayWin_halftime", "pred_under_over", "BLDEM_YES", "W1", "W2"]
-                 + list(groups))
+                 + [c for c in ("HTF", "ATF") if c not in p.int_cols] + list(groups)
+                 + (["totgoal"] if p.keep_ftr_totgoal else []))
     text_fill = ["country_name", "league_name", "homeTeam", "awayTeam", "region_name"] + text_probas + IDS
     return f"""
 WITH raw AS (SELECT {raw} FROM orders),
+ht AS (SELECT {ht} FROM region),
 s1 AS (SELECT fixture_id, league_id, season, country_name, league_name, homeTeam, awayTeam, region_name,
-              CAST(trunc(coalesce(round, 0)) AS INTEGER) AS round, CAST(trunc(coalesce(HTF, 0)) AS INTEGER) AS HTF,
-              CAST(trunc(coalesce(ATF, 0)) AS INTEGER) AS ATF, HTGS, HTGC, HTP, ATGS, ATGC, ATP,
+              {int_sql}, HTGS, HTGC, HTP, ATGS, ATGC, ATP,
               try_cast(W1 AS DOUBLE) AS W1, try_cast(W2 AS DOUBLE) AS W2, {', '.join(text_probas)},
               BW1, BWN, BW2, BLDEM_YES, pred_under_over, pred_goals_home, pred_goals_away, pred_match_winner,
               homeWin_halftime, awayWin_halftime, goalsHomeTeam AS h, goalsAwayTeam AS a, {', '.join(IDS)},
               {', '.join(f'CASE WHEN {c} = 0 THEN NULL ELSE {c} END AS {c}' for c in SCORES)} FROM raw),
 s2 AS (SELECT * EXCLUDE ({', '.join(SCORES)}), {means}, {', '.join(f'coalesce({c}, 0.0) AS {c}' for c in SCORES)},
-              coalesce(CAST(({ftr}) = 1 AS INTEGER), 0) AS {label} FROM s1),
-s3 AS (SELECT * REPLACE (avg(homeWin_halftime) OVER (PARTITION BY league_id) AS homeWin_halftime,
-                         avg(awayWin_halftime) OVER (PARTITION BY league_id) AS awayWin_halftime) FROM s2),
+              {kept}coalesce(CAST(({ftr}) = 1 AS INTEGER), 0) AS {label} FROM s1),
+{halftime}
 s4 AS (SELECT * REPLACE (CASE WHEN pred_goals_home < 0 THEN pred_goals_home + 4 ELSE 0.0 END AS pred_goals_home,
                          CASE WHEN pred_goals_away < 0 THEN pred_goals_away + 4 ELSE 0.0 END AS pred_goals_away),
               coalesce(CAST(pred_match_winner = '1' AS INTEGER), 0) AS pred_match_winner_1,
@@ -364,6 +375,18 @@ def cl1_base(spark, sf):
                             id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS)
 
 
+@register("cl1_prepare_fixtures_stack", _fixtures_base_sql("Team1Win", "stack"))
+def cl1_stack(spark, sf):
+    return prepare_fixtures(fixtures_raw(spark, sf), "Team1Win", "stack", halftime_table(spark, sf),
+                            id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS)
+
+
+@register("cl1_prepare_fixtures_vocab", _fixtures_base_sql("Team1Win", "vocab"))
+def cl1_vocab(spark, sf):
+    return prepare_fixtures(fixtures_raw(spark, sf), "Team1Win", "vocab", halftime_table(spark, sf),
+                            id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS)
+
+
 _NAMES = ["country_name", "league_name", "homeTeam", "awayTeam", "region_name"]
 
 
