@@ -119,3 +119,26 @@ def test_lineup_enrich_paths_agree(spark):
     assert cols == sorted(b.columns)
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
+
+
+def test_scalers(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "x double")
+    mm = [r.x for r in encode.min_max_scale(df, ["x"]).collect()]
+    assert mm == [0.0, 0.5, 1.0, None]
+    st = [r.x for r in encode.standard_scale(df, ["x"]).collect()]
+    assert abs(st[0] + 1.224744871391589) < 1e-12 and st[1] == 0.0 and st[3] is None
+    rb = [r.x for r in encode.robust_scale(df, ["x"]).collect()]
+    assert rb[1] == 0.0 and rb[3] is None
+
+
+def test_macro_scores_by_hand(spark):
+    from colforge.operators.evaluate import MacroEvaluator, macro_scores
+    rows = [(0, 0), (0, 1), (1, 1), (1, 1), (2, 0)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    m = macro_scores(df, "label", "prediction").first()
+    # class 0: p=1/2 r=1/2; class 1: p=2/3 r=1; class 2: p=0 r=0
+    assert abs(m.precision_macro - (0.5 + 2 / 3) / 3) < 1e-12
+    assert abs(m.recall_macro - 0.5) < 1e-12
+    f1 = (0.5 + 2 * (2 / 3) / (2 / 3 + 1)) / 3
+    assert abs(m.f1_macro - f1) < 1e-12
+    assert abs(MacroEvaluator("recall_macro").evaluate(df) - 0.5) < 1e-12
