@@ -159,7 +159,9 @@ class FeatureSelector:
         return rec
 
     def identify_all(self, params: dict):
-        for p in ("missing_threshold", "correlation_threshold", "cumulative_importance"):
+        # the five keys of the reference's call; ``eval_metric`` and ``task`` are accepted
+        # and, as there, do not change the forest that ranks the features
+        for p in ("missing_threshold", "correlation_threshold", "eval_metric", "task", "cumulative_importance"):
             if p not in params:
                 raise ValueError(f"{p} is a required parameter for this method.")
         self.identify_missing(params["missing_threshold"])

@@ -73,14 +73,17 @@ def ml3(spark, sf):
 
 @register("ml4_preset_training")
 def ml4(spark, sf):
-    from ...presets import RF_LEVEL0
-    o = _orders(spark, sf)
-    params = {**RF_LEVEL0, "numTrees": 20}
-    a = ml.train(o, "o_orderstatus", _O_FEATS, kind="forest", **params)
-    b = ml.train(o, "o_orderpriority", _O_FEATS, kind="forest", **params)
-    pa = a.transform(o).select("o_orderkey", F.col("predicted").alias("status_pred"))
-    pb = b.transform(o).select("o_orderkey", F.col("predicted").alias("priority_pred"))
-    return pa.join(pb, "o_orderkey")
+    """Per-label forest presets applied to two labels of the prepared fixtures; both
+    predictions are added to the same frame by successive transforms."""
+    from ...presets import forest_params
+    from ...session import materialize
+    fx = materialize(_prepared_fixtures(spark, sf).select("fixture_id", *_FIX_FEATS, "Team1Win", "LDEM"), "ml4")
+    out = fx
+    for label in ("Team1Win", "LDEM"):
+        m = ml.train(fx, label, _FIX_FEATS, kind="forest", **forest_params(label, len(_FIX_FEATS), num_trees=20))
+        out = m.transform(out).withColumnRenamed("predicted", f"{label}_call").drop(
+            "prediction", *[ml.prob_name(c) for c in m.classes])
+    return out.select("fixture_id", "Team1Win", "LDEM", "Team1Win_call", "LDEM_call")
 
 
 @register("ml5_grid_search")
@@ -204,7 +207,8 @@ def fs4(spark, sf):
 def fs6(spark, sf):
     from .selection import features
     s = fsel.FeatureSelector(features(spark, sf))
-    names = s.identify_all({"missing_threshold": 0.5, "correlation_threshold": 0.9, "cumulative_importance": 0.95})
+    names = s.identify_all({"missing_threshold": 0.5, "correlation_threshold": 0.9, "eval_metric": "auc",
+                            "task": "classification", "cumulative_importance": 0.95})
     return spark.createDataFrame([(n,) for n in names], "feature string")
 
 

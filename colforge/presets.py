@@ -110,3 +110,22 @@ MLP_LAYOUTS = {
     "wide5x200": [200] * 5,
     "deep3": [256] * 3, "deep4": [256] * 4, "deep5": [256] * 5, "deep6": [256] * 6, "deep7": [256] * 7,
 }
+
+# Per-label forest hyper-parameters as (min_samples_leaf, max_features,
+# max_depth), in the reference's order.  Depths above Spark's limit are clipped when used.
+FOREST_BY_LABEL = {
+    "FTR": (3, 16, 31), "LDEM": (2, 15, 13), "Team1Win": (3, 23, 15), "NotTeam1Win": (1, 33, 10),
+    "Team2Win": (1, 25, 8), "NotTeam2Win": (1, 19, 34), "TeamNWin": (1, 10, 26), "NotTeamNWin": (3, 11, 14),
+    "Ov05": (1, 6, 35), "Ov15": (2, 23, 11), "Ov25": (3, 8, 32), "Ov35": (2, 4, 15), "Ov45": (1, 3, 18),
+    "totgoal0": (1, 16, 34), "totgoal1": (1, 24, 21), "totgoal2": (2, 32, 32), "totgoal3": (9, 23, 28),
+    "totgoal4": (3, 14, 17), "totgoal5": (1, 35, 10),
+}
+
+
+def forest_params(label: str, n_features: int | None = None, num_trees: int = 100) -> dict:
+    """ML4: Spark ML parameters of a label's forest preset (leaf size → minInstancesPerNode,
+    max_features → featureSubsetStrategy, depth → maxDepth, clipped later to 30)."""
+    leaf, feats, depth = FOREST_BY_LABEL[label]
+    feats = min(feats, n_features) if n_features else feats
+    return {"numTrees": num_trees, "minInstancesPerNode": leaf, "featureSubsetStrategy": str(feats),
+            "maxDepth": depth}
