@@ -142,3 +142,25 @@ def test_macro_scores_by_hand(spark):
     f1 = (0.5 + 2 * (2 / 3) / (2 / 3 + 1)) / 3
     assert abs(m.f1_macro - f1) < 1e-12
     assert abs(MacroEvaluator("recall_macro").evaluate(df) - 0.5) < 1e-12
+
+
+def test_exact_row_number_many_partitions_without_aqe(spark, orders):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = orders.withColumn("h", md5_order(["o_orderkey"], seed=3))
+        got = exact_row_number(df, ["o_orderstatus"], ["h", "o_orderkey"], num_partitions=64)
+        w = Window.partitionBy("o_orderstatus").orderBy("h", "o_orderkey")
+        ref = df.withColumn("rn2", F.row_number().over(w)).select("o_orderkey", "rn2")
+        assert got.join(ref, "o_orderkey").where(F.col("rn") != F.col("rn2")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_bounded_broadcast_respects_bounds(spark):
+    from colforge.session import bounded_broadcast
+    small = spark.range(10)
+    assert "ResolvedHint" in small.join(bounded_broadcast(small, 100), "id")._jdf.queryExecution().analyzed().toString() \
+        or "broadcast" in small.join(bounded_broadcast(small, 100), "id")._jdf.queryExecution().analyzed().toString().lower()
+    big = spark.range(1000)
+    plan = big.join(bounded_broadcast(big, 100), "id")._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in plan
