@@ -15,19 +15,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import encode_columns
-from ..operators.evaluate import MacroEvaluator, classification_report
+from ..operators.evaluate import MacroEvaluator, accuracy, classification_report, macro_scores
 from ..operators.profile import with_class_weights
 from ..operators.split import stratified_folds
 from .models import TrainedModel, estimator, feature_stages, label_dictionary, prepare_features, train
 
 
+SCORES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
+
+
 def grid_search(df: DataFrame, label: str, key_cols, numeric, categorical=(), kind: str = "forest",
                 grid: dict | None = None, folds: int = 5, metric: str = "recall_macro", seed: int = 2,
                 parallelism: int = 2, fixed: dict | None = None):
     """ML5: cross-validate every grid point on stratified folds, pick the best by
     ``metric`` (``recall_macro`` at level 0, ``f1_macro`` at level 1), refit on all rows.
 
-    Returns ``(best TrainedModel, metrics DataFrame(params, metric))``.
+    Returns ``(best TrainedModel, metrics DataFrame(params, four scores, refit_score))``.
     """
     numeric, categorical = list(numeric), list(categorical)
     grid, fixed = dict(grid or {}), dict(fixed or {})
@@ -47,16 +50,31 @@ def grid_search(df: DataFrame, label: str, key_cols, numeric, categorical=(), ki
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="_cf_fold",
-                        evaluator=MacroEvaluator(metric, "_cf_label", "prediction"), parallelism=parallelism)
+                        evaluator=MacroEvaluator(metric, "_cf_label", "prediction"), parallelism=parallelism,
+                        collectSubModels=True)
     try:
         cvm = cv.fit(data)
+        # the four scores of every grid point, from each fold model's confusion on its
+        # held-out fold (one small aggregation per model; models, not rows, are kept)
+        scores = {i: {k: 0.0 for k in SCORES} for i in range(len(maps))}
+        for f in range(folds):
+            held = data.where(F.col("_cf_fold") == f)
+            for i in range(len(maps)):
+                pred = cvm.subModels[f][i].transform(held)
+                macro = macro_scores(pred, "_cf_label", "prediction").first()
+                acc = accuracy(pred, "_cf_label", "prediction").first()["accuracy"]
+                vals = {"accuracy": acc, **{k: macro[k] for k in SCORES[1:]}}
+                for k in SCORES:
+                    scores[i][k] += float(vals[k] or 0.0) / folds
     finally:
         data.unpersist()
-    rows = [(str({p.name: v for p, v in m.items()}), float(s)) for m, s in zip(maps, cvm.avgMetrics)]
+    rows = [(str({p.name: v for p, v in m.items()}), *[scores[i][k] for k in SCORES], float(s))
+            for i, (m, s) in enumerate(zip(maps, cvm.avgMetrics))]
     best = max(range(len(maps)), key=lambda i: cvm.avgMetrics[i]) if maps else None
     best_params = {p.name: v for p, v in maps[best].items()} if best is not None else {}
     model = train(df, label, numeric, categorical, kind, seed=seed, labels=labels, **{**fixed, **best_params})
-    metrics = df.sparkSession.createDataFrame(rows, f"params string, {metric} double")
+    metrics = df.sparkSession.createDataFrame(
+        rows, "params string, " + ", ".join(f"{k} double" for k in SCORES) + ", refit_score double")
     return model, metrics
 
 
