@@ -91,3 +91,13 @@ def test_exact_knn_matches_brute_force(spark):
     for i, _, v in pts:
         d = sorted((math.dist(v, w), j) for j, _, w in pts if j != i)
         assert got[i] == {j for _, j in d[:4]}
+
+
+def test_grid_search_scores(spark, toy):
+    from colforge.ml.tuning import SCORES, grid_search
+    model, metrics = grid_search(toy, "y", ["id"], ["x", "noise"], grid={"maxDepth": [2, 4]}, folds=3,
+                                 metric="f1_macro", fixed={"numTrees": 5})
+    rows = metrics.collect()
+    assert len(rows) == 2 and all(c in metrics.columns for c in SCORES)
+    assert all(abs(r.f1_macro - r.refit_score) < 1e-9 for r in rows)
+    assert model.transform(toy).count() == 400
