@@ -154,7 +154,9 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", wo
     labels = (fps.join(named.select("fp", "root", "component_id"), "fp", "left")
               .select("fp", F.coalesce("root", "fp").alias("root"),
                       F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id")))
-    return rows.join(labels, "fp").withColumnRenamed("id", id_col)
+    # Written out, so that the join's sides are both plain exchanges: Spark can then split a
+    # fingerprint that very many rows have.
+    return rows.join(materialize(labels, "simhash-labels"), "fp").withColumnRenamed("id", id_col)
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
