@@ -49,13 +49,13 @@ def fill_int(c, value: int = 0, dtype: str = "int") -> Column:
 
 
 def ne_keep_missing(c, value) -> Column:
-    """``df[c != v]`` keeps missing rows (M2)."""
-    return ~col_(c).eqNullSafe(F.lit(value))
+    """``df[c != v]`` keeps missing rows (M2); both parts can be pushed to a scan."""
+    return col_(c).isNull() | (col_(c) != F.lit(value))
 
 
 def not_in_keep_missing(c, values) -> Column:
-    """``~df[c].isin(values)`` keeps missing rows."""
-    return ~F.coalesce(col_(c).isin(*values), F.lit(False))
+    """``~df[c].isin(values)`` keeps missing rows; both parts can be pushed to a scan."""
+    return col_(c).isNull() | ~col_(c).isin(*values)
 
 
 def any_null(cols) -> Column:

@@ -18,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,28 +45,32 @@ def clip_depth(depth: int) -> int:
     return depth
 
 
-def feature_stages(numeric, categorical=(), output: str = "features"):
-    """EN6: one-hot stages for text columns (unknown → zero vector) + assembler."""
-    stages = list(one_hot_pipeline_stages(list(categorical))) if categorical else []
-    inputs = list(numeric) + [f"{c}_ohe" for c in categorical]
+#: The assembled vector of a model's features.
+FEATURES = "_cf_features"
+
+
+def feature_stages(numeric, categorical=(), output: str = FEATURES):
+    """EN6: one-hot stages for text columns (unknown → zero vector) + assembler, over the
+    private copies that ``prepare_features`` makes."""
+    stages = list(one_hot_pipeline_stages([own(c) for c in categorical])) if categorical else []
+    inputs = [own(c) for c in numeric] + [f"{own(c)}_ohe" for c in categorical]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="keep"))
     return stages
 
 
 def estimator(kind: str, n_features: int | None = None, n_classes: int | None = None, seed: int = 2, **params):
     """ML1 forest, ML2 boosted trees, ML3 perceptron by layout name."""
-    common = {"featuresCol": "features", "labelCol": "_cf_label"}
+    common = {"featuresCol": FEATURES, "labelCol": "_cf_label"}
     if kind == "forest":
         p = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 1, **params}
         p["maxDepth"] = clip_depth(int(p["maxDepth"]))
         return RandomForestClassifier(seed=seed, weightCol="_cf_weight", **common, **p)
     if kind == "boosted":
-        p = {"maxIter": 50, "maxDepth": 5, **params}
+        p = {"maxIter": 100, "maxDepth": 5, **params}
         p["maxDepth"] = clip_depth(int(p["maxDepth"]))
         gbt = GBTClassifier(seed=seed, weightCol="_cf_weight", **common, **p)
         if n_classes is not None and n_classes > 2:
-            return OneVsRest(classifier=GBTClassifier(seed=seed, featuresCol="features", labelCol="_cf_label", **p),
-                             featuresCol="features", labelCol="_cf_label")
+            return OneVsRest(classifier=gbt, weightCol="_cf_weight", rawPredictionCol="rawPrediction", **common)
         return gbt
     if kind == "perceptron":
         layout = params.pop("layout", "small")
@@ -85,23 +89,28 @@ class TrainedModel:
     categorical: list
     classes: list
 
-    def _prep(self, df: DataFrame) -> DataFrame:
-        return prepare_features(df, self.numeric, self.categorical)
+    @property
+    def probability_columns(self) -> list[str]:
+        return [prob_name(c) for c in self.classes]
 
     def transform(self, df: DataFrame, keep_vectors: bool = False) -> DataFrame:
         """ML6 predict: adds ``prediction`` (class code), ``predicted`` (class value as
-        text, ML8) and ``p_<class>`` probability columns (ML7)."""
-        out = self.pipeline.transform(self._prep(df))
-        if "probability" in out.columns:
-            arr = vector_to_array("probability")
-            out = out.withColumns({prob_name(c): arr[i] for i, c in enumerate(self.classes)})
+        text, ML8) and ``p_<class>`` probability columns (ML7).  The caller's columns come
+        back as they were; the filled features are the model's own and are dropped."""
+        result = {"prediction", "predicted", "rawPrediction", "probability", *self.probability_columns}
+        df = df.drop(*[c for c in df.columns if c in result])
+        out = self.pipeline.transform(prepare_features(df, self.numeric, self.categorical))
+        if "probability" not in out.columns:  # one boosted model per class: its probabilities, normalised
+            each = F.transform(vector_to_array("rawPrediction"), lambda r: 1 / (1 + F.exp(-2 * r)))
+            total = F.aggregate(each, F.lit(0.0), lambda a, b: a + b)
+            out = out.withColumn("probability", array_to_vector(F.transform(each, lambda p: p / total)))
+        arr = vector_to_array("probability")
+        out = out.withColumns({prob_name(c): arr[i] for i, c in enumerate(self.classes)})
         out = out.withColumn("prediction", F.col("prediction").cast("bigint"))
         out = decode_columns(out.withColumn("predicted", F.col("prediction")), self.labels.withColumn(
             "feature", F.lit("predicted")), ["predicted"])
-        if not keep_vectors:
-            out = out.drop(*[c for c in out.columns if c in ("features", "rawPrediction", "probability")
-                             or c.endswith("_idx") or c.endswith("_ohe")])
-        return out
+        extra = [FEATURES, "rawPrediction", "probability"] if keep_vectors else []
+        return out.select(*[F.col(f"`{c}`") for c in df.columns], "prediction", *self.probability_columns, "predicted", *extra)
 
     def save(self, path: str) -> None:
         """IO8: pipeline, label dictionary and metadata under one folder."""
@@ -119,10 +128,16 @@ class TrainedModel:
                             meta["label"], meta["numeric"], meta["categorical"], meta["classes"])
 
 
+def own(c: str) -> str:
+    """The model's private copy of a feature column."""
+    return f"_cf_f_{c}"
+
+
 def prepare_features(df: DataFrame, numeric, categorical=()) -> DataFrame:
-    """Numbers coerced to DOUBLE with missing → 0; text missing → 'Unknown'."""
-    out = df.withColumns({c: F.coalesce(to_double(c), F.lit(0.0)) for c in numeric})
-    return out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in categorical})
+    """Adds a private copy of each feature: numbers coerced to DOUBLE with missing → 0,
+    text with missing → 'Unknown'.  The columns themselves stay as they are."""
+    return df.withColumns({**{own(c): F.coalesce(to_double(c), F.lit(0.0)) for c in numeric},
+                           **{own(c): F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in categorical}})
 
 
 def label_dictionary(df: DataFrame, label: str) -> DataFrame:
@@ -133,7 +148,16 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
           seed: int = 2, labels: DataFrame | None = None, **params) -> TrainedModel:
     """ML1–ML4: fit one classifier on ``df``; rows with a missing label are skipped."""
     numeric, categorical = list(numeric), list(categorical)
-    data = df.where(F.col(label).isNotNull())
+    used = list(dict.fromkeys([label, *numeric, *categorical]))
+    # Every step below reads these columns, and tree learners scan them once per level.
+    source = df.where(F.col(label).isNotNull()).select(*used).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(source, label, numeric, categorical, kind, balanced, seed, labels, params)
+    finally:
+        source.unpersist()
+
+
+def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, labels, params) -> TrainedModel:
     labels = labels if labels is not None else label_dictionary(data, label)
     top = labels.limit(MAX_CLASSES + 1).collect()
     if len(top) > MAX_CLASSES:
@@ -146,18 +170,21 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
     else:
         data = data.withColumn("_cf_weight", F.lit(1.0))
     data = prepare_features(data, numeric, categorical)
-    n_features = None
-    stages = feature_stages(numeric, categorical)
-    if kind == "perceptron":
-        probe = Pipeline(stages=stages).fit(data).transform(data.limit(1))
-        n_features = len(probe.first()["features"])
-    stages.append(estimator(kind, n_features, len(classes), seed, **params))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    features = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
+    data = features.transform(data).select(FEATURES, "_cf_label", "_cf_weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = Pipeline(stages=stages).fit(data)
+        n_features = vector_size(data) if kind == "perceptron" else None
+        if kind == "perceptron" and balanced:
+            warnings.warn("Spark's perceptron takes no row weights; its classes are not balanced")
+        model = estimator(kind, n_features, len(classes), seed, **params).fit(data)
     finally:
         data.unpersist()
-    return TrainedModel(model, labels, label, numeric, categorical, classes)
+    return TrainedModel(PipelineModel([*features.stages, model]), labels, label, numeric, categorical, classes)
+
+
+def vector_size(data: DataFrame) -> int | None:
+    first = data.select(FEATURES).first()
+    return len(first[0]) if first else None
 
 
 def compat_columns(pred: DataFrame, label: str, classes, suffix: str = "_ML") -> DataFrame:

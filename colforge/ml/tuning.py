@@ -1,34 +1,56 @@
 """Grid search with stratified folds (ML5) and per-fold scoring (EV5).
 
-The fold column comes from ``stratified_folds`` (exact, seeded), so Spark's
-``CrossValidator(foldCol=…)`` sees the same stratification the reference's
-``StratifiedKFold`` gave; models of one grid point train in parallel
-(``parallelism``), each one distributed over the cluster.
+The fold column comes from ``stratified_folds`` (exact, seeded), so every grid point
+sees the same stratification.
 """
 
 from __future__ import annotations
 
+from itertools import product
+from multiprocessing.pool import ThreadPool
+
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.encode import encode_columns
-from ..operators.evaluate import MacroEvaluator, accuracy, classification_report, macro_scores
+from ..operators.evaluate import classification_report
 from ..operators.profile import with_class_weights
 from ..operators.split import stratified_folds
-from .models import TrainedModel, estimator, feature_stages, label_dictionary, prepare_features, train
+from .models import FEATURES, TrainedModel, estimator, feature_stages, label_dictionary, prepare_features, train, vector_size
 
 
 SCORES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
 
 
+def confusion_scores(pred: DataFrame) -> dict[str, float]:
+    """The four scores from one confusion table (at most classes² rows).  Macro scores are
+    means over the classes seen as label or prediction, 0 where a class has no rows."""
+    cells = pred.groupBy("_cf_label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+    total, hit, label, called = 0, {}, {}, {}
+    for c, p, n in cells:
+        total += n
+        label[c] = label.get(c, 0) + n
+        called[p] = called.get(p, 0) + n
+        if c == p:
+            hit[c] = hit.get(c, 0) + n
+    if not total:
+        return dict.fromkeys(SCORES, 0.0)
+    classes = sorted(set(label) | set(called))
+    precision = [hit.get(c, 0) / called[c] if called.get(c) else 0.0 for c in classes]
+    recall = [hit.get(c, 0) / label[c] if label.get(c) else 0.0 for c in classes]
+    f1 = [2 * p * r / (p + r) if p + r else 0.0 for p, r in zip(precision, recall)]
+    return dict(zip(SCORES, [sum(hit.values()) / total, *(sum(x) / len(classes) for x in (precision, recall, f1))]))
+
+
 def grid_search(df: DataFrame, label: str, key_cols, numeric, categorical=(), kind: str = "forest",
                 grid: dict | None = None, folds: int = 5, metric: str = "recall_macro", seed: int = 2,
                 parallelism: int = 2, fixed: dict | None = None):
     """ML5: cross-validate every grid point on stratified folds, pick the best by
     ``metric`` (``recall_macro`` at level 0, ``f1_macro`` at level 1), refit on all rows.
+    Each fold's model is scored from one confusion table and then let go; ``parallelism``
+    of them are fitted at a time, each one distributed over the cluster.
 
     Returns ``(best TrainedModel, metrics DataFrame(params, four scores, refit_score))``.
     """
@@ -42,39 +64,27 @@ def grid_search(df: DataFrame, label: str, key_cols, numeric, categorical=(), ki
     data = data.withColumn("_cf_label", F.col(f"{label}_cf_code").cast("double"))
     data = prepare_features(with_class_weights(data, "_cf_label", "_cf_weight"), numeric, categorical)
     feats = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
-    data = feats.transform(data).select("features", "_cf_label", "_cf_weight", "_cf_fold")
+    data = feats.transform(data).select(FEATURES, "_cf_label", "_cf_weight", "_cf_fold")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    est = estimator(kind, None, n_classes, seed, **fixed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(est.getParam(name), list(values))
-    maps = builder.build()
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, numFolds=folds, foldCol="_cf_fold",
-                        evaluator=MacroEvaluator(metric, "_cf_label", "prediction"), parallelism=parallelism,
-                        collectSubModels=True)
+    points = [dict(zip(grid, values)) for values in product(*grid.values())]
     try:
-        cvm = cv.fit(data)
-        # the four scores of every grid point, from each fold model's confusion on its
-        # held-out fold (one small aggregation per model; models, not rows, are kept)
-        scores = {i: {k: 0.0 for k in SCORES} for i in range(len(maps))}
-        for f in range(folds):
-            held = data.where(F.col("_cf_fold") == f)
-            for i in range(len(maps)):
-                pred = cvm.subModels[f][i].transform(held)
-                macro = macro_scores(pred, "_cf_label", "prediction").first()
-                acc = accuracy(pred, "_cf_label", "prediction").first()["accuracy"]
-                vals = {"accuracy": acc, **{k: macro[k] for k in SCORES[1:]}}
-                for k in SCORES:
-                    scores[i][k] += float(vals[k] or 0.0) / folds
+        size = vector_size(data) if kind == "perceptron" else None
+
+        def score(job: tuple[dict, int]) -> dict[str, float]:
+            point, fold = job
+            model = estimator(kind, size, n_classes, seed, **{**fixed, **point}).fit(data.where(F.col("_cf_fold") != fold))
+            return confusion_scores(model.transform(data.where(F.col("_cf_fold") == fold)))
+
+        with ThreadPool(max(1, parallelism)) as pool:
+            found = pool.map(score, [(p, f) for p in points for f in range(folds)])
     finally:
         data.unpersist()
-    rows = [(str({p.name: v for p, v in m.items()}), *[scores[i][k] for k in SCORES], float(s))
-            for i, (m, s) in enumerate(zip(maps, cvm.avgMetrics))]
-    best = max(range(len(maps)), key=lambda i: cvm.avgMetrics[i]) if maps else None
-    best_params = {p.name: v for p, v in maps[best].items()} if best is not None else {}
-    model = train(df, label, numeric, categorical, kind, seed=seed, labels=labels, **{**fixed, **best_params})
+    means = [{k: sum(s[k] for s in found[i * folds:(i + 1) * folds]) / folds for k in SCORES} for i in range(len(points))]
+    best = max(range(len(points)), key=lambda i: means[i][metric])
+    model = train(df, label, numeric, categorical, kind, seed=seed, labels=labels, **{**fixed, **points[best]})
     metrics = df.sparkSession.createDataFrame(
-        rows, "params string, " + ", ".join(f"{k} double" for k in SCORES) + ", refit_score double")
+        [(str(p), *[float(m[k]) for k in SCORES], float(m[metric])) for p, m in zip(points, means)],
+        "params string, " + ", ".join(f"{k} double" for k in SCORES) + ", refit_score double")
     return model, metrics
 
 

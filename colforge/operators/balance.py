@@ -10,21 +10,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import exact_row_number, md5_order
-from .split import _ranked_counts
+from .split import class_counts, first_by_hash
 
 
 def undersample(df: DataFrame, label: str, key_cols, cut=None, target: int | None = None, seed=42) -> DataFrame:
     """RB1: cut the classes in ``cut`` (default: every class) to ``target`` rows
-    (default: the smallest class count).
+    (default: the smallest class count).  Rows without a label belong to no class: they
+    are kept, and do not count towards the smallest.
 
     The reference's three-class form cuts label 1 to the least frequent count
     (``cut=[1]``); its two-class form cuts the larger class to the smaller one.
     """
     key_cols = list(key_cols)
-    ranked = exact_row_number(df.withColumn("_cf_h", md5_order(key_cols, seed)), [label], ["_cf_h", *key_cols],
-                              name="_cf_rn")
-    counts = _ranked_counts(ranked, label)
+    counts = class_counts(df, label)
+    counts.pop(None, None)
+    if not counts:
+        return df
     target = min(counts.values()) if target is None else target
     cut = list(counts) if cut is None else list(cut)
-    keep = ~F.col(label).isin(*cut) | (F.col("_cf_rn") <= F.lit(target))
-    return ranked.where(keep).drop("_cf_h", "_cf_rn")
+    wanted = {c: min(target, counts[c]) for c in cut if c in counts}
+    first = first_by_hash(df, label, key_cols, seed, wanted)
+    if first is None:  # repeated keys: number the rows
+        df = exact_row_number(df.withColumn("_cf_h", md5_order(key_cols, seed)), [label], ["_cf_h", *key_cols], name="_cf_rn")
+        first = F.col("_cf_rn") <= F.lit(target)
+    return df.where(F.col(label).isNull() | ~F.col(label).isin(*cut) | first).drop("_cf_h", "_cf_rn")

@@ -1,7 +1,8 @@
 """Cleaning operators: projections, coercions, fills and filters (PJ1, PJ2, PJ11, FL1–FL8).
 
-Each filter is a single ``filter`` over NULL-clean columns, so Catalyst pushes the
-parts that touch raw columns down to the Parquet scan.  The cleaning report (FL7)
+Each filter is a single ``filter`` of bare comparisons: ``filter`` drops a row whose
+predicate is NULL, as pandas does, so nothing is wrapped round them and Catalyst pushes
+those on raw columns down to the Parquet scan.  The cleaning report (FL7)
 counts every step's losses in one aggregation pass instead of one ``count()`` per step.
 """
 
@@ -11,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.missing import any_null, col_, nan_to_null, not_in_keep_missing, to_double
 
@@ -66,9 +68,16 @@ def exclude_values(df: DataFrame, col, values) -> DataFrame:
     return df.filter(not_in_keep_missing(col, list(values)))
 
 
-def keep(cond: Column) -> Column:
-    """A filter predicate with pandas semantics: a NULL comparison drops the row."""
-    return F.coalesce(cond, F.lit(False))
+def as_number(df: DataFrame, c: str) -> Column:
+    """The column itself if it is numeric, else its text coerced, so that comparisons with
+    a numeric column can be pushed to the scan."""
+    return F.col(c) if isinstance(df.schema[c].dataType, T.NumericType) else to_double(c)
+
+
+def above(df: DataFrame, c: str, value) -> list[Column]:
+    """Predicates of ``c > value`` that a NaN does not pass (Spark sorts it above all)."""
+    x = as_number(df, c)
+    return [x > value] + ([~F.isnan(x)] if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)) else [])
 
 
 def filter_all(df: DataFrame, predicates) -> DataFrame:
@@ -76,24 +85,24 @@ def filter_all(df: DataFrame, predicates) -> DataFrame:
     preds = list(predicates)
     if not preds:
         return df
-    return df.filter(reduce(lambda a, b: a & b, [keep(p) for p in preds]))
+    return df.filter(reduce(lambda a, b: a & b, preds))
 
 
 def all_between(df: DataFrame, cols, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """FL3: every listed column inside the closed range [lo, hi]."""
-    return filter_all(df, [to_double(c).between(lo, hi) for c in cols])
+    return filter_all(df, [as_number(df, c).between(lo, hi) for c in cols])
 
 
 def require_present(df: DataFrame, cols, absent: str = "IDnull") -> DataFrame:
     """FL4: every required slot holds a player (value differs from the absent marker)."""
-    return filter_all(df, [~col_(c).eqNullSafe(F.lit(absent)) & col_(c).isNotNull() for c in cols])
+    return filter_all(df, [col_(c) != F.lit(absent) for c in cols])
 
 
 def first_failed_step(predicates) -> Column:
     """Number (1-based) of the first predicate a row fails, 0 when it passes all."""
     expr = None
     for i, p in enumerate(predicates, start=1):
-        cond = ~keep(p)
+        cond = ~F.coalesce(p, F.lit(False))  # a NULL comparison fails the step
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     return expr.otherwise(F.lit(0))
 

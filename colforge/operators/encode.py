@@ -19,6 +19,7 @@ from ..session import row_count_at_most
 from .ranking import exact_row_number
 
 DICT_SCHEMA = "feature string, value string, code bigint"
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _value_text(df: DataFrame, c: str) -> Column:
@@ -65,54 +66,29 @@ def fit_dictionary(df: DataFrame, cols, max_local: int = 20_000) -> DataFrame:
     return ranked.select("feature", "value", (F.col("_rn") - 1).alias("code"))
 
 
-def _inline_maps(dictionary: DataFrame, cols, max_inline: int) -> dict | None:
-    """The dictionary of ``cols`` as Python dicts when it has at most ``max_inline``
-    entries (one bounded read), else None."""
-    few = dictionary.where(F.col("feature").isin(list(cols))).limit(max_inline + 1).collect()
-    if len(few) > max_inline:
-        return None
-    maps: dict = {c: {} for c in cols}
-    for r in few:
-        maps[r["feature"]][r["value"]] = r["code"]
-    return maps
-
-
-def map_lookup(mapping: dict, key: Column, value_type: str = "bigint", key_type: str = "string") -> Column:
-    """Look ``key`` up in a literal map (NULL when absent): a codegen expression, no join."""
-    if not mapping:
-        return F.lit(None).cast(value_type)
-    kv = []
-    for k, v in mapping.items():
-        kv += [F.lit(k).cast(key_type), F.lit(v).cast(value_type)]
-    return F.try_element_at(F.create_map(*kv), key.cast(key_type))
-
-
-def _dict_for(dictionary: DataFrame, c: str, max_broadcast_rows: int) -> DataFrame:
-    d = dictionary.where(F.col("feature") == c).select(F.col("value").alias("_cf_v"), F.col("code").alias("_cf_code"))
-    return F.broadcast(d) if row_count_at_most(d, max_broadcast_rows) else d
+def _dict_sides(dictionary: DataFrame, cols, max_broadcast_rows: int) -> dict[str, DataFrame]:
+    """The entries of each column, as the right side of a join.  A side is broadcast only
+    behind its exact row count (one small aggregation for all columns) and the bytes that
+    so many entries of its longest value come to."""
+    used = dictionary.where(F.col("feature").isin(list(cols)))
+    size = {r["feature"]: (r["n"], r["w"]) for r in
+            used.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("value")).alias("w")).collect()}
+    out = {}
+    for c in cols:
+        d = used.where(F.col("feature") == c).select(F.col("value").alias("_cf_v"), F.col("code").alias("_cf_code"))
+        n, width = size.get(c, (0, 0))
+        out[c] = F.broadcast(d) if n <= max_broadcast_rows and n * ((width or 0) + 64) <= MAX_BROADCAST_BYTES else d
+    return out
 
 
 def encode_columns(df: DataFrame, dictionary: DataFrame, cols, unseen: int | None = -1,
-                   suffix: str = "", max_broadcast_rows: int = 1_000_000, max_inline: int = 20_000) -> DataFrame:
+                   suffix: str = "", max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """EN1: replace each column by its code (``suffix`` keeps the original).  A value
     missing from the dictionary gets ``unseen`` (NULL when None); missing stays NULL.
-
-    A dictionary of at most ``max_inline`` entries becomes literal map lookups inside
-    the projection (no join, no shuffle); a larger one is joined, broadcast only below
-    ``max_broadcast_rows``."""
-    cols = list(cols)
-    maps = _inline_maps(dictionary, cols, max_inline) if cols else {}
-    if maps is not None:
-        out = {}
-        for c in cols:
-            code = map_lookup(maps[c], _value_text(df, c))
-            out[f"{c}{suffix}"] = F.when(F.col(c).isNull(), F.lit(None).cast("bigint")).otherwise(
-                F.coalesce(code, F.lit(unseen).cast("bigint")))
-        return df.withColumns(out)
+    Each column is a hash join with its entries, broadcast where their size is proven."""
     out = df
-    for c in cols:
-        d = _dict_for(dictionary, c, max_broadcast_rows)
-        out = out.join(d, _value_text(out, c) == d["_cf_v"], "left")
+    for c, d in _dict_sides(dictionary, list(cols), max_broadcast_rows).items():
+        out = out.join(d, _value_text(out, c) == F.col("_cf_v"), "left")
         code = F.when(F.col(c).isNull(), F.lit(None).cast("bigint")).otherwise(
             F.coalesce(F.col("_cf_code"), F.lit(unseen).cast("bigint")))
         out = out.withColumn(f"{c}{suffix}", code).drop("_cf_v", "_cf_code")
@@ -120,17 +96,11 @@ def encode_columns(df: DataFrame, dictionary: DataFrame, cols, unseen: int | Non
 
 
 def decode_columns(df: DataFrame, dictionary: DataFrame, cols, suffix: str = "",
-                   max_broadcast_rows: int = 1_000_000, max_inline: int = 20_000) -> DataFrame:
+                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """EN3: codes back to their values (text) through the same dictionary."""
-    cols = list(cols)
-    maps = _inline_maps(dictionary, cols, max_inline) if cols else {}
-    if maps is not None:
-        return df.withColumns({f"{c}{suffix}": map_lookup({v: k for k, v in maps[c].items()}, F.col(c), "string",
-                                                          "bigint") for c in cols})
     out = df
-    for c in cols:
-        d = _dict_for(dictionary, c, max_broadcast_rows)
-        out = out.join(d, out[c] == d["_cf_code"], "left")
+    for c, d in _dict_sides(dictionary, list(cols), max_broadcast_rows).items():
+        out = out.join(d, F.col(c) == F.col("_cf_code"), "left")
         out = out.withColumn(f"{c}{suffix}", F.col("_cf_v")).drop("_cf_v", "_cf_code")
     return out
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.missing import nan_to_null
-from ..session import row_count_at_most
+from ..session import materialize
 
 SIDES = ("HT", "AT")
 # Slot names of one side, in the reference's order.
@@ -47,44 +48,32 @@ def lineup_listing(df: DataFrame, keys, slot_cols, score_suffix: str = "Score")
 
 def enrich_lineup(df: DataFrame, key: str, slot_cols, stats: DataFrame, stat_key, stats_cols,
                   order_cols, extra_keys=(), drop_scores: bool = True, score_suffix: str = "Score",
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  absent=("IDnull", "0")) -> DataFrame:
     """JN3: for every fixture and slot, look up the player's statistics and add
     ``<slot>_<stat>`` columns; the first statistics row in ``order_cols`` wins.
 
     ``stat_key`` names the player column of ``stats``; ``extra_keys`` are further
-    columns present on both sides (league) that must match as well.  The statistics
-    are deduplicated first with a partial-aggregating ``min_by``.  Then:
-
-    * when the deduplicated table is proven to have at most ``max_broadcast_rows``
-      rows, every slot is a left join against the same broadcast relation (built once,
-      reused): one narrow stage, the fixtures are never shuffled;
-    * otherwise the slots are unpivoted (narrow), joined once, pivoted back over the
-      fixed slot list and joined to the fixture row by key.
+    columns present on both sides (league) that must match as well, a missing one
+    matching a missing one.  The statistics are deduplicated with a partial-aggregating
+    ``min_by``.  The slots are unpivoted, those that are empty or hold one of the
+    ``absent`` markers (of text ids) are dropped before the shuffle, the rest joined once and pivoted back by a row
+    number of the materialised fixtures, so fixtures that share a key stay apart.
     """
-    extra_keys = list(extra_keys)
-    stats_cols = list(stats_cols)
+    extra_keys, stats_cols = list(extra_keys), list(stats_cols)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     first = F.min_by(F.struct(*[F.col(c) for c in stats_cols]), F.struct(*[F.col(c) for c in order_cols]))
     dedup = (stats.where(F.col(stat_key).isNotNull())
-                  .groupBy(F.col(stat_key).alias("player_id"), *extra_keys).agg(first.alias("_cf_s"))
-                  .select("player_id", *extra_keys, *[F.col("_cf_s")[c].alias(c) for c in stats_cols]))
-    if row_count_at_most(dedup, max_broadcast_rows):
-        small = F.broadcast(dedup)
-        out = df
-        for slot in slot_cols:
-            ren = {"player_id": "_cf_pid", **{e: f"_cf_{e}" for e in extra_keys},
-                   **{c: f"{slot}_{c}" for c in stats_cols}}
-            side = small.withColumnsRenamed(ren)
-            cond = [out[slot] == side["_cf_pid"]] + [out[e].eqNullSafe(side[f"_cf_{e}"]) for e in extra_keys]
-            out = out.join(side, cond, "left").drop("_cf_pid", *[f"_cf_{e}" for e in extra_keys])
-    else:
-        long = slots_long(df.select(key, *extra_keys, *slot_cols), [key, *extra_keys], slot_cols, None)
-        joined = long.where(F.col("player_id").isNotNull()).join(dedup, ["player_id", *extra_keys], "inner")
-        aggs = [F.first(c, ignorenulls=True).alias(c) for c in stats_cols]
-        wide = joined.groupBy(key).pivot("slot", list(slot_cols)).agg(*aggs)
-        if len(stats_cols) == 1:  # pivot names single-aggregate columns by slot only
-            wide = wide.withColumnsRenamed({s: f"{s}_{stats_cols[0]}" for s in slot_cols})
-        out = df.join(wide, key, "left")
+                  .groupBy(F.col(stat_key).alias("_cf_pid"), *[F.col(e).alias(f"_cf_{e}") for e in extra_keys]).agg(first.alias("_cf_s")))
+    rows = materialize(df.withColumn("_cf_row", F.monotonically_increasing_id()), "lineup")
+    long = slots_long(rows, ["_cf_row", *extra_keys], slot_cols, None)
+    held = long.where(F.col("player_id").isNotNull())
+    if absent and isinstance(long.schema["player_id"].dataType, T.StringType):
+        held = held.where(~F.col("player_id").isin(*absent))
+    cond = [F.col("player_id") == F.col("_cf_pid")] + [F.col(e).eqNullSafe(F.col(f"_cf_{e}")) for e in extra_keys]
+    found = held.join(dedup, cond).select("_cf_row", "slot", "_cf_s")
+    wide = found.groupBy("_cf_row").agg(*[F.max(F.when(F.col("slot") == s, F.col("_cf_s"))).alias(s) for s in slot_cols])
+    wide = wide.select(F.col("_cf_row").alias("_cf_r"), *[F.col(s)[c].alias(f"{s}_{c}") for s in slot_cols for c in stats_cols])
+    out = rows.join(wide, F.col("_cf_row") == F.col("_cf_r"), "left").drop("_cf_row", "_cf_r")
     if drop_scores:
         out = out.drop(*[f"{c}{score_suffix}" for c in slot_cols])
     return out

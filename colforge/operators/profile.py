@@ -6,6 +6,7 @@ its unpivoted form), never one job per column.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -56,20 +57,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", F.lit(n) / (F.lit(k) * F.col("count")))
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight",
-                       max_classes: int = 100_000) -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """AG3 applied: attach the balanced weight of each row's class (for ``weightCol``).
-
-    The class-count sized weight table is read behind a bound and applied as a literal
-    map lookup, so the rows are not joined or shuffled."""
-    weights = class_weights(df, label).limit(max_classes + 1).collect()
-    if len(weights) > max_classes:
-        w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-        return df.join(bounded_broadcast(w, max_classes), on=label, how="left")
-    from .encode import map_lookup
-    ktype = df.schema[label].dataType.simpleString()
-    return df.withColumn(weight_col, map_lookup({r[label]: float(r["weight"]) for r in weights}, F.col(label),
-                                                "double", ktype))
+    The weights are one row per class, joined, and broadcast where that size is proven."""
+    w = class_weights(df, label).select(F.col(label).alias("_cf_class"), F.col("weight").alias(weight_col))
+    return df.join(bounded_broadcast(w), F.col(label) == F.col("_cf_class"), "left").drop("_cf_class")
 
 
 def missing_fraction(df: DataFrame, cols=None) -> DataFrame:
@@ -112,34 +104,43 @@ def distinct_counts(df: DataFrame, cols=None, approx: bool = False, rsd: float =
     return names.join(found, "feature", "left").select("feature", F.coalesce("nunique", F.lit(0)).cast("bigint").alias("nunique"))
 
 
+#: Column pairs whose moments one aggregation computes; more pairs take more aggregations.
+PAIRS_AT_ONCE = 120
+
+
 def pairwise_corr(df: DataFrame, cols) -> DataFrame:
     """AG6: Pearson correlation of every column pair (i < j in the given order), over
     the rows where both values are present.
 
-    The pairs are unpivoted (``inline``) and aggregated by pair: the aggregation combines
-    map-side, so the shuffle carries one partial row per pair and task, and the
-    generated code stays small however many pairs there are.  A pair with a constant
-    side (``min = max`` over its rows) or fewer than two rows gives NULL, which never
-    passes a threshold; ``try_divide`` keeps ANSI mode from raising.
-    Output: ``feature_1, feature_2, corr``.
+    Every pair is a handful of moment aggregates over the rows as they are: no row is
+    multiplied, and the shuffle carries one partial row per task.  Pairs are taken in
+    blocks, so that the generated code stays within bounds; each block reads its own
+    columns only.  A pair with a constant side (``min = max`` over its rows) or fewer
+    than two rows gives NULL, which never passes a threshold; ``try_divide`` keeps ANSI
+    mode from raising.  Output: ``feature_1, feature_2, corr``.
     """
     cols = list(cols)
     pairs = list(combinations(cols, 2))
-    schema = "feature_1 string, feature_2 string, corr double"
     spark = df.sparkSession
     if not pairs:
-        return spark.createDataFrame([], schema)
-    xs = {c: nan_to_null(F.col(c).cast("double")) for c in cols}
-    items = [F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), xs[a].alias("x"), xs[b].alias("y"))
-             for a, b in pairs]
-    long = df.select(F.inline(F.array(*items))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    agg = long.groupBy("feature_1", "feature_2").agg(
-        F.covar_pop("x", "y").alias("c"), F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"),
-        (F.min("x") == F.max("x")).alias("kx"), (F.min("y") == F.max("y")).alias("ky"), F.count(F.lit(1)).alias("n"))
-    r = F.when(~F.col("kx") & ~F.col("ky") & (F.col("n") > 1), F.try_divide(F.col("c"), F.col("sx") * F.col("sy")))
-    r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
-    names = spark.createDataFrame(pairs, "feature_1 string, feature_2 string")
-    return names.join(agg.select("feature_1", "feature_2", r.alias("corr")), ["feature_1", "feature_2"], "left")
+        return spark.createDataFrame([], "feature_1 string, feature_2 string, corr double")
+    tables = []
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        block = pairs[at:at + PAIRS_AT_ONCE]
+        used = list(dict.fromkeys(c for p in block for c in p))
+        clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(used)])
+        aggs, rows = [], []
+        for k, (a, b) in enumerate(block):
+            x, y = F.col(f"x{used.index(a)}"), F.col(f"x{used.index(b)}")
+            both = x.isNotNull() & y.isNotNull()
+            x, y = F.when(both, x), F.when(both, y)
+            aggs += [F.covar_pop(x, y).alias(f"e{k}"), F.stddev_pop(x).alias(f"f{k}"), F.stddev_pop(y).alias(f"g{k}"), F.min(x).alias(f"a{k}"), F.max(x).alias(f"b{k}"), F.min(y).alias(f"c{k}"), F.max(y).alias(f"d{k}")]
+            varies = (F.col(f"a{k}") < F.col(f"b{k}")) & (F.col(f"c{k}") < F.col(f"d{k}"))
+            r = F.when(varies, F.try_divide(F.col(f"e{k}"), F.col(f"f{k}") * F.col(f"g{k}")))
+            r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
+            rows.append(F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), r.alias("corr")))
+        tables.append(clean.agg(*aggs).select(F.inline(F.array(*rows))))
+    return reduce(lambda a, b: a.unionByName(b), tables)
 
 
 def cumulative_share(imp: DataFrame, feature: str = "feature", value: str = "importance") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import profile as pf
-from .encode import get_dummies
+from .encode import one_hot_flags, vocabulary
 
 METHODS = ("missing", "single_unique", "collinear", "zero_importance", "low_importance")
 
@@ -28,6 +28,14 @@ def text_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in set(exclude)]
 
 
+def with_dummies(df: DataFrame, cols) -> DataFrame:
+    """The 0/1 columns of the text columns next to the text columns themselves."""
+    out = df
+    for c in cols:
+        out = one_hot_flags(out, c, vocabulary(df, c), drop=False)
+    return out
+
+
 def missing_above(stats: DataFrame, threshold: float) -> DataFrame:
     """FS1: features whose missing fraction is strictly above the threshold."""
     return stats.where(F.col("missing_fraction") > threshold)
@@ -118,7 +126,7 @@ class FeatureSelector:
     def identify_collinear(self, threshold: float, one_hot: bool = False):
         data = self.data
         if one_hot:
-            data = get_dummies(self.data, text_columns(self.data))
+            data = with_dummies(self.data, text_columns(self.data))
             self.one_hot_features = [c for c in data.columns if c not in self.base_features]
             self.data_all = data
         # the pair table is feature-count sized (p(p-1)/2 rows): read it once, keep it local
@@ -135,10 +143,10 @@ class FeatureSelector:
             raise ValueError("labels are needed for importance-based selection")
         from ..ml.models import forest_importances
         if self._full is not None:
-            joined = get_dummies(self._full, text_columns(self._full, exclude=[self.label]))
+            joined = with_dummies(self._full, text_columns(self._full, exclude=[self.label]))
             data = joined.drop(self.label)
         else:
-            data = get_dummies(self.data, text_columns(self.data))
+            data = with_dummies(self.data, text_columns(self.data))
             joined = data.join(self.label_df, self.key)
         self.one_hot_features = [c for c in data.columns if c not in self.base_features]
         self.data_all = data
@@ -163,13 +171,14 @@ class FeatureSelector:
         # and, as there, do not change the forest that ranks the features
         for p in ("missing_threshold", "correlation_threshold", "eval_metric", "task", "cumulative_importance"):
             if p not in params:
-                raise ValueError(f"{p} is a required parameter for this method.")
+                raise ValueError(f"identify_all needs the parameter {p!r}")
+        if self.label_df is None and self._full is None:
+            raise ValueError("identify_all runs all five methods, and two of them need labels")
         self.identify_missing(params["missing_threshold"])
         self.identify_single_unique()
         self.identify_collinear(params["correlation_threshold"])
-        if self.label_df is not None or self._full is not None:
-            self.identify_zero_importance(params.get("n_iterations", 10), params.get("num_trees", 100))
-            self.identify_low_importance(params["cumulative_importance"])
+        self.identify_zero_importance(params.get("n_iterations", 10), params.get("num_trees", 100))
+        self.identify_low_importance(params["cumulative_importance"])
         return self.check_removal()
 
     def check_removal(self, keep_one_hot: bool = True) -> list[str]:
@@ -186,7 +195,7 @@ class FeatureSelector:
             methods = list(self.ops)
         for m in methods:
             if m not in self.ops:
-                raise RuntimeError(f"{m} method has not been run")
+                raise RuntimeError(f"nothing identified by {m!r} yet")
         drop = list(dict.fromkeys(chain(*[self.ops[m] for m in methods])))
         data = self.data_all if self.one_hot_features else self.data
         if not keep_one_hot:
@@ -202,10 +211,3 @@ class FeatureSelector:
         if self.corr is None:
             raise RuntimeError("run identify_collinear first")
         return collinear_submatrix(self.corr, self.records["collinear"])
-
-
-def profile(df: DataFrame, cols=None) -> DataFrame:
-    """FS6 helper: missing fraction and distinct count of every column in one table."""
-    cols = list(cols or df.columns)
-    return pf.missing_fraction(df, cols).join(pf.distinct_counts(df, cols), "feature")
-

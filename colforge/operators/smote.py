@@ -107,8 +107,12 @@ def smote(df: DataFrame, label: str, key: str, features, k: int = 5, seed: int =
     ``synthetic`` (0/1) and ``parent`` (the base row's key)."""
     features, categorical = list(features), list(categorical)
     counts = class_counts(df, label, max_classes)
-    n_max = max(counts.values())
-    need = {c: n_max - n for c, n in counts.items() if n < n_max and n > 1}
+    counts.pop(None, None)  # rows without a label belong to no class and are only passed on
+    n_max = max(counts.values(), default=0)
+    need = {c: n_max - n for c, n in counts.items() if n < n_max}
+    small = {c: counts[c] for c in need if counts[c] <= k}
+    if small:
+        raise ValueError(f"classes of at most k = {k} rows have no k neighbours: {small}; use a smaller k")
     base = df.select(key, label, *features, *categorical)
     orig = base.select(key, label, *features, *categorical, F.lit(0).alias("synthetic"),
                        F.col(key).cast("string").alias("parent"))

@@ -2,7 +2,9 @@
 
 Sizes are exact (``sampleBy`` is only approximate): per class, the rows with the
 smallest ``md5('<seed>:<key>')`` are taken up to an allocation computed from the class
-counts.  The per-class ranking is ``exact_row_number``, which spreads one class over
+counts.  A split does not sort the rows: counts by hash prefix give the hash up to which
+each class is taken, and the rows are marked by comparing with it.  Folds, and splits of
+rows with repeated keys, are ranked by ``exact_row_number``, which spreads one class over
 many tasks instead of sorting it in one.
 """
 
@@ -10,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import row_count_at_most
@@ -40,14 +42,6 @@ def allocate(counts: dict, total: int) -> dict:
     return base
 
 
-def _alloc_expr(label: str, alloc: dict):
-    expr = None
-    for k, v in alloc.items():
-        cond = F.col(label).isNull() if k is None else (F.col(label) == F.lit(k))
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return expr.otherwise(F.lit(0)) if expr is not None else F.lit(0)
-
-
 def _ranked(df: DataFrame, label: str | None, key_cols, seed, name="_cf_rn") -> DataFrame:
     h = md5_order(key_cols, seed)
     by = [label] if label else []
@@ -65,42 +59,98 @@ def _ranked_counts(ranked: DataFrame, label: str | None, rn: str = "_cf_rn", max
     return {r[label]: r["n"] for r in counts.collect()}
 
 
+#: Hex digits by which a cut is refined at a time: at most 4096 buckets per class.
+_DIGITS = 3
+
+
+def _seeded_hash(key_cols, seed) -> Column:
+    return F.coalesce(md5_order(list(key_cols), seed), F.lit(""))
+
+
+def hash_cuts(df: DataFrame, label: str | None, h: Column, wanted: dict) -> dict | None:
+    """For each class c of ``wanted``, a hash prefix: the ``wanted[c]`` rows with the
+    smallest hashes are those whose hash starts with it or with a smaller one.
+
+    Rows are counted by class and prefix, and only the bucket that the wanted number cuts
+    through is looked into further; nothing is sorted or shuffled beyond the counts.  None
+    if a number cuts through rows of one hash (repeated keys)."""
+    rows = df.select((F.col(label) if label else F.lit(None).cast("int")).alias("c"), h.alias("h"))
+    cuts, open_ = {}, {c: ("", n) for c, n in wanted.items() if n > 0}
+    length = 0
+    while open_:
+        if length >= 32:
+            return None
+        length += _DIGITS
+        inside = _by_class("c", {c: F.col("h").startswith(p) for c, (p, _) in open_.items()}, F.lit(False))
+        counts: dict = {}
+        for r in rows.where(inside).groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault(r["c"], []).append((r["p"], r["n"]))
+        for c, (_, left) in list(open_.items()):
+            for prefix, n in sorted(counts.get(c, [])):
+                if left <= n:
+                    break
+                left -= n
+            if left == n:
+                cuts[c] = prefix
+                del open_[c]
+            else:
+                open_[c] = (prefix, left)
+    return cuts
+
+
+def _by_class(label: str | None, values: dict, otherwise: Column) -> Column:
+    """A CASE over the classes; the class None is that of the rows without a label."""
+    out = None
+    for c, v in values.items():
+        cond = F.lit(True) if label is None else (F.col(label).isNull() if c is None else F.col(label) == F.lit(c))
+        out = F.when(cond, v) if out is None else out.when(cond, v)
+    return out.otherwise(otherwise) if out is not None else otherwise
+
+
+def first_by_hash(df: DataFrame, label: str | None, key_cols, seed, wanted: dict) -> Column | None:
+    """True for the ``wanted[c]`` rows of each class with the smallest seeded hash; None if
+    repeated keys make that ambiguous (then rank the rows)."""
+    h = _seeded_hash(key_cols, seed)
+    cuts = hash_cuts(df, label, h, wanted)
+    if cuts is None:
+        return None
+    return _by_class(label, {c: F.substring(h, 1, len(p)) <= F.lit(p) if p else h == F.lit("") for c, p in cuts.items()}, F.lit(False))
+
+
 def stratified_split(df: DataFrame, label: str, key_cols, test_ratio: float = 0.15, seed=42,
                      split_col: str = "split", stratify: bool = True) -> DataFrame:
     """SP1 / SP2: mark every row ``train`` or ``test``; test size = int(n · ratio),
     spread over classes proportionally.  Falls back to an unstratified split when a
     class has fewer than two rows (the reference's ``except`` path)."""
     key_cols = list(key_cols)
-    ranked = _ranked(df, label, key_cols, seed)
-    counts = _ranked_counts(ranked, label)
-    n = sum(counts.values())
-    n_test = int(n * test_ratio)
-    if stratify and min(counts.values(), default=0) >= 2:
-        is_test = F.col("_cf_rn") <= _alloc_expr(label, allocate(counts, n_test))
-    else:
-        ranked = _ranked(df, None, key_cols, seed)
-        is_test = F.col("_cf_rn") <= F.lit(n_test)
-    return ranked.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("_cf_rn")
+    counts = class_counts(df, label)
+    n_test = int(sum(counts.values()) * test_ratio)
+    by = label if stratify and min(counts.values(), default=0) >= 2 else None
+    wanted = allocate(counts, n_test) if by else {None: n_test}
+    is_test = first_by_hash(df, by, key_cols, seed, wanted)
+    if is_test is None:
+        df = _ranked(df, by, key_cols, seed)
+        is_test = F.col("_cf_rn") <= _by_class(by, {c: F.lit(n) for c, n in wanted.items()}, F.lit(0))
+    return df.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("_cf_rn")
 
 
 def stacking_split(df: DataFrame, label: str, key_cols, level0_ratio: float = 0.33,
                    level0_test_ratio: float = 0.15, seed=42, fold_col: str = "fold") -> DataFrame:
-    """SP3: ``level0_train`` / ``level0_test`` / ``level1`` in one ranking pass.
+    """SP3: ``level0_train`` / ``level0_test`` / ``level1`` from one seeded order.
 
     Level 0 is the first int(n · 0.33) rows of the per-class permutation (stratified);
     its test part is the first int(n0 · 0.15) of those, again stratified.  Level-1 rows
     are never seen by level-0 models (no stacking leakage)."""
     key_cols = list(key_cols)
-    ranked = _ranked(df, label, key_cols, seed)
-    counts = _ranked_counts(ranked, label)
-    n = sum(counts.values())
-    alloc0 = allocate(counts, int(n * level0_ratio))
-    n0 = sum(alloc0.values())
-    alloc0t = allocate(alloc0, int(n0 * level0_test_ratio))
-    rn = F.col("_cf_rn")
-    fold = (F.when(rn <= _alloc_expr(label, alloc0t), "level0_test")
-             .when(rn <= _alloc_expr(label, alloc0), "level0_train").otherwise("level1"))
-    return ranked.withColumn(fold_col, fold).drop("_cf_rn")
+    counts = class_counts(df, label)
+    alloc0 = allocate(counts, int(sum(counts.values()) * level0_ratio))
+    alloc0t = allocate(alloc0, int(sum(alloc0.values()) * level0_test_ratio))
+    test0, all0 = (first_by_hash(df, label, key_cols, seed, a) for a in (alloc0t, alloc0))
+    if test0 is None or all0 is None:
+        df = _ranked(df, label, key_cols, seed)
+        test0, all0 = (F.col("_cf_rn") <= _by_class(label, {c: F.lit(n) for c, n in a.items()}, F.lit(0)) for a in (alloc0t, alloc0))
+    fold = F.when(test0, "level0_test").when(all0, "level0_train").otherwise("level1")
+    return df.withColumn(fold_col, fold).drop("_cf_rn")
 
 
 def head_tail_split(df: DataFrame, order_cols, ratio: float, split_col: str = "split") -> DataFrame:

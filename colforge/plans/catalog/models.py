@@ -8,6 +8,7 @@ table it names.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...ml import models as ml
@@ -102,6 +103,42 @@ def ml6(spark, sf):
     return ml.load_transform(spark, path, o).select("o_orderkey", "o_orderstatus", "predicted")
 
 
+@register("ml6_reload_agreement", "SELECT count(*) AS rows, 0::BIGINT AS mismatches FROM orders")
+def ml6_reload(spark, sf):
+    """ML6 / IO8: a stored and reloaded model scores every row as the one in memory."""
+    o = _orders(spark, sf)
+    path = scratch_path(spark, "ml6-reload")
+    m = ml.fit_save(o, path, "o_orderstatus", _O_FEATS, kind="forest", **_SMALL_FOREST)
+    a = m.transform(o).select("o_orderkey", "predicted", *m.probability_columns)
+    b = ml.load_transform(spark, path, o).select(F.col("o_orderkey").alias("k"), F.col("predicted").alias("p"),
+                                                 *[F.col(c).alias(f"b_{c}") for c in m.probability_columns])
+    same = F.col("predicted") == F.col("p")
+    for c in m.probability_columns:
+        same &= F.abs(F.col(c) - F.col(f"b_{c}")) < 1e-12
+    return a.join(b, F.col("o_orderkey") == F.col("k")).agg(F.count(F.lit(1)).alias("rows"), F.sum((~same).cast("bigint")).alias("mismatches"))
+
+
+@register("ml7_probability_sums", "SELECT o_orderkey, 1.0::DOUBLE AS total FROM orders")
+def ml7_sums(spark, sf):
+    """ML7: the class probabilities of every row add up to 1."""
+    o = _orders(spark, sf)
+    m = ml.train(o, "o_orderstatus", _O_FEATS, kind="forest", **_SMALL_FOREST)
+    total = F.aggregate(F.array(*m.probability_columns), F.lit(0.0), lambda a, b: a + b)
+    return m.transform(o).select("o_orderkey", F.round(total, 9).alias("total"))
+
+
+@register("ml8_decoded_codes", """
+WITH v AS (SELECT o_orderpriority AS value, row_number() OVER (ORDER BY o_orderpriority) - 1 AS code
+           FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL))
+SELECT o_orderkey, true AS belongs FROM orders""")
+def ml8_codes(spark, sf):
+    """ML8: each decoded value is the class of its code, codes in the order of the classes."""
+    classes = table(spark, sf, "orders").select("o_orderpriority").distinct().where("o_orderpriority is not null")
+    codes = classes.select(F.col("o_orderpriority").alias("value"), (F.row_number().over(Window.orderBy("o_orderpriority")) - 1).alias("code"))
+    return ml8(spark, sf).join(codes, F.col("code") == F.col("prediction"), "left").select(
+        "o_orderkey", F.coalesce(F.col("value") == F.col("predicted"), F.lit(False)).alias("belongs"))
+
+
 @register("ml7_probability_names")
 def ml7(spark, sf):
     li = table(spark, sf, "lineitem").select(
@@ -205,29 +242,43 @@ def fs4(spark, sf):
 
 @register("fs6_identify_all")
 def fs6(spark, sf):
-    from .selection import features
-    s = fsel.FeatureSelector(features(spark, sf))
+    from .selection import _FEATS
+    li = table(spark, sf, "lineitem")
+    s = fsel.FeatureSelector(li.select(*[F.expr(e).alias(k) for k, e in _FEATS.items()], "l_returnflag"), label="l_returnflag")
     names = s.identify_all({"missing_threshold": 0.5, "correlation_threshold": 0.9, "eval_metric": "auc",
-                            "task": "classification", "cumulative_importance": 0.95})
+                            "task": "classification", "cumulative_importance": 0.95, "n_iterations": 2, "num_trees": 10})
     return spark.createDataFrame([(n,) for n in names], "feature string")
 
 
-@register("en6_feature_assembly")
+@register("en6_feature_assembly", "SELECT o_orderkey, (SELECT 4 + count(DISTINCT o_orderpriority) FROM orders)::INT AS n_features FROM orders")
 def en6(spark, sf):
     from pyspark.ml import Pipeline
-    o = _orders(spark, sf)
+    o = ml.prepare_features(_orders(spark, sf), _O_FEATS, ["o_orderpriority"])
     pipe = Pipeline(stages=ml.feature_stages(_O_FEATS, ["o_orderpriority"])).fit(o)
-    return pipe.transform(o).select("o_orderkey", F.size(vector_to_array("features")).alias("n_features"))
+    return pipe.transform(o).select("o_orderkey", F.size(vector_to_array(ml.FEATURES)).alias("n_features"))
 
 
 @register("en7_fit_apply_vocabulary")
 def en7(spark, sf):
     from pyspark.ml import Pipeline
-    o = _orders(spark, sf)
+    o = ml.prepare_features(_orders(spark, sf), _O_FEATS, ["o_orderpriority"])
     train = o.where(F.col("o_orderpriority") != "5-LOW")
     pipe = Pipeline(stages=ml.feature_stages(_O_FEATS, ["o_orderpriority"])).fit(train)
     return pipe.transform(o).select("o_orderkey", "o_orderpriority",
-                                      vector_to_array("o_orderpriority_ohe").alias("onehot"))
+                                      vector_to_array(f"{ml.own('o_orderpriority')}_ohe").alias("onehot"))
+
+
+@register("en7_onehot_positions", """
+WITH v AS (SELECT o_orderpriority AS p, row_number() OVER (ORDER BY o_orderpriority) AS i
+           FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority <> '5-LOW'))
+SELECT o_orderkey, coalesce(i, 0)::INT AS position, CASE WHEN i IS NULL THEN 0 ELSE 1 END AS ones
+FROM orders LEFT JOIN v ON p = o_orderpriority""")
+def en7_positions(spark, sf):
+    """EN7 as positions: the vocabulary's place of the row's value; a value that the
+    vocabulary was not fitted on has an all-zero vector."""
+    out = en7(spark, sf)
+    return out.select("o_orderkey", F.array_position("onehot", F.lit(1.0)).cast("int").alias("position"),
+                      F.aggregate("onehot", F.lit(0.0), lambda a, b: a + b).cast("int").alias("ones"))
 
 
 @register("io7_keyed_sink")
@@ -241,6 +292,12 @@ def io7(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("io7_sink_keys", "SELECT o_orderkey AS fixture_id, year(o_orderdate)::DOUBLE AS year FROM orders")
+def io7_keys(spark, sf):
+    """IO7: after two writes the sink holds every key once, in its year."""
+    return io7(spark, sf).select("fixture_id", F.col("year").cast("double").alias("year"))
+
+
 @register("io8_model_registry")
 def io8(spark, sf):
     from ...sources.registry import model_path
@@ -286,6 +343,14 @@ def rb2(spark, sf):
     return smote(df, "label", "vec_id", [f"e{i}" for i in range(64)], k=5, seed=2)
 
 
+@register("rb2_class_counts", """
+SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS rows, count(*) AS originals
+FROM embeddings GROUP BY label""")
+def rb2_counts(spark, sf):
+    """RB2: every class has the majority's rows, its own among them."""
+    return rb2(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("synthetic") == 0).cast("bigint")).alias("originals"))
+
+
 @register("rb3_smote_nc")
 def rb3(spark, sf):
     from ...operators.smote import smote
@@ -293,3 +358,11 @@ def rb3(spark, sf):
                                             F.col("c_nationkey").cast("double").alias("nation"),
                                             (F.col("c_custkey") % 3).cast("string").alias("tier"))
     return smote(c, "c_mktsegment", "c_custkey", ["c_acctbal", "nation"], k=5, seed=2, categorical=["tier"])
+
+
+@register("rb3_class_counts", """
+SELECT c_mktsegment, (SELECT max(n) FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment)) AS rows, count(*) AS originals
+FROM customer GROUP BY c_mktsegment""")
+def rb3_counts(spark, sf):
+    """RB3: as RB2, with a categorical column."""
+    return rb3(spark, sf).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("rows"), F.sum((F.col("synthetic") == 0).cast("bigint")).alias("originals"))

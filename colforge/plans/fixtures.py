@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as pj
 from ..functions import targets as tg
@@ -49,6 +50,18 @@ def filter_steps(preset: FixturePreset, proba_cols, required_slots):
     return steps
 
 
+def raw_filters(df: DataFrame, p: FixturePreset, proba_cols) -> list:
+    """Those steps of the chain that hold for the raw numeric columns already, before any
+    is cast or filled: they drop no other rows than the chain, and reach the scan.  A
+    missing round is filled with 0 first, so it stays out while 0 passes the limit."""
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    preds = [F.col("season") > p.season_gt] if "season" in numeric else []
+    if "round" in numeric and p.round_ge > 0:
+        preds.append(F.col("round") >= p.round_ge)
+    preds += [F.col(c) > 0 for c in ("BW1", "BW2", "BWN") if c in numeric]
+    return preds + [F.col(c).between(0, 1) for c in proba_cols if c in numeric and (p.check_over05 or c != "Over0_5goals")]
+
+
 def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePreset = "v5",
                      halftime: DataFrame | None = None, id_cols=None, score_cols=None,
                      proba_cols=None, max_halftime_rows: int = 1_000_000) -> DataFrame:
@@ -62,6 +75,8 @@ def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePres
     required = [s for s in p.required_slots if s in ids]
 
     out = clean.drop_columns(df, DROPPED_RAW_COLS)
+    if p.halftime != "group_mean":  # a group's mean is taken over the rows before any filter
+        out = clean.filter_all(out, raw_filters(out, p, probas))
     out = out.withColumns({"event_date": pj.to_date("event_date")})
     out = out.withColumns({c: to_double(c) for c in p.numeric_cols if c in out.columns})
     out = out.withColumns({c: fill_int(c) for c in p.int_cols if c in out.columns})

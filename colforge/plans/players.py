@@ -24,9 +24,9 @@ def player_filters(df: DataFrame, predict: bool = False, preset: PlayerPreset =
     ``NextRating != v`` keeps missing ratings (pandas semantics)."""
     preds = []
     if not predict:
-        preds += [F.col(event_date).cast("string") <= F.lit(preset.train_until), to_double(next_rating) > 0]
-    preds += [to_double(avg) > 0, F.col(round_col) > preset.round_gt, F.col(season) >= preset.season_ge]
-    preds += [ne_keep_missing(to_double(next_rating), float(v)) for v in preset.excluded_next]
+        preds += [F.col(event_date).cast("string") <= F.lit(preset.train_until), *clean.above(df, next_rating, 0)]
+    preds += [*clean.above(df, avg, 0), F.col(round_col) > preset.round_gt, F.col(season) >= preset.season_ge]
+    preds += [ne_keep_missing(clean.as_number(df, next_rating), float(v)) for v in preset.excluded_next]
     return clean.filter_all(df, preds)
 
 

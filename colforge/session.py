@@ -3,6 +3,7 @@ and size-checked broadcasts."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -95,21 +96,45 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+#: Folders that ``materialize`` wrote and ``clear_scratch`` has not removed yet.
+_WRITTEN: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove what ``materialize`` has written in this process; frames that still read it
+    can no longer be run.  Returns the number of folders.  Call it when the results are
+    stored; it also runs when the Python process ends with the session still up."""
+    n = 0
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
+def _clear_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if _WRITTEN and spark is not None and spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
+
+
+atexit.register(_clear_at_exit)
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows+1."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (an upper-bound style estimate; 0 if absent)."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(v) if isinstance(v, int) else int(v.toString())
-    except Exception:  # noqa: BLE001 - estimate only
-        return 0
+    """Catalyst's size estimate of a plan.  A failure is the caller's to see: an unknown
+    size must not pass for a small one."""
+    v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(v) if isinstance(v, int) else int(v.toString())
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000, max_bytes: int = 256 * 1024 * 1024) -> DataFrame:

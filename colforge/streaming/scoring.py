@@ -28,7 +28,7 @@ def file_stream(spark: SparkSession, path_glob: str, schema: T.StructType, fmt:
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str | None = None, transform=None,
-                      fmt: str = "parquet", timeout_s: int = 600) -> str:
+                      fmt: str = "parquet") -> str:
     """Process everything available now, batch by batch, then stop.
 
     ``transform(batch_df)`` may apply batch-only steps (a model with joins against
@@ -44,10 +44,7 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str | None = Non
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("stream did not finish in time")
+    q.awaitTermination()  # however long the backlog is
     if q.exception():
         raise q.exception()
     return sink
@@ -65,7 +62,6 @@ def score_stream(stream: DataFrame, model, sink: str, keys, checkpoint: str | No
 
     def score(batch: DataFrame) -> DataFrame:
         pred = model.transform(batch)
-        probs = [c for c in pred.columns if c.startswith("p_")]
-        return pred.select(*keys, "predicted", *probs)
+        return pred.select(*keys, "predicted", *model.probability_columns)
 
     return run_available_now(stream, sink, checkpoint, transform=score)

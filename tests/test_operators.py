@@ -86,14 +86,25 @@ def test_dictionary_large_path_equals_local(spark):
     assert small == large
 
 
-def test_encode_join_path_equals_inline(spark):
+def test_encode_broadcast_and_shuffle_joins_agree(spark):
     p = spark.read.parquet(f"{SF}/part.parquet").select("p_partkey", "p_type")
     d = encode.fit_dictionary(p, ["p_type"])
     a = {(r.p_partkey, r.p_type) for r in encode.encode_columns(p, d, ["p_type"]).collect()}
-    b = {(r.p_partkey, r.p_type) for r in encode.encode_columns(p, d, ["p_type"], max_inline=1).collect()}
+    b = {(r.p_partkey, r.p_type) for r in encode.encode_columns(p, d, ["p_type"], max_broadcast_rows=0).collect()}
     assert a == b
+    back = encode.decode_columns(encode.encode_columns(p, d, ["p_type"], suffix="_code"), d.withColumn("feature", F.lit("p_type_code")), ["p_type_code"])
+    assert back.where(F.col("p_type") != F.col("p_type_code")).count() == 0
 
 
+def test_encode_of_many_values_is_a_join(spark):
+    import time
+    d = spark.range(20_000).select(F.lit("v").alias("feature"), F.col("id").cast("string").alias("value"), F.col("id").alias("code"))
+    df = spark.range(150_000).select((F.col("id") % 25_000).cast("string").alias("v"))
+    encode.encode_columns(df, d, ["v"]).count()
+    began = time.time()
+    assert encode.encode_columns(df, d, ["v"]).where("v = -1").count() == 30_000
+    assert time.time() - began < 10
+
 def test_lookup_requires_unique_key(spark):
     dim = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     fact = spark.createDataFrame([(1,)], "k int")
@@ -107,19 +118,120 @@ def test_first_per_key(spark):
     assert got == {1: "y", 2: "z"}
 
 
-def test_lineup_enrich_paths_agree(spark):
+@pytest.mark.parametrize("threshold", ["-1", "100m"])
+def test_lineup_enrich_keeps_rows_apart_however_joined(spark, threshold):
+    """Fixtures that share a key stay apart, a missing league matches a missing league, and
+    absent markers find nothing, with broadcast joins and without."""
     from colforge.operators.lineup import enrich_lineup
-    from colforge.plans.catalog.relational import _SLOTS, _jn3_wide
-    wide = _jn3_wide(spark, SF)
-    part = spark.read.parquet(f"{SF}/part.parquet")
-    a = enrich_lineup(wide, "l_orderkey", _SLOTS, part, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"])
-    b = enrich_lineup(wide, "l_orderkey", _SLOTS, part, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"],
-                      max_broadcast_rows=1)
-    cols = sorted(a.columns)
-    assert cols == sorted(b.columns)
-    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
-    assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = spark.createDataFrame([(1, None, "a", "b"), (2, "L", "a", "IDnull"), (2, "L", "b", None), (2, "L", "b", None), (None, "L", "c", "0")],
+                                   "k int, league string, s1 string, s2 string")
+        st = spark.createDataFrame([("a", None, 1.0, 1), ("a", "L", 2.0, 1), ("b", "L", 3.0, 2), ("b", "L", 9.0, 3), ("IDnull", "L", 7.0, 1),
+                                    ("b", None, 4.0, 1), ("0", "L", 8.0, 1)], "pid string, league string, v double, o int")
+        out = enrich_lineup(df, "k", ["s1", "s2"], st, "pid", ["v"], ["o"], extra_keys=["league"])
+        got = sorted((tuple(r) for r in out.select("k", "league", "s1", "s1_v", "s2_v").collect()), key=str)
+        assert got == sorted([(1, None, "a", 1.0, 4.0), (2, "L", "a", 2.0, None), (2, "L", "b", 3.0, None), (2, "L", "b", 3.0, None), (None, "L", "c", None, None)], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_undersample_keeps_rows_without_a_label(spark):
+    from colforge.operators.balance import undersample
+    df = spark.createDataFrame([(i, None if i < 6 else ("a" if i < 20 else "b")) for i in range(23)], "k int, y string")
+    n = {r[0]: r[1] for r in undersample(df, "y", ["k"]).groupBy("y").count().collect()}
+    assert n == {None: 6, "a": 3, "b": 3}
+
 
+def test_smote_raises_for_classes_without_neighbours(spark):
+    from colforge.operators.smote import smote
+    df = spark.createDataFrame([(i, "a" if i < 20 else "b", float(i)) for i in range(23)], "k int, y string, x double")
+    with pytest.raises(ValueError):
+        smote(df, "y", "k", ["x"], k=5)
+
+
+def pushed(df):
+    import re
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.maxMetadataStringLength")
+    conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        conf.set("spark.sql.maxMetadataStringLength", before)
+    return [x for x in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan) if x]
+
+
+@pytest.mark.parametrize("name", ["fl5_player_filters", "fl6_noise_filter", "cl1_prepare_fixtures", "cl2_prepare_players"])
+def test_registered_filters_reach_the_scan(spark, name):
+    from colforge.plans.catalog import registry
+    assert pushed(registry()[name][0](spark, SF))
+
+
+def test_filters_on_raw_columns_are_pushed_whole(spark):
+    from colforge.operators import clean
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_returnflag", "l_linenumber", "l_discount")
+    assert "Not(In(l_returnflag, [A,R]))" in pushed(clean.exclude_values(li, "l_returnflag", ["A", "R"]))[0]
+    chain = pushed(clean.filter_all(li, [F.col("l_linenumber") >= 2, F.col("l_discount") > 0]))[0]
+    assert "GreaterThanOrEqual(l_linenumber,2)" in chain and "GreaterThan(l_discount,0" in chain
+    assert "LessThanOrEqual(l_discount,1" in pushed(clean.all_between(li, ["l_discount"]))[0]
+
+
+def test_filters_keep_or_drop_missing_rows(spark):
+    from colforge.functions.missing import ne_keep_missing, not_in_keep_missing
+    from colforge.operators import clean
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, None, None), (3, float("nan"), "b"), (4, 5.0, "IDnull")], "k int, x double, s string")
+    ids = lambda d: sorted(r.k for r in d.collect())
+    assert ids(clean.filter_all(df, clean.above(df, "x", 0))) == [1, 4]
+    assert ids(clean.all_between(df, ["x"], 0, 1)) == [1]
+    assert ids(clean.require_present(df, ["s"])) == [1, 3]
+    assert ids(df.filter(ne_keep_missing("s", "a"))) == [2, 3, 4]
+    assert ids(df.filter(not_in_keep_missing("s", ["a", "b"]))) == [2, 4]
+
+
+def test_estimate_failure_is_not_a_small_size():
+    from colforge.session import estimated_bytes
+    with pytest.raises(AttributeError):
+        estimated_bytes(object())
+
+
+def test_clear_scratch(spark):
+    import os
+    from colforge import session
+    out = session.materialize(spark.range(3), "t")
+    path = session._WRITTEN[-1].removeprefix("file:")
+    assert out.count() == 3 and os.path.isdir(path)
+    assert session.clear_scratch(spark) >= 1 and not os.path.isdir(path)
+
+
+def test_pairwise_corr_of_many_columns_multiplies_no_rows(spark):
+    import numpy as np
+    from colforge.operators import profile as pf
+    rng = np.random.default_rng(0)
+    x = rng.random((200, 20))
+    x[:, 3] = x[:, 2] * 2
+    x[rng.random((200, 20)) < 0.1] = np.nan
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"c{i} double" for i in range(20)))
+    corr = pf.pairwise_corr(df, df.columns)
+    assert "Generate" not in corr._jdf.queryExecution().optimizedPlan().toString().split("Aggregate")[-1]
+    got = {(r[0], r[1]): r[2] for r in corr.collect()}
+    want = df.toPandas().corr()
+    assert len(got) == 190 and all(abs(v - want.loc[a, b]) < 1e-9 for (a, b), v in got.items())
+
+
+def test_selector_needs_labels_and_keeps_text_columns(spark):
+    from colforge.operators.select import FeatureSelector
+    rows = [(float(i), float(i % 3), "x" if i % 2 else "y", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, t string, y int")
+    params = {"missing_threshold": 0.5, "correlation_threshold": 0.9, "eval_metric": "auc", "task": "classification", "cumulative_importance": 0.9}
+    with pytest.raises(ValueError):
+        FeatureSelector(df.drop("y")).identify_all(params)
+    s = FeatureSelector(df, label="y")
+    s.identify_all({**params, "n_iterations": 1, "num_trees": 3})
+    assert set(s.ops) == {"missing", "single_unique", "collinear", "zero_importance", "low_importance"}
+    s.ops = {k: [] for k in s.ops}
+    assert {"t", "t_x", "t_y"} <= set(s.remove().columns)
 
 def test_scalers(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "x double")
