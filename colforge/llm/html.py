@@ -133,16 +133,19 @@ class _Lines:
     def __init__(self):
         self.lines: list[str] = []
         self.now: list[str] = []
+        self.pre = False  # the line's spaces stand as they are
         self.gap = False  # an empty line is due before the next text
         self.prefix = ""  # what comes before the next line of text, like a list mark
         self.indent = ""
 
     def text(self, data: str, pre: bool) -> None:
         if pre:
+            self.pre = True
             first, *rest = data.replace("\r\n", "\n").split("\n")
             self.now.append(first)
             for line in rest:
                 self.end(keep=True)
+                self.pre = True
                 self.now.append(line)
             return
         data = _SPACE.sub(" ", data)
@@ -153,8 +156,8 @@ class _Lines:
 
     def end(self, keep: bool = False) -> None:
         line = "".join(self.now)
-        line = line.rstrip("\n") if keep else line.strip(" ")
-        self.now = []
+        line = line if keep or self.pre else line.strip(" ")
+        self.now, self.pre = [], False
         if line.strip() or (keep and self.lines):
             if self.gap and self.lines:
                 self.lines.append("")

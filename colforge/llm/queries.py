@@ -94,9 +94,16 @@ st AS (SELECT lvl, CASE WHEN room IS NULL OR room <= 0 THEN 10.0::DOUBLE WHEN ov
                         ELSE least(1000.0::DOUBLE, greatest(1.0::DOUBLE, room / over_ - 1)) END AS s FROM mom),
 sv AS (SELECT coalesce((SELECT s FROM st WHERE lvl = 'suffix'), 10.0::DOUBLE) AS ss, coalesce((SELECT s FROM st WHERE lvl = 'domain'), 10.0::DOUBLE) AS sd,
               coalesce((SELECT s FROM st WHERE lvl = 'host'), 10.0::DOUBLE) AS sh),
-ps AS (SELECT lv.host, lv.domain, lv.suffix, (coalesce(bs.k, 0) + ss * overall.p) / (coalesce(bs.n, 0) + ss) AS p FROM lv LEFT JOIN bs USING (suffix), overall, sv),
-pd AS (SELECT ps.host, (coalesce(bd.k, 0) + sd * ps.p) / (coalesce(bd.n, 0) + sd) AS p FROM ps LEFT JOIN bd USING (domain), sv),
-ph AS (SELECT pd.host, coalesce(bh.k, 0) + sh * pd.p AS a, coalesce(bh.n, 0) - coalesce(bh.k, 0) + sh * (1 - pd.p) AS b FROM pd LEFT JOIN bh USING (host), sv),
+ct AS (SELECT lv.host, coalesce(bh.n, 0)::DOUBLE AS nh, coalesce(bh.k, 0)::DOUBLE AS kh, coalesce(bd.n, 0)::DOUBLE AS nd, coalesce(bd.k, 0)::DOUBLE AS kd,
+              coalesce(bs.n, 0)::DOUBLE AS ns, coalesce(bs.k, 0)::DOUBLE AS ks
+       FROM lv LEFT JOIN bh USING (host) LEFT JOIN bd ON bd.domain = lv.domain LEFT JOIN bs ON bs.suffix = lv.suffix),
+tot AS (SELECT coalesce(sum(n), 0) + 2.0::DOUBLE AS e FROM bs),
+ms AS (SELECT ct.*, sd, sh, overall.p AS p0, ss * tot.e / (ss + tot.e) AS m FROM ct, sv, tot, overall),
+es AS (SELECT *, ns - nd + m AS e, (ks - kd + m * p0) / (ns - nd + m) AS p1 FROM ms),
+md AS (SELECT * EXCLUDE (m), sd * e / (sd + e) AS m FROM es),
+ed AS (SELECT * EXCLUDE (e), nd - nh + m AS e, (kd - kh + m * p1) / (nd - nh + m) AS p2 FROM md),
+mh AS (SELECT * EXCLUDE (m), sh * e / (sh + e) AS m FROM ed),
+ph AS (SELECT host, kh + m * p2 AS a, nh - kh + m * (1 - p2) AS b FROM mh),
 rep AS (SELECT host, a / (a + b) - 1.645::DOUBLE * sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) > 0.5::DOUBLE AS bad FROM ph),
 r(verdict, rhost, rpath) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
 f AS (SELECT DISTINCT host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict

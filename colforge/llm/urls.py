@@ -1,9 +1,10 @@
 """URL filters: explicit host and path rules, then an empirical-Bayes host reputation.
 
 Labelled page outcomes are counted by host, registered domain and suffix.  Each level is
-shrunk towards the one above with a beta-binomial prior whose strength is estimated from
-the spread of the rates at that level (method of moments), so a host with few labelled
-pages takes after its domain, and a host with many speaks for itself.  A url is blocked
+shrunk towards the rest of the one above with a beta-binomial prior whose strength is
+estimated from the spread of the rates at that level (method of moments) and limited by
+the evidence for its mean, so a host with few labelled pages takes after its domain, and a
+host with many speaks for itself.  A url is blocked
 when the lower posterior bound of its host's bad rate is above ``max_bad_rate``.
 
 Only DataFrame functions are used.  Pages are joined to one row per distinct host, which
@@ -104,16 +105,19 @@ def host_reputation(hosts: DataFrame, outcomes: DataFrame, suffixes: tuple[str,
     s_suffix = _strength(by_suffix.withColumn("all", F.lit(1)), "all")
     s_domain, s_host = _strength(by_domain, "suffix"), _strength(by_host, "domain")
 
-    none = lambda c: F.coalesce(F.col(c), F.lit(0))
-    mean = lambda prior, strength: (none("k") + F.lit(strength) * prior) / (none("n") + F.lit(strength))
-    named = level(hosts.select("host"))
-    suffixes_ = (named.select("suffix").distinct().join(by_suffix, "suffix", "left")
-                 .select("suffix", mean(F.lit(overall), s_suffix).alias("p_suffix")))
-    domains = (named.select("suffix", "domain").distinct().join(suffixes_, "suffix").join(by_domain, ["suffix", "domain"], "left")
-               .select("domain", mean(F.col("p_suffix"), s_domain).alias("p_domain")))
-    return (named.join(domains, "domain").join(by_host.select("host", "n", "k"), "host", "left")
-            .select("host", (none("k") + F.lit(s_host) * F.col("p_domain")).alias("a"),
-                    (none("n") - none("k") + F.lit(s_host) * (1 - F.col("p_domain"))).alias("b")))
+    counts = (level(hosts.select("host")).join(by_host.select("host", F.col("n").alias("nh"), F.col("k").alias("kh")), "host", "left")
+              .join(by_domain.select("domain", F.col("n").alias("nd"), F.col("k").alias("kd")), "domain", "left")
+              .join(by_suffix.select("suffix", F.col("n").alias("ns"), F.col("k").alias("ks")), "suffix", "left"))
+    counts = counts.select("host", *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in ("nh", "kh", "nd", "kd", "ns", "ks")])
+    # Each level's prior comes from the others of the level above, so nothing counts twice,
+    # and is no stronger than the evidence for it.
+    both = lambda strength, evidence: F.lit(strength) * evidence / (F.lit(strength) + evidence)
+    step = counts.withColumn("m", both(s_suffix, F.lit(total["n"] + 2.0)))
+    step = step.withColumn("e", F.col("ns") - F.col("nd") + F.col("m")).withColumn("p", (F.col("ks") - F.col("kd") + F.col("m") * overall) / F.col("e"))
+    step = step.withColumn("m", both(s_domain, F.col("e")))
+    step = step.withColumn("e", F.col("nd") - F.col("nh") + F.col("m")).withColumn("p", (F.col("kd") - F.col("kh") + F.col("m") * F.col("p")) / F.col("e"))
+    step = step.withColumn("m", both(s_host, F.col("e")))
+    return step.select("host", (F.col("kh") + F.col("m") * F.col("p")).alias("a"), (F.col("nh") - F.col("kh") + F.col("m") * (1 - F.col("p"))).alias("b"))
 
 
 def lower_bound(a: Column, b: Column, z: float) -> Column:
