@@ -8,9 +8,10 @@ level-0 training rows (SP3), so level-1 features are out-of-sample.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.split import stacking_split, stratified_split
@@ -28,6 +29,14 @@ def add_level0(model: TrainedModel, df: DataFrame, name: str) -> tuple[DataFrame
     return pred.drop(*extra), list(probs.values())
 
 
+def _write_meta(spark: SparkSession, path: str, meta: dict) -> None:
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
+
+
+def _read_meta(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/meta").first()[0])
+
+
 @dataclass
 class StackedModel:
     level0: dict                       # name -> TrainedModel
@@ -42,6 +51,23 @@ class StackedModel:
             out, _ = add_level0(m, out, name)
         return self.level1.transform(out)
 
+    @property
+    def classes(self) -> list:
+        return self.level1.classes
+
+    def save(self, path: str) -> None:
+        for name, m in self.level0.items():
+            m.save(f"{path}/level0/{name}")
+        self.level1.save(f"{path}/level1")
+        _write_meta(self.level1.labels.sparkSession, path, {"level0": list(self.level0), "numeric": self.base_numeric,
+                                                            "categorical": self.categorical, "cols": self.level0_cols})
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "StackedModel":
+        meta = _read_meta(spark, path)
+        return StackedModel({n: TrainedModel.load(spark, f"{path}/level0/{n}") for n in meta["level0"]},
+                            TrainedModel.load(spark, f"{path}/level1"), meta["numeric"], meta["categorical"], meta["cols"])
+
 
 def fit_stack(df: DataFrame, label: str, key_cols, numeric, categorical=(), level0=None, level1=None,
               seed: int = 2, level0_labels: dict | None = None):
@@ -78,6 +104,16 @@ class ChainModel:
     targets: list
     models: list
 
+    def save(self, path: str) -> None:
+        for i, m in enumerate(self.models):
+            m.save(f"{path}/link{i}")
+        _write_meta(self.models[0].labels.sparkSession, path, {"targets": self.targets})
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "ChainModel":
+        targets = _read_meta(spark, path)["targets"]
+        return ChainModel(targets, [TrainedModel.load(spark, f"{path}/link{i}") for i in range(len(targets))])
+
     def transform(self, df: DataFrame, checkpoint_every: int = 5) -> DataFrame:
         """ML11: apply the chain in order; each prediction becomes a feature of the next.
         The plan is materialised every few links to keep the lineage short."""

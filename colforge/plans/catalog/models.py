@@ -21,6 +21,7 @@ from ...session import scratch_path
 from ...sources import files
 from .common import table
 from .composed import IDS, PROBAS, SCORES, fixtures_raw, halftime_table, players_raw
+from .composed import _PLAYER_PRESET as PLAYERS
 
 Q: dict = {}
 
@@ -216,10 +217,19 @@ def ml12(spark, sf):
     return spark.createDataFrame(rows, "link int, target string, features string, n_classes int, n_trees int")
 
 
+def _fit_and_predict_matches(spark, sf, labels, **options):
+    """Models of the fixtures before the cut-off, stored; calls for those from it on."""
+    raw, ht, root = fixtures_raw(spark, sf), halftime_table(spark, sf), scratch_path(spark, "match-models")
+    common = {"ids": IDS, "scores": SCORES, "probas": PROBAS, "stacked": options.pop("stacked", True)}
+    known = F.col("event_date") < "2000-06-01"
+    matches.fit_matches(raw.where(known), ht, labels, _FIX_FEATS, root, params=_SMALL_FOREST,
+                        network={"layout": "small", "maxIter": 30}, **common)
+    return matches.predict_matches(raw.where(~known), ht, labels, _FIX_FEATS, root, **common, **options)
+
+
 @register("ml13_match_prediction")
 def ml13(spark, sf):
-    return matches.predict_matches(fixtures_raw(spark, sf), halftime_table(spark, sf), ["Team1Win"],
-                                   ids=IDS, scores=SCORES, probas=PROBAS, features=_FIX_FEATS, params=_SMALL_FOREST)
+    return _fit_and_predict_matches(spark, sf, ["Team1Win"], stacked=False)
 
 
 @register("ev5_score_folds")
@@ -310,22 +320,23 @@ def io8(spark, sf):
 
 @register("cl4_predict_players")
 def cl4(spark, sf):
-    from ...plans.players_predict import predict_players
-    p = _players_with_targets(spark, sf)
-    return predict_players(p, _CHAIN_TARGETS, _P_FEATS, since="1998-01-01", params=_SMALL_FOREST)
+    from ...plans.players_predict import fit_players, predict_players
+    p, root = _players_with_targets(spark, sf), scratch_path(spark, "cl4-models")
+    since = F.col("event_date") < "1998-01-01"
+    fit_players(p.where(since), _CHAIN_TARGETS, _P_FEATS, root, preset=PLAYERS, params=_SMALL_FOREST)
+    return predict_players(p.where(~since), _P_FEATS, root, preset=PLAYERS)
 
 
 @register("cl5_predict_matches")
 def cl5(spark, sf):
-    return matches.predict_matches(fixtures_raw(spark, sf), halftime_table(spark, sf), ["Team1Win", "Team2Win"],
-                                   ids=IDS, scores=SCORES, probas=PROBAS, features=_FIX_FEATS, params=_SMALL_FOREST,
-                                   stacked=True)
+    return _fit_and_predict_matches(spark, sf, ["Team1Win", "Team2Win", "TeamNWin"], raw_columns=["event_date"])
 
 
 @register("cl6_validate_matches")
 def cl6(spark, sf):
     return matches.validate_matches(fixtures_raw(spark, sf), halftime_table(spark, sf), "Team1Win",
-                                    ids=IDS, scores=SCORES, probas=PROBAS, features=_FIX_FEATS, params=_SMALL_FOREST)
+                                    ids=IDS, scores=SCORES, probas=PROBAS, features=_FIX_FEATS, params=_SMALL_FOREST,
+                                    network={"layout": "small", "maxIter": 30})
 
 
 @register("cl7_train_label")

@@ -1,27 +1,52 @@
-"""Player rating prediction (CL4): train the classifier chain on past player-match rows,
-score the rows from ``since`` on, and shape the keyed export table (IO7)."""
+"""Player rating prediction (CL4).
+
+``fit_players`` prepares past player-match rows (CL2), trains the classifier chain with the
+rating itself as its last link, and stores dictionary and chain; ``predict_players`` loads
+them, prepares and scores new rows, and shapes the keyed export table (IO7).
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..ml.stack import fit_chain
-from ..session import bounded_broadcast
+from ..ml.stack import ChainModel, fit_chain
+from ..operators.encode import decode_columns, load_dictionary, save_dictionary
+from ..presets import PlayerPreset
+from ..session import materialize
+from ..sources.files import write_keyed
+from .players import prepare_players
+
+KEYS = ("Nextfixture_id", "player_id")
+RATING = "NextRating"
 
 
-def predict_players(df: DataFrame, targets, features, since: str, date_col: str = "event_date",
-                    keys=("Nextfixture_id", "player_id"), params=None) -> DataFrame:
-    """CL4: ``df`` carries the targets (TG11) on past rows; rows with ``date >= since``
-    are scored by the chain.  Output: keys, one ``<target>_pred`` per target and the
-    export column ``NextRating`` (the predicted band of the first target, as text)."""
+def fit_players(df: DataFrame, targets, features, root: str, keys=KEYS, preset: PlayerPreset = PlayerPreset(),
+                params=None) -> None:
+    """Train mode: ``df`` has raw player rows with their targets (TG11).  The chain's links
+    are ``targets`` and then the rating, each with a decoder of its own."""
     params = params or {"numTrees": 100, "maxDepth": 10}
-    targets, keys = list(targets), list(keys)
-    hist = df.where(F.col(date_col) < since).select(*keys, *features, *targets)
-    new = df.where(F.col(date_col) >= since).select(*keys, *features)
-    chain = fit_chain(hist, targets, features, **params)
-    out = chain.transform(new)
-    first = chain.models[0]
-    codes = first.labels.select(F.col("code").cast("double").alias("_cf_code"), F.col("value").alias("NextRating"))
-    out = out.join(bounded_broadcast(codes, 100_000), out[f"{targets[0]}_pred"] == codes["_cf_code"], "left").drop("_cf_code")
-    return out.select(*keys, *[f"{t}_pred" for t in targets], "NextRating")
+    prepared, dictionary = prepare_players(df, False, preset)
+    dictionary = materialize(dictionary, "players-dictionary")
+    save_dictionary(dictionary, f"{root}/dictionary")
+    links = [*targets, RATING]
+    hist = materialize(prepared.select(*dict.fromkeys([*keys, *features, *links])), "players-train")
+    fit_chain(hist, links, list(features), **params).save(f"{root}/chain")
+
+
+def predict_players(df: DataFrame, features, root: str, keys=KEYS, preset: PlayerPreset = PlayerPreset(),
+                    sink: str | None = None, sink_by=()) -> DataFrame:
+    """CL4 predict mode: keys, one ``<target>_pred`` per link and ``NextRating``, the last
+    link's call.  With ``sink`` the rows are also written there (IO7), replacing the
+    partitions (``sink_by``) that they belong to."""
+    spark = df.sparkSession
+    prepared, _ = prepare_players(df, True, preset, load_dictionary(spark, f"{root}/dictionary"))
+    chain = ChainModel.load(spark, f"{root}/chain")
+    new = prepared.select(*dict.fromkeys([*keys, *features, *sink_by]))
+    out = chain.transform(new).withColumn(RATING, F.col(f"{RATING}_pred").cast("bigint"))
+    out = decode_columns(out, chain.models[-1].labels.withColumn("feature", F.lit(RATING)), [RATING])
+    out = out.select(*keys, *[c for c in sink_by if c not in keys], *[f"{t}_pred" for t in chain.targets], RATING)
+    if sink:
+        write_keyed(out, sink, list(sink_by))
+        out = spark.read.parquet(sink)
+    return out
