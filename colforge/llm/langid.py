@@ -110,8 +110,9 @@ def held_out(id_col: str) -> Column:
 
 def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 64,
           chars_per_language: int = 20_000, longest: int = 20_000, max_languages: int = 128) -> Model:
-    """Fit on a sample of the rows that ``learnable`` gives, drawn by a hash of the id; about
-    ``rows_per_language`` whole texts of each language reach the driver."""
+    """Fit on a sample of the rows that ``learnable`` gives, drawn by a hash of id and text;
+    about ``rows_per_language`` whole texts of each language reach the driver, and at most
+    four times as many in all."""
     prepare(df.sparkSession)
     rows = learnable(df, id_col, text, lang)
     rows = rows.where(F.length(text).between(1, longest))
@@ -120,9 +121,11 @@ def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
         raise ValueError(f"more than {max_languages} labels; their automata would not fit")
     texts: dict[str, list] = {name: [] for name in sorted(sizes)}
     if sizes:
-        h = F.pmod(F.xxhash64(id_col), F.lit(1 << 30))
+        h = F.pmod(F.xxhash64(id_col, text), F.lit(1 << 30))
         share = F.coalesce(*[F.when(F.col(lang) == k, F.lit(min(1.0, rows_per_language / n))) for k, n in sizes.items()])
         drawn = rows.select(F.col(lang).alias("l"), F.col(text).alias("t"), h.alias("h"), share.alias("s")).where(F.col("h") < F.col("s") * (1 << 30))
+        # Four times what is expected is never reached unless whole rows are repeated.
+        drawn = drawn.drop("s").distinct().orderBy("h", "l").limit(4 * rows_per_language * len(sizes))
         for r in sorted(drawn.collect(), key=lambda r: (r["l"], r["h"], r["t"])):
             texts[r["l"]].append(r["t"])
     texts = {k: v for k, v in texts.items() if any(ch.isalpha() for t in v for ch in t)}
