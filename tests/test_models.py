@@ -101,3 +101,63 @@ def test_grid_search_scores(spark, toy):
     assert len(rows) == 2 and all(c in metrics.columns for c in SCORES)
     assert all(abs(r.f1_macro - r.refit_score) < 1e-9 for r in rows)
     assert model.transform(toy).count() == 400
+
+
+def test_transform_returns_the_callers_columns_unchanged(spark, toy):
+    m = ml.train(toy.withColumn("c", F.lit("k")), "y", ["x", "noise"], ["c"], **SMALL)
+    rows = [(1, None, 2.0, None, "i", 0.5, "f"), (2, float("nan"), None, "k", "j", 0.7, "g")]
+    df = spark.createDataFrame(rows, "id int, x double, noise double, c string, home_idx string, p_home double, features string")
+    out = m.transform(df)
+    assert out.columns == [*df.columns, "prediction", "p_a", "p_b", "predicted"]
+    assert [str(tuple(r)) for r in out.select(*df.columns).orderBy("id").collect()] == [str(r) for r in rows]
+
+
+def test_boosted_and_perceptron_grids_and_three_classes(spark):
+    from colforge.ml.tuning import grid_search
+    rows = [(i, float(i % 30), "abc"[i % 30 // 10]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, x double, y string")
+    m = ml.train(df, "y", ["x"], kind="boosted", maxIter=3, maxDepth=2)
+    out = m.transform(df)
+    total = out.select((F.col("p_a") + F.col("p_b") + F.col("p_c")).alias("s")).agg(F.min("s"), F.max("s")).first()
+    assert abs(total[0] - 1) < 1e-9 and abs(total[1] - 1) < 1e-9
+    assert out.where("predicted = y").count() > 270
+    for kind, grid in (("boosted", {"maxIter": [1, 2]}), ("perceptron", {"maxIter": [5, 10]})):
+        _, metrics = grid_search(df, "y", ["id"], ["x"], kind=kind, grid=grid, folds=2)
+        assert metrics.count() == 2
+
+
+def test_confusion_scores_match_the_operators(spark):
+    from colforge.ml.tuning import confusion_scores
+    from colforge.operators.evaluate import accuracy, macro_scores
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 1.0), (2.0, 0.0)], "_cf_label double, prediction double")
+    got, macro = confusion_scores(df), macro_scores(df, "_cf_label", "prediction").first()
+    assert abs(got["accuracy"] - accuracy(df, "_cf_label", "prediction").first()["accuracy"]) < 1e-12
+    assert all(abs(got[k] - macro[k]) < 1e-12 for k in ("precision_macro", "recall_macro", "f1_macro"))
+
+
+def test_stacks_and_chains_survive_storing(spark):
+    from colforge.ml.stack import ChainModel, StackedModel
+    rows = [(i, float(i % 20), float(i % 7), "ab"[i % 20 // 10], i % 20 // 5) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, x double, z double, y string, w int")
+    stack, _ = fit_stack(df, "y", ["id"], ["x", "z"], level0={"f": ("forest", SMALL)}, level1=SMALL)
+    chain = fit_chain(df, ["y", "w"], ["x", "z"], **SMALL)
+    for model, kind in ((stack, StackedModel), (chain, ChainModel)):
+        path = scratch_path(spark, "test-stored")
+        model.save(path)
+        a = [tuple(r) for r in model.transform(df.drop("y", "w")).orderBy("id").collect()]
+        b = [tuple(r) for r in kind.load(spark, path).transform(df.drop("y", "w")).orderBy("id").collect()]
+        assert a == b
+
+
+def test_prediction_fits_nothing(spark, monkeypatch):
+    from colforge.plans import matches
+    from colforge.plans.catalog import models as catalog
+    root = scratch_path(spark, "test-matches")
+    raw, ht = catalog.fixtures_raw(spark, SF), catalog.halftime_table(spark, SF)
+    common = {"ids": catalog.IDS, "scores": catalog.SCORES, "probas": catalog.PROBAS, "stacked": False}
+    matches.fit_matches(raw.where("event_date < '2000-06-01'"), ht, ["TeamNWin"], catalog._FIX_FEATS, root, params=SMALL, **common)
+    monkeypatch.setattr(matches, "train", None)
+    monkeypatch.setattr(matches, "fit_dictionary", None)
+    out = matches.predict_matches(raw.where("event_date >= '2000-06-01'"), ht, ["TeamNWin"], catalog._FIX_FEATS, root, raw_columns=["event_date"], **common)
+    assert {"TeamNWin_call", "TeamNWin_p_0", "event_date", "fixture_id"} <= set(out.columns)
+    assert out.count() == out.select("fixture_id").distinct().count() > 0
