@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.missing import to_double
 from ..operators.encode import decode_columns, encode_columns, fit_dictionary, one_hot_pipeline_stages
 from ..operators.profile import with_class_weights
-from ..presets import MAX_TREE_DEPTH, MLP_LAYOUTS
+from ..presets import GBT_LEVEL0, MAX_TREE_DEPTH, MLP_LAYOUTS
 
 # Probability column names of the three-class labels, in class order.
 COMPAT_NAMES = {"FTR": ("D", "W", "L"), "trend": ("D", "O", "I")}
@@ -66,7 +66,7 @@ def estimator(kind: str, n_features: int | None = None, n_classes: int | None =
         p["maxDepth"] = clip_depth(int(p["maxDepth"]))
         return RandomForestClassifier(seed=seed, weightCol="_cf_weight", **common, **p)
     if kind == "boosted":
-        p = {"maxIter": 100, "maxDepth": 5, **params}
+        p = {**GBT_LEVEL0, **params}
         p["maxDepth"] = clip_depth(int(p["maxDepth"]))
         gbt = GBTClassifier(seed=seed, weightCol="_cf_weight", **common, **p)
         if n_classes is not None and n_classes > 2:

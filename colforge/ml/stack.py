@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.split import stacking_split, stratified_split
+from ..presets import RF_LEVEL0, RF_LEVEL1
 from ..session import materialize
 from .models import TrainedModel, prob_name, train
 
@@ -79,8 +80,8 @@ def fit_stack(df: DataFrame, label: str, key_cols, numeric, categorical=(), leve
     Returns ``(StackedModel, level-1 predictions of the held-out half)``.
     """
     numeric, categorical, key_cols = list(numeric), list(categorical), list(key_cols)
-    level0 = level0 or {"forest": ("forest", {"numTrees": 50, "maxDepth": 8})}
-    level1 = level1 or {"numTrees": 100, "maxDepth": 10}
+    level0 = level0 or {"forest": ("forest", RF_LEVEL0)}
+    level1 = level1 or RF_LEVEL1
     level0_labels = level0_labels or {}
     split = stacking_split(df, label, key_cols, seed=seed, fold_col="_cf_stack")
     l0 = split.where(F.col("_cf_stack") == "level0_train")

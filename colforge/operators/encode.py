@@ -8,8 +8,6 @@ column's).  Codes follow the sorted distinct values; numeric columns sort numeri
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -189,7 +187,3 @@ def robust_scale(df: DataFrame, cols, suffix: str = "", accuracy: int = 10_000)
         iqr = (q3 - q1) if q1 is not None else None
         out[f"{c}{suffix}"] = (x - F.lit(med)) / F.lit(iqr) if iqr else (x - F.lit(med or 0.0))
     return df.withColumns(out)
-
-
-def union_dictionaries(dicts) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dicts)

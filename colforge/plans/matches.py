@@ -15,6 +15,7 @@ from ..ml.models import TrainedModel, prob_name, train
 from ..ml.stack import StackedModel, fit_stack
 from ..operators.encode import encode_columns, fit_dictionary, load_dictionary, save_dictionary
 from ..operators.evaluate import classification_report
+from ..presets import RF_LEVEL0, RF_LEVEL1
 from ..session import materialize
 from .fixtures import format_fixtures, prepare_fixtures
 
@@ -40,7 +41,7 @@ def fit_matches(raw: DataFrame, halftime: DataFrame, labels, features, root: str
                 scores=None, probas=None, params=None, network=None, stacked: bool = True) -> None:
     """Train mode of CL5 / ML13: prepare the fixtures once, fit the name dictionary (CL3)
     and one model per label, and store all of it below ``root``."""
-    params, network = params or {"numTrees": 100, "maxDepth": 10}, network or NETWORK
+    top, params, network = params or RF_LEVEL1, params or RF_LEVEL0, network or NETWORK
     hist = _prepare(raw, halftime, preset, ids, scores, probas)
     names = [c for c in NAMES if c in hist.columns]
     hist = materialize(hist.select("fixture_id", *names, *features, *labels), "matches-train")
@@ -50,7 +51,7 @@ def fit_matches(raw: DataFrame, halftime: DataFrame, labels, features, root: str
     feats = [*features, *[f"{c}_code" for c in names]]
     for label in labels:
         if stacked and label not in FOREST_LABELS:
-            model, _ = fit_stack(hist, label, ["fixture_id"], feats, level0=_level0(params, network), level1=params)
+            model, _ = fit_stack(hist, label, ["fixture_id"], feats, level0=_level0(params, network), level1=top)
         else:
             model = train(hist, label, feats, kind="forest", **params)
         model.save(f"{root}/{label}")
@@ -85,9 +86,9 @@ def validate_matches(raw: DataFrame, halftime: DataFrame, label: str, features,
                      ids=None, scores=None, probas=None, params=None, network=None) -> DataFrame:
     """CL6: prepare, stack (SP3 split; a forest and a network at level 0, a forest at level
     1) and report the level-1 model on its held-out half."""
-    params, network = params or {"numTrees": 100, "maxDepth": 10}, network or NETWORK
+    top, params, network = params or RF_LEVEL1, params or RF_LEVEL0, network or NETWORK
     data = materialize(_prepare(raw, halftime, preset, ids, scores, probas).select("fixture_id", *features, label), "validate")
-    _, held = fit_stack(data, label, ["fixture_id"], features, level0=_level0(params, network), level1=params)
+    _, held = fit_stack(data, label, ["fixture_id"], features, level0=_level0(params, network), level1=top)
     held = held.withColumn("_cf_true", F.col(label).cast("string"))
     return classification_report(held, "_cf_true", "predicted")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from .operators.lineup import SIDES, SLOTS, slot_id_columns, slot_score_columns
+from .operators.lineup import slot_id_columns, slot_score_columns
 
 PLAYER_ID_COLS = slot_id_columns()
 PLAYER_SCORE_COLS = slot_score_columns()
@@ -17,22 +17,16 @@ PLAYER_SCORE_COLS = slot_score_columns()
 BET_COLS = ["BW1", "BWN", "BW2", "BOver1_5goals", "BUnder1_5goals", "BOver2_5goals", "BUnder2_5goals",
             "BOver3_5goals", "BUnder3_5goals", "BLDEM_YES", "BLDEM_NO"]
 # Provider probability columns (may hold text).
-PROBA_COLS = ["W1", "WN", "W2", "Over0_5goals", "Over1_5goals", "Over2_5goals", "Over3_5goals", "Over4_5goals",
-              "LDEM_YES"]
+PROBA_COLS = ["W1", "W2", "WN", "LDEM_YES", "Over0_5goals", "Over1_5goals", "Over2_5goals", "Over3_5goals",
+              "Over4_5goals"]
 # Season sums normalised per round, and the difference columns built from them.
 PER_ROUND_COLS = ["HTGS", "HTGC", "HTP", "ATGS", "ATGC", "ATP"]
-NAME_COLS = ["country_name", "league_name", "homeTeam", "awayTeam", "region_name"]
+# The name columns that are label-encoded.
+NAME_COLS = ["region_name", "country_name", "league_name", "homeTeam", "awayTeam"]
+# Raw columns dropped at once, and columns hidden from the prepared table.
 DROPPED_RAW_COLS = ["homeUpdated", "awayUpdated", "statusShort", "status"]
 HIDDEN_COLS = ["event_date", "totgoal", "goalDiff", "goalsHomeTeam", "goalsAwayTeam", "FTHG", "FTAG",
                "pred_match_winner", "country_code"]
-EXCLUDED_COUNTRIES = ["AR", "GR", "BE"]
-
-
-def slot_group(side: str, letter: str) -> list[str]:
-    return [f"{side}Player{s}Score" for s in SLOTS if s.startswith(letter) and s != "G"]
-
-
-TEAM_RATING_GROUPS = {f"{side}Player{g}Score": slot_group(side, g) for side in SIDES for g in ("D", "M", "F")}
 
 
 @dataclass(frozen=True)
@@ -69,6 +63,7 @@ PRESETS = {
 }
 
 
+# Limits and column groups of the player preparation.
 @dataclass(frozen=True)
 class PlayerPreset:
     train_until: str = "2020-12-01"
@@ -95,7 +90,7 @@ class PlayerPreset:
     nonzero: tuple = ("PrevRating", "rating")
 
 
-# Level-0 and level-1 model hyper-parameters (two-point grids for tests live in tests).
+# Level-0 and level-1 model hyper-parameters, the defaults of stacks and boosted trees.
 RF_LEVEL0 = {"numTrees": 100, "maxDepth": 10, "minInstancesPerNode": 3}
 RF_LEVEL1 = {"numTrees": 150, "maxDepth": 12, "minInstancesPerNode": 1}
 GBT_LEVEL0 = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8}
