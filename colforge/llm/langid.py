@@ -6,8 +6,8 @@ fewer phrases it takes, the closer the text is to the language.  The language wi
 fewest phrases, normalised by the information a phrase carries (the logarithm of the
 training length), wins.
 
-Learning uses a bounded sample: about ``rows_per_language`` labelled documents of at most
-``longest`` characters for each language, cut off at ``chars_per_language``.  The automata
+Learning uses a bounded sample: about ``rows_per_language`` labelled documents for each
+language, at most ``longest`` characters of each, cut off at ``chars_per_language``.  The automata
 are dense tables, broadcast to the tasks.  Prediction reads whole texts: they are cut into
 segments of ``SEGMENT`` characters, parsed from the root each, so that all segments of a
 batch walk their automata together in numpy.
@@ -34,6 +34,9 @@ SEGMENT = 256
 #: Character classes: nothing, a gap, the most frequent letters, all other letters.
 PAD, GAP, FIRST, CLASSES = 0, 1, 2, 64
 
+#: Characters that Java does not know yet may be letters to Python.
+LETTER, NO_LETTERS = r"[\p{L}\p{Cn}]", r"^[\P{L}&&\P{Cn}]+"
+
 
 @dataclass
 class Model:
@@ -111,11 +114,14 @@ def held_out(id_col: str) -> Column:
 def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 64,
           chars_per_language: int = 20_000, longest: int = 20_000, max_languages: int = 128) -> Model:
     """Fit on a sample of the rows that ``learnable`` gives, drawn by a hash of id and text;
-    about ``rows_per_language`` whole texts of each language reach the driver, and at most
-    four times as many in all."""
+    about ``rows_per_language`` texts of each language reach the driver, and at most four
+    times as many in all.  Of a text of more than ``longest`` characters, so many from its
+    first letter on are taken.  A language whose draw has no letter takes the text with
+    letters of the smallest hash."""
     prepare(df.sparkSession)
     rows = learnable(df, id_col, text, lang)
-    rows = rows.where(F.length(text).between(1, longest))
+    rows = rows.where(F.length(text) > 0)
+    piece = F.when(F.length(text) <= longest, F.col(text)).otherwise(F.substring(F.regexp_replace(text, NO_LETTERS, ""), 1, longest))
     sizes = {r["l"]: r["n"] for r in rows.groupBy(F.col(lang).alias("l")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_languages + 1).collect()}
     if len(sizes) > max_languages:
         raise ValueError(f"more than {max_languages} labels; their automata would not fit")
@@ -123,11 +129,16 @@ def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     if sizes:
         h = F.pmod(F.xxhash64(id_col, text), F.lit(1 << 30))
         share = F.coalesce(*[F.when(F.col(lang) == k, F.lit(min(1.0, rows_per_language / n))) for k, n in sizes.items()])
-        drawn = rows.select(F.col(lang).alias("l"), F.col(text).alias("t"), h.alias("h"), share.alias("s")).where(F.col("h") < F.col("s") * (1 << 30))
+        drawn = rows.select(F.col(lang).alias("l"), piece.alias("t"), h.alias("h"), share.alias("s")).where(F.col("h") < F.col("s") * (1 << 30))
         # Four times what is expected is never reached unless whole rows are repeated.
         drawn = drawn.drop("s").distinct().orderBy("h", "l").limit(4 * rows_per_language * len(sizes))
         for r in sorted(drawn.collect(), key=lambda r: (r["l"], r["h"], r["t"])):
             texts[r["l"]].append(r["t"])
+        bare = [k for k, v in texts.items() if not any(ch.isalpha() for t in v for ch in t)]
+        if bare:
+            first = F.substring(F.regexp_replace(F.min_by(text, h), NO_LETTERS, ""), 1, longest)
+            for r in rows.where(F.col(lang).isin(bare) & F.col(text).rlike(LETTER)).groupBy(F.col(lang).alias("l")).agg(first.alias("t")).collect():
+                texts[r["l"]] = [r["t"]]
     texts = {k: v for k, v in texts.items() if any(ch.isalpha() for t in v for ch in t)}
     letters = Counter(ch for v in texts.values() for t in v for ch in t.lower() if ch.isalpha())
     classes, tables, bits = letter_classes(letters), [], []

@@ -89,3 +89,15 @@ def test_long_words_and_odd_text(spark):
     cost = langid.count_phrases(codes, model)
     assert np.isfinite(cost).all() and cost[0].min() > 1000
     assert math.isclose(model.bits.min(), model.bits.max(), rel_tol=0.1)
+
+
+def test_long_texts_and_rare_letters_are_learned(spark):
+    rows = [(i, "some plain text of the day " * 5, "en", "a", 1) for i in range(30)]
+    rows += [(100 + i, "7 " * 15_000 + "dette er en lang bog om havet " * 2_000, "da", "b", 1) for i in range(5)]  # all too long
+    rows += [(200 + i, "1 2 3" if i else "kukka on kaunis", "fi", "c", 1) for i in range(4000) if i or zlib.crc32(b"200") % 5]
+    rows += [(5000 + i, "1 2 3" if i else "kukka on kaunis", "fi", "c", 1) for i in range(5)]
+    rows += [(9001, "ein Satz steht hier", "de", "d", 1)] * 20_000  # one row repeated: drawn whole or not at all
+    model = langid.learn(edge_docs(spark, rows=rows, clashes=False))
+    assert model.languages == ["da", "de", "en", "fi"]
+    docs = edge_docs(spark, clashes=False, rows=[(1, "en bog om havet", None, "a", 1), (2, "kukka", None, "a", 1), (3, "some plain text", None, "a", 1)])
+    assert [r["language"]["lang"] for r in langid.identify_languages(docs, model).orderBy("doc_id").collect()] == ["da", "fi", "en"]
