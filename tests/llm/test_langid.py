@@ -101,3 +101,34 @@ def test_long_texts_and_rare_letters_are_learned(spark):
     assert model.languages == ["da", "de", "en", "fi"]
     docs = edge_docs(spark, clashes=False, rows=[(1, "en bog om havet", None, "a", 1), (2, "kukka", None, "a", 1), (3, "some plain text", None, "a", 1)])
     assert [r["language"]["lang"] for r in langid.identify_languages(docs, model).orderBy("doc_id").collect()] == ["da", "fi", "en"]
+
+
+def test_scripts_of_many_letters(spark):
+    rng = np.random.default_rng(5)
+    blocks = {"han1": (0x4E00, 600), "han2": (0x5800, 600), "hangul": (0xAC00, 500), "hindi": (0x905, 50)}
+    words = {k: ["".join(chr(a + int(i)) for i in rng.integers(0, n, 2)) for _ in range(800)] for k, (a, n) in blocks.items()}
+    text = lambda k: "".join(rng.choice(words[k], 150)) if k.startswith("han1") or k == "han2" else " ".join(rng.choice(words[k], 150))
+    rows = [(i, text(k), k, "a", 1) for i, k in enumerate(list(blocks) * 60)]
+    model = langid.learn(edge_docs(spark, rows=rows, clashes=False))
+    assert model.languages == sorted(blocks)
+    assert {t.keys is not None for t in model.tables} == {True, False}
+    new = [(i, text(k), k, "a", 1) for i, k in enumerate(list(blocks) * 10)]
+    greek = [(100 + i, "".join(chr(0x3B1 + int(j)) for j in rng.integers(0, 17, 200)), None, "a", 1) for i in range(5)]
+    out = langid.identify_languages(edge_docs(spark, rows=new + greek, clashes=False), model).collect()
+    assert all(r["language"]["lang"] == r["lang"] and r["language"]["accepted"] for r in out if r["lang"])
+    assert not any(r["language"]["accepted"] for r in out if not r["lang"])  # a script that nobody taught
+
+
+def test_marks_and_case():
+    classes = langid.letter_classes(["कि की สวัสดี ſ strasse"])
+    assert len(langid.classes_of("कि", classes)) == 2 and (langid.classes_of("कि", classes) >= langid.FIRST).all()
+    assert not np.array_equal(langid.classes_of("कि", classes), langid.classes_of("की", classes))
+    assert np.array_equal(langid.classes_of("STRASSE", classes), langid.classes_of("strasse", classes))
+
+
+def test_hash_table_is_the_dense_table():
+    rng = np.random.default_rng(2)
+    step = langid.suffix_automaton(rng.integers(3, 40, 4000).tolist())
+    models = [langid.Model(["a"], np.zeros(0), [langid.Automaton(step, wide)], np.ones(1)) for wide in (False, True)]
+    texts = [rng.integers(1, 60, n).astype(np.uint16) for n in (1, 300, 5000)]
+    assert np.array_equal(*[langid.count_phrases(texts, m) for m in models])
