@@ -261,7 +261,9 @@ def identify_languages(df: DataFrame, model: Model, text: str = "text", out: str
     and ``accepted`` (a language was found, and its phrases are not mere single letters:
     at most ``max_rate`` bits a character; texts of a learned language take 2 to 6).  In
     scripts of many letters texts take more: up to a quarter more than the language's sample
-    takes itself is accepted, if that is less than 19 of 20 letters being phrases."""
+    takes itself is accepted, if that is less than 19 of 20 letters being phrases.  The first
+    phrase, which every text needs, does not count for this, so that short texts stay; a text
+    of which no learned language has a letter is not accepted."""
     shared = prepare(df.sparkSession).sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, rate double, accepted boolean")
@@ -276,7 +278,10 @@ def identify_languages(df: DataFrame, model: Model, text: str = "text", out: str
             for i, cost in zip(some, costs):
                 best, *rest = sorted((c, k) for k, c in enumerate(cost))
                 rate = best[0] / len(codes[i])
-                rows[i] = (m.languages[best[1]], 1.0 - best[0] / rest[0][0] if rest else 1.0, rate, bool(rate <= limits[best[1]]))
+                letters = codes[i][codes[i] >= FIRST]
+                known = any(t.column(letters).any() for t in m.tables)
+                accepted = known and rate - m.bits[best[1]] / len(codes[i]) <= limits[best[1]]
+                rows[i] = (m.languages[best[1]], 1.0 - best[0] / rest[0][0] if rest else 1.0, rate, bool(accepted))
         return pd.DataFrame(rows, columns=["lang", "score", "rate", "accepted"])
 
     return df.withColumn(out, predict(F.col(text)))

@@ -132,3 +132,13 @@ def test_hash_table_is_the_dense_table():
     models = [langid.Model(["a"], np.zeros(0), [langid.Automaton(step, wide)], np.ones(1)) for wide in (False, True)]
     texts = [rng.integers(1, 60, n).astype(np.uint16) for n in (1, 300, 5000)]
     assert np.array_equal(*[langid.count_phrases(texts, m) for m in models])
+
+
+def test_short_texts_are_accepted(spark):
+    model = langid.learn(spark.read.parquet(f"{SF}/documents.parquet"))
+    rng = np.random.default_rng(3)
+    noise = "".join(chr(97 + int(i)) for i in rng.integers(0, 26, 400))
+    texts = {"A.": True, "x": True, "Qz": True, "xqj": True, "the": True, "я": False, "日本": False, "日本語" * 30: False, noise: False, "12 .": False}
+    docs = edge_docs(spark, clashes=False, rows=[(i, t, None, "a", 1) for i, t in enumerate(texts)])
+    got = {r["text"]: r["language"]["accepted"] for r in langid.identify_languages(docs, model).collect()}
+    assert got == texts
