@@ -89,30 +89,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/colforge/{name}-{uuid.uuid4().hex}"
 
 
+def write_scratch(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` as Parquet to a fresh folder below the shared checkpoint folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` as Parquet to the shared checkpoint folder and
     reading it back.  Recomputing a lost partition then re-reads the file instead of
     re-running the upstream shuffle, and nondeterministic columns are fixed once."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(write_scratch(df, name))
 
 
 #: Folders that ``materialize`` wrote and ``clear_scratch`` has not removed yet.
 _WRITTEN: list[str] = []
 
 
+def remove_scratch(spark: SparkSession, path: str) -> bool:
+    """Remove one folder of ``write_scratch``, as an iteration does with the table before
+    the last one it wrote."""
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True))
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Remove what ``materialize`` has written in this process; frames that still read it
     can no longer be run.  Returns the number of folders.  Call it when the results are
     stored; it also runs when the Python process ends with the session still up."""
     n = 0
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     while _WRITTEN:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        n += bool(path.getFileSystem(hadoop).delete(path, True))
+        n += remove_scratch(spark, _WRITTEN[-1])
     return n
 
 
