@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import digest, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
+from . import codebooks, digest, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
 from .common import table
 
 #: The file of the public byte-level tokenizer; a parameter of the packing operator.
@@ -214,6 +214,38 @@ def op10_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return digest.neighbour_digests(table(spark, sf, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    rows, books = codebooks.learn_codes(table(spark, sf, "embeddings"), "embedding", "vec_id", "label")
+    coded = rows.select(F.col("k").alias("vec_id"), "g", codebooks.code_text("c").alias("code"), codebooks.error_of("e").alias("error"))
+    coded = codebooks.with_group_sum(coded, "g", "error", "label_error")
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+def _op11_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Complete scans in every round: ``a`` assigns, ``b`` moves the entries."""
+    assign = "SELECT p.rid, p.j, p.x, min(list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - b.x[i]) ** 2))::BIGINT * {n} + b.e) AS m FROM p JOIN {b} b ON b.j = p.j GROUP BY ALL"
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS MATERIALIZED (" + assign.format(n=entries, b=f"b{r}") + ")")
+        steps.append(f"""s{r} AS (SELECT j, m % {entries} AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n FROM (SELECT j, m, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY ALL)""")
+        steps.append(f"""m{r} AS (SELECT j, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM s{r} GROUP BY j, e)""")
+        steps.append(f"b{r + 1} AS MATERIALIZED (SELECT b.j, b.e, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN m{r} m ON m.j = b.j AND m.e = b.e)")
+    steps.append("z AS (" + assign.format(n=entries, b=f"b{rounds}") + ")")
+    return f"""
+WITH u AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding AS y FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x::DOUBLE) * 4096 > 134217728)) = 0),
+f AS (SELECT len(y) AS d FROM u ORDER BY vec_id NULLS LAST, y LIMIT 1),
+k AS MATERIALIZED (SELECT u.*, list_transform(y, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM u, f WHERE len(y) = d),
+c AS (SELECT vec_id, arg_min(v, y) AS v, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS e FROM k GROUP BY vec_id ORDER BY vec_id NULLS LAST LIMIT {entries}),
+p AS MATERIALIZED (SELECT rid, j, v[j * len(v) // {parts} + 1:(j + 1) * len(v) // {parts}] AS x FROM k, range({parts}) t(j)),
+b0 AS (SELECT j, e, v[j * len(v) // {parts} + 1:(j + 1) * len(v) // {parts}] AS x FROM c, range({parts}) t(j)),
+{(',' + chr(10)).join(steps)},
+w AS (SELECT rid, string_agg(printf('%02x', m % {entries}), '' ORDER BY j) AS code, sum(m // {entries})::BIGINT AS error FROM z GROUP BY rid),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY j, e)) AS books FROM b{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, books AS codebooks_sha256 FROM w JOIN k USING (rid), h
+"""
+
+
 Q = {
     "op1_quality_rules": (op1_quality_rules, _OP1_SQL),
     "op2_simhash": (op2_simhash, None),
@@ -225,4 +257,5 @@ Q = {
     "op8_secrets": (op8_secrets, _OP8_SQL),
     "op9_language_id": (op9_language_id, None),
     "op10_fingerprints": (op10_fingerprints, None),
+    "op11_vector_codes": (op11_vector_codes, _op11_sql()),
 }
