@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codebooks, digest, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
+from . import codebooks, digest, divergence, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
 from .common import table
 
 #: The file of the public byte-level tokenizer; a parameter of the packing operator.
@@ -246,6 +246,34 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 """
 
 
+def op12_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf, "documents"))
+
+
+_OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+           FROM documents),
+o AS (SELECT rid, lang, source, unnest(words) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+z AS (SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS size FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+l AS (SELECT lang, term, sum(n)::BIGINT AS n FROM c GROUP BY ALL),
+lz AS (SELECT lang, sum(n)::BIGINT AS size FROM l GROUP BY lang),
+p AS MATERIALIZED (SELECT k.lang, z.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (z.size + 5 * v.v) AS p
+      FROM k JOIN z ON z.lang = k.lang JOIN v ON v.lang = k.lang LEFT JOIN c ON c.lang = k.lang AND c.source = z.source AND c.term = k.term),
+q AS (SELECT l.lang, l.term, 1 + (1000000000::HUGEINT * (l.n + 5)) // (lz.size + 5 * v.v) AS q FROM l JOIN lz USING (lang) JOIN v USING (lang)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL SELECT p.lang, p.source, 'term', p.term, (p.p - q.q)::BIGINT FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE p.n > 0 AND p.p > q.q)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item COLLATE C) AS rank FROM r
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 Q = {
     "op1_quality_rules": (op1_quality_rules, _OP1_SQL),
     "op2_simhash": (op2_simhash, None),
@@ -258,4 +286,5 @@ Q = {
     "op9_language_id": (op9_language_id, None),
     "op10_fingerprints": (op10_fingerprints, None),
     "op11_vector_codes": (op11_vector_codes, _op11_sql()),
+    "op12_source_divergence": (op12_source_divergence, _OP12_SQL),
 }
