@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codebooks, digest, divergence, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
+from . import boosting, codebooks, digest, divergence, html, langid, mixing, packing, quality, secrets, simhash, urls, warc
 from .common import table
 
 #: The file of the public byte-level tokenizer; a parameter of the packing operator.
@@ -274,6 +274,13 @@ QUALIFY part = 'pair' OR rank <= 50
 """
 
 
+def op13_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = boosting.learn(docs, table(spark, sf, "labels"), langid.held_out)
+    scored = boosting.score_texts(docs, model, out="score")
+    return scored.select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 Q = {
     "op1_quality_rules": (op1_quality_rules, _OP1_SQL),
     "op2_simhash": (op2_simhash, None),
@@ -287,4 +294,5 @@ Q = {
     "op10_fingerprints": (op10_fingerprints, None),
     "op11_vector_codes": (op11_vector_codes, _op11_sql()),
     "op12_source_divergence": (op12_source_divergence, _OP12_SQL),
+    "op13_quality_classifier": (op13_quality_classifier, None),
 }
