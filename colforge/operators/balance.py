@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import exact_row_number, md5_order
 from .split import class_counts, first_by_hash
 
 
@@ -29,8 +28,5 @@ def undersample(df: DataFrame, label: str, key_cols, cut=None, target: int | Non
     target = min(counts.values()) if target is None else target
     cut = list(counts) if cut is None else list(cut)
     wanted = {c: min(target, counts[c]) for c in cut if c in counts}
-    first = first_by_hash(df, label, key_cols, seed, wanted)
-    if first is None:  # repeated keys: number the rows
-        df = exact_row_number(df.withColumn("_cf_h", md5_order(key_cols, seed)), [label], ["_cf_h", *key_cols], name="_cf_rn")
-        first = F.col("_cf_rn") <= F.lit(target)
-    return df.where(F.col(label).isNull() | ~F.col(label).isin(*cut) | first).drop("_cf_h", "_cf_rn")
+    marked = first_by_hash(df, label, key_cols, seed, wanted, "_cf_first")
+    return marked.where(F.col(label).isNull() | ~F.col(label).isin(*cut) | F.col("_cf_first")).drop("_cf_first")

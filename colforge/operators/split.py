@@ -3,20 +3,22 @@
 Sizes are exact (``sampleBy`` is only approximate): per class, the rows with the
 smallest ``md5('<seed>:<key>')`` are taken up to an allocation computed from the class
 counts.  A split does not sort the rows: counts by hash prefix give the hash up to which
-each class is taken, and the rows are marked by comparing with it.  Folds, and splits of
-rows with repeated keys, are ranked by ``exact_row_number``, which spreads one class over
-many tasks instead of sorting it in one.
+each class is taken, and the rows are marked by comparing with it.  Folds and positions
+need every row's number; ``hash_row_number`` deals the rows out by hash prefix and numbers
+them there, after counting.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import row_count_at_most
-from .ranking import exact_row_number, md5_order
+from .ranking import exact_row_number, hash_row_number, md5_order
+from .selection import Target, literal, order_key, rows_at_ranks
 
 
 def class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict:
@@ -43,58 +45,54 @@ def allocate(counts: dict, total: int) -> dict:
 
 
 def _ranked(df: DataFrame, label: str | None, key_cols, seed, name="_cf_rn") -> DataFrame:
-    h = md5_order(key_cols, seed)
-    by = [label] if label else []
-    return exact_row_number(df.withColumn("_cf_h", h), by, ["_cf_h", *key_cols], name=name).drop("_cf_h")
-
-
-def _ranked_counts(ranked: DataFrame, label: str | None, rn: str = "_cf_rn", max_classes: int = 10_000) -> dict:
-    """Class sizes read back from the materialised ranking (max row number per class),
-    so the upstream plan is not executed a second time just to count."""
-    if label is None:
-        return {None: ranked.agg(F.max(rn)).first()[0] or 0}
-    counts = ranked.groupBy(label).agg(F.max(rn).alias("n"))
-    if not row_count_at_most(counts, max_classes):
-        raise ValueError(f"{label} has more than {max_classes} classes")
-    return {r[label]: r["n"] for r in counts.collect()}
+    """Exact row numbers in the seeded order of each class."""
+    return hash_row_number(df, [label] if label else [], _seeded_hash(key_cols, seed), list(key_cols), name)
 
 
 #: Hex digits by which a cut is refined at a time: at most 4096 buckets per class.
 _DIGITS = 3
 
+#: Classes up to which the rows are marked by a CASE; more are marked by a join.
+_CASE_CLASSES = 32
+
 
 def _seeded_hash(key_cols, seed) -> Column:
     return F.coalesce(md5_order(list(key_cols), seed), F.lit(""))
 
 
+def _class_table(df: DataFrame, label: str | None, rows: list[tuple], fields: str) -> DataFrame:
+    """A small table with a row for each class: its label ``c`` and further values."""
+    kind = df.schema[label].dataType if label else T.IntegerType()
+    schema = T.StructType([T.StructField("c", kind), *T.StructType.fromDDL(fields).fields])
+    return F.broadcast(df.sparkSession.createDataFrame(rows, schema))  # class_counts bounds the classes
+
+
 def hash_cuts(df: DataFrame, label: str | None, h: Column, wanted: dict) -> dict | None:
     """For each class c of ``wanted``, a hash prefix: the ``wanted[c]`` rows with the
     smallest hashes are those whose hash starts with it or with a smaller one.
 
-    Rows are counted by class and prefix, and only the bucket that the wanted number cuts
-    through is looked into further; nothing is sorted or shuffled beyond the counts.  None
-    if a number cuts through rows of one hash (repeated keys)."""
-    rows = df.select((F.col(label) if label else F.lit(None).cast("int")).alias("c"), h.alias("h"))
+    Rows are counted by class and prefix.  The running sum over a class's prefixes (at most
+    4096) finds the bucket that the wanted number cuts through, and only that is looked into
+    further; it is the one row of a class that reaches the driver in a pass.  None if a
+    number cuts through rows of one hash (repeated keys)."""
+    rows = df.select((F.col(label) if label else F.lit(None).cast("int")).alias("l"), h.alias("h"))
     cuts, open_ = {}, {c: ("", n) for c, n in wanted.items() if n > 0}
     length = 0
+    run = Window.partitionBy("c").orderBy("p")
     while open_:
         if length >= 32:
             return None
         length += _DIGITS
-        inside = _by_class("c", {c: F.col("h").startswith(p) for c, (p, _) in open_.items()}, F.lit(False))
-        counts: dict = {}
-        for r in rows.where(inside).groupBy("c", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect():
-            counts.setdefault(r["c"], []).append((r["p"], r["n"]))
-        for c, (_, left) in list(open_.items()):
-            for prefix, n in sorted(counts.get(c, [])):
-                if left <= n:
-                    break
-                left -= n
-            if left == n:
-                cuts[c] = prefix
-                del open_[c]
+        state = _class_table(df, label, [(c, p, n) for c, (p, n) in open_.items()], "q string, wanted bigint")
+        inside = rows.join(state, F.col("l").eqNullSafe(F.col("c")) & F.col("h").startswith(F.col("q")))
+        counts = inside.groupBy("c", "wanted", F.substring("h", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.withColumn("upto", F.sum("n").over(run))
+        for r in counts.where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))).collect():
+            if r["upto"] == r["wanted"]:
+                cuts[r["c"]] = r["p"]
+                del open_[r["c"]]
             else:
-                open_[c] = (prefix, left)
+                open_[r["c"]] = (r["p"], r["wanted"] - r["upto"] + r["n"])
     return cuts
 
 
@@ -107,14 +105,26 @@ def _by_class(label: str | None, values: dict, otherwise: Column) -> Column:
     return out.otherwise(otherwise) if out is not None else otherwise
 
 
-def first_by_hash(df: DataFrame, label: str | None, key_cols, seed, wanted: dict) -> Column | None:
-    """True for the ``wanted[c]`` rows of each class with the smallest seeded hash; None if
-    repeated keys make that ambiguous (then rank the rows)."""
+def mark_by_class(df: DataFrame, label: str | None, values: dict, kind: str, mark, out: str) -> DataFrame:
+    """Add the boolean ``out``: ``mark`` of the value (of type ``kind``) of each row's class,
+    false for a class without one."""
+    if len(values) <= _CASE_CLASSES:
+        of_class = _by_class(label, {c: F.lit(v).cast(kind) for c, v in values.items()}, F.lit(None).cast(kind))
+        return df.withColumn(out, F.coalesce(mark(of_class), F.lit(False)))
+    side = _class_table(df, label, list(values.items()), f"v {kind}").select(F.col("c").alias("_cf_c"), F.col("v").alias("_cf_v"))
+    joined = df.join(F.broadcast(side), F.col(label).eqNullSafe(F.col("_cf_c")), "left")
+    return joined.withColumn(out, F.coalesce(mark(F.col("_cf_v")), F.lit(False))).drop("_cf_c", "_cf_v")
+
+
+def first_by_hash(df: DataFrame, label: str | None, key_cols, seed, wanted: dict, out: str) -> DataFrame:
+    """Add the boolean ``out``: true for the ``wanted[c]`` rows of each class with the
+    smallest seeded hash.  Repeated keys that the number cuts through are numbered."""
     h = _seeded_hash(key_cols, seed)
     cuts = hash_cuts(df, label, h, wanted)
-    if cuts is None:
-        return None
-    return _by_class(label, {c: F.substring(h, 1, len(p)) <= F.lit(p) if p else h == F.lit("") for c, p in cuts.items()}, F.lit(False))
+    if cuts is not None:
+        return mark_by_class(df, label, cuts, "string", lambda p: F.substring(h, F.lit(1), F.length(p)) <= p, out)
+    ranked = _ranked(df, label, key_cols, seed, name="_cf_rn")
+    return mark_by_class(ranked, label, wanted, "bigint", lambda n: F.col("_cf_rn") <= n, out).drop("_cf_rn")
 
 
 def stratified_split(df: DataFrame, label: str, key_cols, test_ratio: float = 0.15, seed=42,
@@ -127,11 +137,8 @@ def stratified_split(df: DataFrame, label: str, key_cols, test_ratio: float = 0.
     n_test = int(sum(counts.values()) * test_ratio)
     by = label if stratify and min(counts.values(), default=0) >= 2 else None
     wanted = allocate(counts, n_test) if by else {None: n_test}
-    is_test = first_by_hash(df, by, key_cols, seed, wanted)
-    if is_test is None:
-        df = _ranked(df, by, key_cols, seed)
-        is_test = F.col("_cf_rn") <= _by_class(by, {c: F.lit(n) for c, n in wanted.items()}, F.lit(0))
-    return df.withColumn(split_col, F.when(is_test, "test").otherwise("train")).drop("_cf_rn")
+    marked = first_by_hash(df, by, key_cols, seed, wanted, "_cf_test")
+    return marked.withColumn(split_col, F.when(F.col("_cf_test"), "test").otherwise("train")).drop("_cf_test")
 
 
 def stacking_split(df: DataFrame, label: str, key_cols, level0_ratio: float = 0.33,
@@ -145,20 +152,38 @@ def stacking_split(df: DataFrame, label: str, key_cols, level0_ratio: float = 0.
     counts = class_counts(df, label)
     alloc0 = allocate(counts, int(sum(counts.values()) * level0_ratio))
     alloc0t = allocate(alloc0, int(sum(alloc0.values()) * level0_test_ratio))
-    test0, all0 = (first_by_hash(df, label, key_cols, seed, a) for a in (alloc0t, alloc0))
-    if test0 is None or all0 is None:
-        df = _ranked(df, label, key_cols, seed)
-        test0, all0 = (F.col("_cf_rn") <= _by_class(label, {c: F.lit(n) for c, n in a.items()}, F.lit(0)) for a in (alloc0t, alloc0))
-    fold = F.when(test0, "level0_test").when(all0, "level0_train").otherwise("level1")
-    return df.withColumn(fold_col, fold).drop("_cf_rn")
+    marked = first_by_hash(df, label, key_cols, seed, alloc0t, "_cf_test0")
+    marked = first_by_hash(marked, label, key_cols, seed, alloc0, "_cf_all0")
+    fold = F.when(F.col("_cf_test0"), "level0_test").when(F.col("_cf_all0"), "level0_train").otherwise("level1")
+    return marked.withColumn(fold_col, fold).drop("_cf_test0", "_cf_all0")
 
 
 def head_tail_split(df: DataFrame, order_cols, ratio: float, split_col: str = "split") -> DataFrame:
-    """SP4: the first int(n · ratio) rows in the given (total) order are ``head``.
-    Ranked with range partitioning, not a single-partition window."""
-    ranked = exact_row_number(df, [], list(order_cols), name="_cf_rn")
-    cut = int(_ranked_counts(ranked, None)[None] * ratio)
-    return ranked.withColumn(split_col, F.when(F.col("_cf_rn") <= cut, "head").otherwise("tail")).drop("_cf_rn")
+    """SP4: the first int(n · ratio) rows in the given order are ``head``.
+
+    The key of the last head row is found by counting and the rows are marked by comparing
+    with it: nothing is sorted, dealt out or written.  Rows of one key that the number cuts
+    through are told apart by a hash of the whole row; only repeated rows that still tie
+    are numbered."""
+    key = order_key(df, order_cols)
+    n = df.count()
+    cut = int(n * ratio)
+    if cut <= 0:
+        return df.withColumn(split_col, F.lit("tail"))
+    kind = df.select(key.alias("k")).schema["k"].dataType
+    [t] = rows_at_ranks(df, [Target(key, cut, n)])
+    last = literal(t.value, kind)
+    below, tied, left = key < last, key.eqNullSafe(last), cut - t.below
+    if left == t.equal:
+        return df.withColumn(split_col, F.when(below | tied, "head").otherwise("tail"))
+    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    [u] = rows_at_ranks(df.where(tied), [Target(h, left, t.equal)])
+    first = below | (tied & (h < u.value))
+    if left - u.below == u.equal:
+        return df.withColumn(split_col, F.when(first | (tied & (h == u.value)), "head").otherwise("tail"))
+    same = exact_row_number(df.where(tied & (h == u.value)), [], list(order_cols), name="_cf_rn")
+    same = same.withColumn(split_col, F.when(F.col("_cf_rn") <= left - u.below, "head").otherwise("tail")).drop("_cf_rn")
+    return df.where(~(tied & (h == u.value))).withColumn(split_col, F.when(first, "head").otherwise("tail")).unionByName(same)
 
 
 def stratified_folds(df: DataFrame, label: str, key_cols, k: int = 5, seed=42, fold_col: str = "fold") -> DataFrame:

@@ -193,6 +193,16 @@ def en8(spark, sf):
     return out.drop("q", "p")
 
 
+@register("en8_robust_scale", """
+WITH q AS (SELECT quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.5) AS qm, quantile_cont(l_quantity, 0.75) AS q3,
+                  quantile_cont(l_extendedprice, 0.25) AS p1, quantile_cont(l_extendedprice, 0.5) AS pm, quantile_cont(l_extendedprice, 0.75) AS p3
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, (l_quantity - qm) / (q3 - q1) AS q_scaled, (l_extendedprice - pm) / (p3 - p1) AS p_scaled FROM lineitem, q""")
+def en8_robust(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"))
+    return encode.robust_scale(li, ["q", "p"], suffix="_scaled").drop("q", "p")
+
+
 # ---------------------------------------------------------------- SP splits
 
 def _alloc_sql(src: str, cls: str, ratio: float) -> str:
