@@ -25,6 +25,7 @@ term, gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,11 @@ from .common import prepare
 #: of everything above ASCII.
 _TERM_BYTES = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
 
-#: Bytes of text whose terms a task counts at a time.
-FLUSH_BYTES = 16 << 20
+#: Bytes of text split into terms at a time; a longer text is cut into such pieces.
+PIECE_BYTES = 4 << 20
+
+#: Counts (one for each term of a group) that a task holds before it emits them.
+HELD_COUNTS = 1_500_000
 
 #: Terms of a block: the bits of a long.
 BLOCK = 64
@@ -59,69 +63,105 @@ def _plain(texts: pa.Array) -> pa.Array:
     return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends - ends[0]), pa.py_buffer(raw))
 
 
-def _cut_long(texts: pa.Array, size: int) -> tuple[pa.Array, np.ndarray]:
-    """Texts in pieces of about ``size`` bytes, cut between terms where there is a space to
-    cut at, and the text each piece is of."""
-    lengths = pc.binary_length(texts).to_numpy()
-    if not len(lengths) or lengths.max() <= 2 * size:
-        return texts, np.arange(len(texts))
-    pieces, owner = [], []
-    for i, t in enumerate(texts):
-        raw, at = t.as_buffer().to_pybytes(), 0
-        while True:
-            end = raw.find(b" ", at + size) if len(raw) - at > size else -1
-            pieces.append(raw[at:end if end >= 0 else len(raw)])
-            owner.append(i)
-            if end < 0:
-                break
-            at = end
-    return pa.array(pieces, pa.binary()).cast(pa.string()), np.array(owner)
-
-
-def count_terms(texts: pa.Array, langs: pa.Array, sources: pa.Array, size: int = FLUSH_BYTES) -> pa.RecordBatch:
-    """Counts of some documents as a batch of ``_COUNTS``: for each (language, term) the
-    sources it is in, with occurrences and documents.  The term '' lists all sources of a
-    language, with zeros."""
-    lang, source = langs.dictionary_encode(), sources.dictionary_encode()
-    lang_of, source_of = lang.indices.to_numpy(), source.indices.to_numpy()
-    n_sources = len(source.dictionary)
-    pieces, owner = _cut_long(texts, size)
-    key, n, names = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), pa.array([""], pa.string())
-    whole = len(pieces) == len(texts)
-    for at, part in enumerate([pieces] if whole else [pieces[i:i + 1] for i in range(len(pieces))]):
-        words = pc.ascii_split_whitespace(part)
-        doc = np.repeat(owner if whole else owner[at:at + 1], np.diff(words.offsets.to_numpy()))
-        coded = pa.concat_arrays([names, words.flatten()]).dictionary_encode()
-        code = coded.indices.to_numpy()[len(names):].astype(np.int64)
-        names = coded.dictionary
-        used = code > 0  # code 0 is ''
-        found = pc.value_counts(pa.array((code[used] << 32) | doc[used]))
-        key = np.concatenate([key, found.field("values").to_numpy()])
-        n = np.concatenate([n, found.field("counts").to_numpy()])
-    if not whole:  # one document's terms come from several pieces
-        key, back = np.unique(key, return_inverse=True)
-        n = np.bincount(back, weights=n, minlength=len(key)).astype(np.int64)
-    code, doc = key >> 32, key & 0xFFFFFFFF
-    # Every group also has the term '' (code 0), with nothing in it.
-    group_of = lang_of.astype(np.int64) * n_sources + source_of
-    groups = np.unique(group_of)
-    code, n = np.concatenate([code, np.zeros(len(groups), dtype=np.int64)]), np.concatenate([n, np.zeros(len(groups), dtype=np.int64)])
-    group, one = np.concatenate([group_of[doc], groups]), np.concatenate([np.ones(len(doc), dtype=np.int64), np.zeros(len(groups), dtype=np.int64)])
-    order = np.lexsort((group, code))
-    code, group, n, one = code[order], group[order], n[order], one[order]
-    first = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (group[1:] != group[:-1])])) if len(code) else np.empty(0, dtype=np.int64)
-    if not len(first):
-        return pa.RecordBatch.from_arrays([pa.array([], pa.string())] * 2 + [pa.array([], pa.list_(pa.string()))] + [pa.array([], pa.list_(pa.int64()))] * 2,
-                                          ["lang", "term", "sources", "ns", "docs"])
-    n, docs = np.add.reduceat(n, first), np.add.reduceat(one, first)
-    code, group = code[first], group[first]
-    in_lang, in_source = group // n_sources, group % n_sources
-    row = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (in_lang[1:] != in_lang[:-1])]))
+@dataclass
+class Counts:
+    """For each (term, group) its occurrences and documents.  Every group is listed, also
+    without terms."""
+
+    names: pa.Array  # the terms
+    groups: list[tuple[str, str]]  # language and source
+    code: np.ndarray  # place in names ...
+    group: np.ndarray  # ... and in groups
+    n: np.ndarray
+    docs: np.ndarray
+
+
+def count_texts(texts: pa.Array, pairs: list[tuple[str, str]]) -> Counts:
+    """Of texts that ``_plain`` has made; ``pairs`` are their groups."""
+    groups = {g: i for i, g in enumerate(dict.fromkeys(pairs))}
+    of = np.fromiter((groups[g] for g in pairs), dtype=np.int64, count=len(pairs))
+    words = pc.ascii_split_whitespace(texts)
+    coded = words.flatten().dictionary_encode()
+    code, size = coded.indices.to_numpy().astype(np.int64), max(1, len(coded.dictionary))
+    key = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(words.offsets.to_numpy())) * size + code
+    key = key[code != pc.index(coded.dictionary, "").as_py()]
+    found = pc.value_counts(pa.array(key))
+    key, n = found.field("values").to_numpy(), found.field("counts").to_numpy()
+    return _summed(coded.dictionary, list(groups), key % size, of[key // size], n, np.ones(len(n), dtype=np.int64))
+
+
+def _summed(names: pa.Array, groups: list, code: np.ndarray, group: np.ndarray, n: np.ndarray, docs: np.ndarray) -> Counts:
+    """One entry for each code and group, by code and then language and source."""
+    rank = np.empty(len(groups), dtype=np.int64)
+    order = sorted(range(len(groups)), key=lambda i: groups[i])
+    rank[order] = np.arange(len(groups))
+    key = code * max(1, len(groups)) + rank[group]
+    by = np.argsort(key, kind="stable")
+    key = key[by]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    if len(first):
+        n, docs = np.add.reduceat(n[by], first), np.add.reduceat(docs[by], first)
+    key = key[first]
+    return Counts(names, [groups[i] for i in order], (key // max(1, len(groups))).astype(np.int32), (key % max(1, len(groups))).astype(np.int32), n, docs)
+
+
+def merge_counts(parts: list[Counts]) -> Counts:
+    coded = pa.concat_arrays([p.names for p in parts]).dictionary_encode()
+    place = coded.indices.to_numpy().astype(np.int64)
+    groups = {g: i for i, g in enumerate(dict.fromkeys(g for p in parts for g in p.groups))}
+    code, group, at = [], [], 0
+    for p in parts:
+        code.append(place[at + p.code])
+        group.append(np.array([groups[g] for g in p.groups], dtype=np.int64)[p.group])
+        at += len(p.names)
+    return _summed(coded.dictionary, list(groups), np.concatenate(code), np.concatenate(group),
+                   np.concatenate([p.n for p in parts]), np.concatenate([p.docs for p in parts]))
+
+
+def count_pieces(texts: pa.Array, pairs: list[tuple[str, str]], size: int = PIECE_BYTES) -> Iterator[Counts]:
+    """Counts of texts in pieces of about ``size`` bytes.  A text that is longer is cut
+    between terms (where it has a place to cut) and counts as one document."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) if len(texts) else np.empty(0, dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        start = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, start + size, side="right")))
+        if ends[to - 1] - start <= size:
+            yield count_texts(texts[at:to], pairs[at:to])
+        else:  # one long text
+            raw, pos, parts = texts[at].as_buffer(), 0, []
+            while pos < raw.size:
+                step = raw.slice(pos, min(size, raw.size - pos)).to_pybytes()
+                cut = step.rfind(b" ") + 1 if pos + len(step) < raw.size else len(step)
+                if cut <= 0:  # a term longer than the piece
+                    step = raw.slice(pos).to_pybytes()
+                    cut = step.find(b" ") + 1 or len(step)
+                parts.append(count_texts(pa.array([step[:cut]], pa.binary()).cast(pa.string()), pairs[at:to]))
+                pos += cut
+            whole = merge_counts(parts)
+            whole.docs = np.ones_like(whole.docs)
+            yield whole
+        at = to
+
+
+def _as_batch(c: Counts) -> pa.RecordBatch:
+    """As a batch of ``_COUNTS``: for each (language, term) its sources.  The term '' lists
+    all sources of a language, with zeros."""
+    marks = np.arange(len(c.groups), dtype=np.int32)
+    code = np.concatenate([np.full(len(marks), -1, dtype=np.int32), c.code])
+    group = np.concatenate([marks, c.group])
+    zero = np.zeros(len(marks), dtype=np.int64)
+    lang_names = list(dict.fromkeys(g[0] for g in c.groups))
+    lang = np.array([lang_names.index(g[0]) for g in c.groups], dtype=np.int64)[group]
+    row = np.flatnonzero((np.diff(code, prepend=-2) != 0) | (np.diff(lang, prepend=-1) != 0))
     offsets = pa.array(np.append(row, len(code)), type=pa.int32())
+    names = pa.concat_arrays([pa.array([""], pa.string()), c.names])
+    sources = pa.array([g[1] for g in c.groups], pa.string())
     return pa.RecordBatch.from_arrays(
-        [lang.dictionary.take(pa.array(in_lang[row])), names.take(pa.array(code[row])),
-         pa.ListArray.from_arrays(offsets, source.dictionary.take(pa.array(in_source))),
-         pa.ListArray.from_arrays(offsets, pa.array(n)), pa.ListArray.from_arrays(offsets, pa.array(docs))],
+        [pa.array(lang_names, pa.string()).take(pa.array(lang[row])), names.take(pa.array(code[row] + 1)),
+         pa.ListArray.from_arrays(offsets, sources.take(pa.array(group))),
+         pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([zero, c.n]))),
+         pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([zero, c.docs])))],
         ["lang", "term", "sources", "ns", "docs"])
 
 
@@ -134,21 +174,16 @@ def term_counts(df: DataFrame, text: str = "text", lang: str = "lang", source: s
                      F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def flush() -> pa.RecordBatch:
-            texts, langs, sources = (pa.concat_arrays([h[i] for h in held]) for i in range(3))
-            return count_terms(texts, langs, sources)
-
+        held: list[Counts] = []
         for b in batches:
-            plain = _plain(b.column("t"))
-            if held and size + plain.nbytes > FLUSH_BYTES:
-                yield flush()
-                held, size = [], 0
-            held.append((plain, b.column("l"), b.column("s")))
-            size += plain.nbytes
+            pairs = list(zip(b.column("l").to_pylist(), b.column("s").to_pylist()))
+            for part in count_pieces(_plain(b.column("t")), pairs):
+                held.append(part)
+                if sum(len(p.code) for p in held) >= HELD_COUNTS:
+                    yield _as_batch(merge_counts(held))
+                    held = []
         if held:
-            yield flush()
+            yield _as_batch(merge_counts(held))
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = (rows.mapInArrow(run, _COUNTS).repartition(n, "lang", "term")

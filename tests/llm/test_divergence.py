@@ -71,13 +71,21 @@ def test_blocks_of_many_sizes_give_the_same(spark, monkeypatch):
         assert audited(df, min_docs=2) == want, size
 
 
+def as_dict(counts):
+    return {(*c.groups[g], c.names[int(k)].as_py()): (int(n), int(d)) for c in [divergence.merge_counts(counts)] for k, g, n, d in zip(c.code, c.group, c.n, c.docs)}
+
+
 def test_long_texts_are_counted_in_pieces():
-    texts = ["a b " * 4000, "", "c " + "d" * 5000 + " c", "b"]
-    rows = [pa.array(x) for x in (texts, ["l"] * 4, ["s", "s", "t", "t"])]
-    whole, cut = divergence.count_terms(*rows), divergence.count_terms(*rows, size=100)
-    as_dict = lambda b: {(r["lang"], r["term"]): sorted(zip(r["sources"], r["ns"], r["docs"])) for r in b.to_pylist()}
-    assert as_dict(cut) == as_dict(whole)
-    assert as_dict(cut)["l", "b"] == [("s", 4000, 1), ("t", 1, 1)] and as_dict(cut)["l", ""] == [("s", 0, 0), ("t", 0, 0)]
+    texts = pa.array(["a b " * 4000, "", "c " + "d" * 5000 + " c", "b", "é" * 300])
+    pairs = [("l", "s"), ("l", "s"), ("l", "t"), ("l", "t"), ("m", "t")]
+    whole = as_dict(list(divergence.count_pieces(texts, pairs)))
+    for size in (1, 7, 100, 10_000):
+        assert as_dict(list(divergence.count_pieces(texts, pairs, size))) == whole
+    assert whole["l", "s", "b"] == (4000, 1) and whole["l", "t", "b"] == (1, 1) and whole["l", "t", "c"] == (2, 1)
+    batch = divergence._as_batch(divergence.merge_counts(list(divergence.count_pieces(texts, pairs)))).to_pylist()
+    rows = {(r["lang"], r["term"]): list(zip(r["sources"], r["ns"], r["docs"])) for r in batch}
+    assert len(rows) == len(batch) and rows["l", "b"] == [("s", 4000, 1), ("t", 1, 1)]
+    assert rows["l", ""] == [("s", 0, 0), ("t", 0, 0)] and rows["m", ""] == [("t", 0, 0)]
 
 
 def test_terms_of_a_slice_with_nulls():
