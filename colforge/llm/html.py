@@ -25,7 +25,11 @@ from .common import prepare
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style noscript template iframe object embed canvas svg audio video datalist".split())
+HIDDEN = frozenset("head title script style noscript template iframe object embed canvas audio video datalist desc metadata defs".split())
+#: All that a head holds; anything else ends it.
+HEAD_CONTENT = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Inputs that show no text, or not their value.
+TEXTLESS_INPUTS = frozenset("hidden password checkbox radio file image color range".split())
 BLOCK = frozenset(("html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure "
                    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol optgroup option p pre search section "
                    "summary table tbody td tfoot th thead tr ul caption").split())
@@ -46,7 +50,8 @@ _ENDS_P = BLOCK - frozenset("html body dd dt li td th tr tbody thead tfoot capti
 #: An end tag does not reach over these.
 _FENCES = frozenset("table td th caption button".split())
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_INVISIBLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!important\s*)?(?:;|$)", re.I)
+_NOT_DISPLAYED = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!important\s*)?(?:;|$)", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\s*(?:!important\s*)?(?=;|$)", re.I)
 
 
 class Node:
@@ -91,8 +96,8 @@ class TreeBuilder(HTMLParser):
             self._close(*CLOSES[tag])
         if tag in _ENDS_P:
             self._close({"p"}, _FENCES)
-        if self.open[-1].tag == "head" and tag not in HIDDEN and tag not in VOID:
-            self._cut(len(self.open) - 1)  # visible content ends the head
+        if self.open[-1].tag == "head" and tag not in HEAD_CONTENT:
+            self._cut(len(self.open) - 1)
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
@@ -118,15 +123,24 @@ class TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.open[-1].tag == "head" and not _SPACE.fullmatch(data):
+            self._cut(len(self.open) - 1)
         self.open[-1].children.append(data)
 
 
 def _hidden(node: Node) -> bool:
     a = node.attrs
-    return (node.tag in HIDDEN or "hidden" in a or bool(a.get("style") and _INVISIBLE.search(a["style"]))
+    return (node.tag in HIDDEN or "hidden" in a or bool(a.get("style") and _NOT_DISPLAYED.search(a["style"]))
             or (node.tag == "dialog" and "open" not in a))
 
 
+def _visible(node: Node, inherited: bool) -> bool:
+    """Whether an element's own text is seen.  Children of an invisible element may be."""
+    style = node.attrs.get("style")
+    said = _VISIBILITY.findall(style) if style else None
+    return said[-1].lower() == "visible" if said else inherited
+
+
 class _Lines:
     """Collects lines; white space collapses and empty lines do not add up."""
 
@@ -184,7 +198,7 @@ def _render(root: Node) -> list[str]:
     """Walks the tree with a stack of its own, so that depth is no limit.  Tables nest:
     each cell is rendered into lines of its own, and a finished table is laid out."""
     out = _Lines()
-    todo: list[tuple] = [("open", root, False, None)]
+    todo: list[tuple] = [("open", root, False, True)]
     frames: list[tuple[_Lines, list]] = []  # the lines outside a cell
     tables: list[list[list[list[str]]]] = []  # rows of cells of lines
     lists: list[int | None] = []
@@ -192,20 +206,21 @@ def _render(root: Node) -> list[str]:
         step, node, pre, item = todo.pop()
         if step == "open":
             if isinstance(node, str):
-                out.text(node, pre)
+                if item:  # the text is visible
+                    out.text(node, pre)
                 continue
             if _hidden(node):
                 continue
-            tag = node.tag
+            tag, seen = node.tag, _visible(node, item)
             if tag == "br":
                 out.end(keep=bool(out.now) or pre)
                 continue
             if tag == "img":
-                if node.attrs.get("alt"):
+                if node.attrs.get("alt") and seen:
                     out.text(node.attrs["alt"], False)
                 continue
             if tag == "input":
-                if node.attrs.get("type", "").lower() in ("submit", "button", "reset") and node.attrs.get("value"):
+                if node.attrs.get("type", "").strip().lower() not in TEXTLESS_INPUTS and node.attrs.get("value") and seen:
                     out.text(node.attrs["value"], False)
                 continue
             saved = (out.indent, out.prefix)
@@ -232,7 +247,7 @@ def _render(root: Node) -> list[str]:
                 out = _Lines()
             pre = pre or tag in ("pre", "textarea", "listing")
             todo.append(("close", node, pre, saved))
-            todo.extend(("open", c, pre, None) for c in reversed(node.children))
+            todo.extend(("open", c, pre, seen) for c in reversed(node.children))
             continue
         tag = node.tag
         if tag in ("td", "th") and tables:

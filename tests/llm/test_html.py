@@ -21,6 +21,12 @@ from .helpers import SF
     ("<pre> x\n   y</pre>", " x\n   y"), ("<head><title>t</title></head><body>b", "b"), ("<script>if (a<b) '</p>'</script>s", "s"),
     ("<p hidden>no</p><p style='color:red; DISPLAY : none'>no</p><p style='visibility:hidden'>no</p>yes", "yes"),
     ("<!-- no --><![CDATA[ no ]]>yes<![bad x>", "yes"), ("<dl><dt>t<dd>d<dd>e</dl>", "t\n  d\n  e"), ("<img alt='pic'><input type=hidden value=no>", "pic"),
+    ("<head><title>t</title>visible words<p>x", "visible words\n\nx"), ("<head><title>t</title><br>lost line<p>x", "lost line\n\nx"),
+    ("<head>\n <meta name=a>\n<title>t</title>\n<img alt=pic> x", "pic x"), ("<head><script>s</script><hr>y", "y"),
+    ("<input type=text value=shown>", "shown"), ("<input value=a> <input type=SEARCH value=b> <input type=password value=no><input type=checkbox value=no>", "a b"),
+    ("<div style='visibility:hidden'>no<b style='visibility: visible'>yes<i>also</i></b>no</div>", "yesalso"),
+    ("<p style='display:none'>no<b style='visibility:visible'>no</b></p>yes", "yes"), ("<ul style='visibility:collapse'><li>no<li style='visibility:visible'>b</ul>", "- b"),
+    ("<svg><title>no</title><text x=1>drawn</text><defs><text>no</text></defs></svg>", "drawn"),
     ("</div></p>x</table></td>", "x"), ("<li>lone<td>cell", "- lonecell"), ("<blockquote>q</blockquote>", "  q"),
 ])
 def test_layout(page, text):
