@@ -181,7 +181,13 @@ def _op8_find(kind: str, pattern: str, value: str = "m") -> str:
 
 
 _ASSIGN_SQL = secrets.ASSIGN.replace("'", "''")
-_OP8_SQL = f"""
+
+
+def _op8_sql(max_owners: int = 5, max_repositories: int = 5, max_owner_share: float = 0.01) -> str:
+    """The rule of ``scan_secrets``: a value is an example if more than ``max_owners`` owners,
+    more than that share of all owners and more than ``max_repositories`` repositories have
+    it; of equal texts the one of the smallest owner and repository counts."""
+    return f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, source FROM documents),
 f AS MATERIALIZED (
   SELECT rid, kind, s, s + n AS e, CASE WHEN kind = 'assign' THEN regexp_extract(value, '{_ASSIGN_SQL}', 1) ELSE value END AS value FROM (
@@ -191,10 +197,11 @@ b AS (SELECT * FROM f WHERE kind IN ('access', 'hex') OR (kind = 'assign' AND le
 c AS (SELECT * FROM f WHERE kind = 'owned' AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
       AND NOT EXISTS (SELECT 1 FROM b WHERE b.rid = f.rid AND b.s < f.e AND f.s < b.e)),
 u AS MATERIALIZED (SELECT * FROM b UNION ALL SELECT * FROM c),
-o AS (SELECT value FROM (SELECT DISTINCT value, source, source IS NULL AS z FROM u JOIN d USING (rid)) GROUP BY value HAVING count(*) <= 1),
-r AS (SELECT value FROM (SELECT DISTINCT value, doc_id, doc_id IS NULL AS z FROM u JOIN d USING (rid)) GROUP BY value HAVING count(*) <= 5),
+t AS (SELECT value, source, doc_id, row_number() OVER (PARTITION BY value, text ORDER BY source NULLS FIRST, doc_id NULLS FIRST) AS i FROM u JOIN d USING (rid)),
+n AS (SELECT value, count(DISTINCT source) + max((source IS NULL)::INT) AS owners, count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) AS repos FROM t WHERE i = 1 GROUP BY value),
+x AS (SELECT value FROM n WHERE owners > greatest({max_owners}, {max_owner_share}::DOUBLE * (SELECT count(*) FROM (SELECT DISTINCT source FROM d))) AND repos > {max_repositories}),
 k AS (SELECT rid, kind, s, e, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 WHEN 'hex' THEN 2 ELSE 3 END AS no FROM u
-      WHERE kind <> 'owned' OR value IN (SELECT value FROM o JOIN r USING (value))),
+      WHERE kind <> 'owned' OR value NOT IN (SELECT value FROM x)),
 g AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
              coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (kind <> 'owned'), '') AS base,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) AS spans FROM k GROUP BY rid)
@@ -289,7 +296,7 @@ Q = {
     "op5_mixing": (op5_mixing, _OP5_SQL),
     "op6_packing": (op6_packing, None),
     "op7_html_text": (op7_html_text, None),
-    "op8_secrets": (op8_secrets, _OP8_SQL),
+    "op8_secrets": (op8_secrets, _op8_sql()),
     "op9_language_id": (op9_language_id, None),
     "op10_fingerprints": (op10_fingerprints, None),
     "op11_vector_codes": (op11_vector_codes, _op11_sql()),

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from colforge.llm import queries as Q
 from colforge.llm import secrets
 
@@ -18,19 +20,28 @@ def base(text):
     return out
 
 
-def brute(rows, max_owners=1, max_repositories=5):
-    found, owners, repos = [], {}, {}
+def brute(rows, max_owners=5, max_repositories=5, max_owner_share=0.01):
+    """The rule in plain Python: of equal texts that have a value, the smallest owner and
+    repository stand for all."""
+    first = lambda x: (x is not None, x if x is not None else "")  # noqa: E731  null is the smallest
+    found, holders = [], {}
     for doc_id, text, source in rows:
         b = base(text)
         c = [("owned", m.start(), m.end(), m[0]) for m in re.finditer("[A-Za-z0-9+/_-]{20,}", text or "")
              if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and not any(x[1] < m.end() and m.start() < x[2] for x in b)]
         for s in b + c:
-            owners.setdefault(s[3], set()).add(source)
-            repos.setdefault(s[3], set()).add(doc_id)
+            texts = holders.setdefault(s[3], {})
+            texts[text] = min(texts.get(text, (source, doc_id)), (source, doc_id), key=lambda h: (first(h[0]), first(h[1])))
         found.append((doc_id, b, c))
+    limit = max(max_owners, max_owner_share * len({r[2] for r in rows}))
+
+    def example(value):
+        has = holders[value].values()
+        return len({o for o, _ in has}) > limit and len({r for _, r in has}) > max_repositories
+
     out = []
     for doc_id, b, c in found:
-        c = [s for s in c if len(owners[s[3]]) <= max_owners and len(repos[s[3]]) <= max_repositories]
+        c = [s for s in c if not example(s[3])]
         join = lambda spans: ",".join(f"{k}:{a}:{z}" for k, a, z, _ in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]))))
         out.append((doc_id, *[sum(s[0] == k for s in b) for k in KINDS[:3]], hashlib.sha256(join(b).encode()).hexdigest(), join(b + c)))
     return sorted(out, key=str)
@@ -95,6 +106,39 @@ def test_how_live_values_spread(spark):
     assert owned(spark, [(i, f"note {i}", f"s{i}") for i in range(9)], max_owner_share=1.0) == list(range(9))
 
 
+def planted():
+    """Values in many owners and repositories, in few of either, in copies, and at each limit."""
+    rows = [(f"{n} {KEY}{i}", f"s{j}") for n, i, owners in (("few", 1, 5), ("many", 2, 6), ("one", 3, 1), ("more", 4, 20)) for j in range(20) for n in [f"{n}{j}"] if j < owners]
+    rows += [(f"one {j} {KEY}3", "s0") for j in range(12)]  # one owner, many documents
+    rows += [(f"same text {KEY}5", f"s{j}") for j in range(30)]  # copies in many sources
+    rows += [(f"few0 {KEY}1", f"s{j}") for j in range(9)] + [(f"{KEY}6 {i}", None) for i in range(9)]
+    rows += [(f"x{i} {KEY}7 {KEY}8", f"s{i}") for i in range(6)] + [(f"y {KEY}8 password={KEY}9 {i}", f"s{i}") for i in range(8)]
+    rows += [(f"z{i} {KEY}10", f"s{i % 5}") for i in range(8)]  # 5 owners, 8 repositories
+    rows = [(i if i % 7 else i // 2, t, o) for i, (t, o) in enumerate(rows)]
+    rows += [(900 + i % 4, f"u{i} {KEY}11", f"s{i}") for i in range(8)]  # 8 owners, 4 repositories
+    return rows + [(950 + i % 6, f"v{i} {KEY}12", f"s{i}") for i in range(7)]  # 7 owners, 6 repositories
+
+
+LIMITS = [{}, {"max_owners": 4}, {"max_owners": 6}, {"max_repositories": 6}, {"max_repositories": 0}, {"max_owner_share": 0.2}, {"max_owner_share": 1.0},
+          {"max_owners": 19, "max_repositories": 19}]
+
+
+def test_sql_brute_force_and_operator_have_one_rule(spark):
+    import duckdb
+    rows = planted()
+    df = edge_docs(spark, rows=[(i, t, "en", o, 1) for i, t, o in rows])
+    documents = df.select("doc_id", "text", "source").toPandas()  # noqa: F841  read by DuckDB
+    seen = set()
+    for kw in LIMITS:
+        got = secrets.scan_secrets(df, **kw).select("doc_id", secrets.span_text(F.col("spans")).alias("spans")).collect()
+        got = sorted((str(r["doc_id"]), r["spans"]) for r in got)
+        assert got == sorted((str(b[0]), b[5]) for b in brute(rows, **kw)), kw
+        sql = duckdb.sql(Q._op8_sql(**kw)).limit(10**6).fetchall()
+        assert got == sorted((str(r[0]), r[5]) for r in sql), kw
+        seen.add(str(got))
+    assert len(seen) >= 6 and "owned" in str(seen)  # the limits change the result
+
+
 def test_native_plan(spark):
     plan = secrets.scan_secrets(edge_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
