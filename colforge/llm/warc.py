@@ -40,7 +40,7 @@ from pyspark.sql.datasource import (
 
 from colforge.session import bounded_broadcast, ensure_checkpoint_dir, materialize, scratch_path
 
-from .common import prepare
+from .common import free_name, prepare
 
 SCHEMA = ("record_id string, record_type string, target_uri string, date string, payload_digest string, "
           "refers_to string, payload_bytes long, payload binary")
@@ -179,14 +179,17 @@ class WarcReader(DataSourceReader):
         want_payload = "payload" in self.columns
         for name in partition.names:
             with fs.open_input_file(f"{folder}/{name}") as f:
-                for header, rest in (gzip_records if name.endswith(".gz") else plain_records)(f):
+                for header, block in (gzip_records if name.endswith(".gz") else plain_records)(f):
                     row = {c: _clean(c, header.get(h)) for c, h in _HEADERS.items()}
                     if all(test(row[c], value) for c, test, value in self.tests):
-                        block = rest(None if want_payload else 4096)
-                        http, _, payload = block.partition(b"\r\n\r\n")
-                        length = _fields(http).get("content-length")
-                        row["payload_bytes"] = int(length) if length else None
-                        row["payload"] = payload if want_payload and row["record_type"] == "response" else None
+                        row["payload"] = row["payload_bytes"] = None
+                        if want_payload or "payload_bytes" in self.columns:
+                            http = block.http_header()
+                            stated = _fields(http).get("content-length", "") if http else ""
+                            own = block.left if row["record_type"] != "revisit" else None  # a revisit has no payload of its own
+                            row["payload_bytes"] = int(stated) if stated.isdigit() else own
+                            if want_payload and row["record_type"] == "response":
+                                row["payload"] = block.payload()
                         yield tuple(row[c] for c in self.columns)
 
 
@@ -234,56 +237,134 @@ def _clean(column: str, value: str | None) -> str | None:
     return value.removeprefix("sha1:") if column == "payload_digest" else value
 
 
+class _Stream:
+    """Bytes that come in pieces from ``more`` (which gives b"" at the end), read by need;
+    ``jump`` passes over some, where that is possible without reading them."""
+
+    def __init__(self, more, jump=None):
+        self.more, self.jump, self.held = more, jump, b""
+
+    def _fill(self, n: int) -> None:
+        parts, have = [self.held], len(self.held)
+        while have < n:
+            got = self.more()
+            if not got:
+                break
+            parts.append(got)
+            have += len(got)
+        self.held = b"".join(parts)
+
+    def until(self, end: bytes, limit: int | None = None) -> bytes:
+        """Up to and with ``end``, however far it is, within ``limit`` bytes; all that is left
+        if there is none."""
+        looked, want = 0, 4096
+        while True:
+            self._fill(want if limit is None else min(want, limit))
+            at = self.held.find(end, max(0, looked - len(end)), limit)
+            if at >= 0:
+                return self.take(at + len(end))
+            if len(self.held) < want or (limit is not None and want >= limit):
+                return self.take(len(self.held) if limit is None else min(limit, len(self.held)))
+            looked, want = len(self.held), 2 * want
+
+    def take(self, n: int) -> bytes:
+        self._fill(n)
+        out, self.held = self.held[:n], self.held[n:]
+        return out
+
+    def skip(self, n: int) -> None:
+        while n > 0:
+            step = min(n, len(self.held))
+            self.held, n = self.held[step:], n - step
+            if n and self.jump:
+                return self.jump(n)
+            if n:
+                self.held = self.more()
+                if not self.held:
+                    return
+
+    def skip_breaks(self) -> bool:
+        """Past line breaks; False at the end."""
+        while True:
+            self._fill(1)
+            if not self.held:
+                return False
+            self.held = self.held.lstrip(b"\r\n")
+            if self.held:
+                return True
+
+
+def _stream_records(stream: _Stream) -> Iterator[tuple]:
+    """(header fields, the stream at the block, the block's length) of record after record.
+    What the caller leaves of a block is passed over."""
+    while stream.skip_breaks():
+        header = _fields(stream.until(b"\r\n\r\n"))
+        length = header.get("content-length", "")
+        length = int(length) if length.isdigit() else 0
+        block = _Block(stream, length)
+        yield header, block
+        stream.skip(block.left)
+
+
+class _Block:
+    """The block of a record: its HTTP header and payload."""
+
+    def __init__(self, stream: _Stream, length: int):
+        self.stream, self.length, self.left = stream, length, length
+
+    def http_header(self) -> bytes:
+        """The HTTP header with its empty line; b"" if the block is not an HTTP message."""
+        start = self.stream.take(min(5, self.left))
+        self.stream.held = start + self.stream.held
+        if start != b"HTTP/":
+            return b""
+        head = self.stream.until(b"\r\n\r\n", self.left)
+        self.left -= len(head)
+        return head
+
+    def payload(self) -> bytes:
+        out = self.stream.take(self.left)
+        self.left -= len(out)
+        return out
+
+
 def gzip_records(f) -> Iterator[tuple]:
-    """(header fields, function that gives the block's first bytes or all of it) of each
-    member.  Members with an ``sl`` field are passed over without inflating the rest."""
+    """The records of all members.  A member with an ``sl`` field holds one record, and what
+    the caller does not read of it is not inflated; a member without may hold many."""
     pos, end = 0, f.size()
     while pos < end:
         f.seek(pos)
         raw = f.read(4096)
-        inflate, head = zlib.decompressobj(zlib.MAX_WBITS | 16), b""
         size = _member_size(raw)
+        inflate = zlib.decompressobj(zlib.MAX_WBITS | 16)
 
-        def more(limit: int) -> bytes:
+        def more() -> bytes:
             nonlocal raw
             while not inflate.eof:
                 if not inflate.unconsumed_tail and not raw:
                     raw = f.read(1 << 16)
                     if not raw:
-                        break
-                got = inflate.decompress(inflate.unconsumed_tail or raw, limit)
+                        return b""  # cut off
+                got = inflate.decompress(inflate.unconsumed_tail or raw, 4096 if size else 1 << 16)
                 if not inflate.unconsumed_tail:
                     raw = b""
                 if got:
                     return got
             return b""
 
-        while b"\r\n\r\n" not in head:
-            got = more(1024)
-            if not got:
+        stream = _Stream(more)
+        if size:
+            for record in _stream_records(stream):
+                yield record
                 break
-            head += got
-        top, _, block = head.partition(b"\r\n\r\n")
-        header = _fields(top)
-        length = int(header.get("content-length", 0))
-
-        def rest(limit: int | None, block=block, length=length) -> bytes:
-            want = length if limit is None else min(length, limit)
-            parts, have = [block], len(block)
-            while have < want:
-                got = more(max(1024, want - have))
-                if not got:
-                    break
-                parts.append(got)
-                have += len(got)
-            return b"".join(parts)[:want]
-
-        yield header, rest
-        if not size:  # an archive without the field: inflate to the member's end
-            while more(1 << 16):
-                pass
-            size = f.tell() - len(inflate.unused_data) - pos
-        pos += size
+            pos += size
+            continue
+        yield from _stream_records(stream)
+        while more():  # what a broken header left
+            pass
+        if not inflate.eof:
+            return
+        pos = f.tell() - len(inflate.unused_data)
 
 
 def _member_size(raw: bytes) -> int:
@@ -293,25 +374,8 @@ def _member_size(raw: bytes) -> int:
 
 
 def plain_records(f) -> Iterator[tuple]:
-    pos, end = 0, f.size()
-    while pos < end:
-        f.seek(pos)
-        head = b""
-        while b"\r\n\r\n" not in head:
-            got = f.read(1024)
-            if not got:
-                return
-            head += got
-        top = head.partition(b"\r\n\r\n")[0]
-        header, at = _fields(top), pos + len(top) + 4
-        length = int(header.get("content-length", 0))
-
-        def rest(limit: int | None, at=at, length=length) -> bytes:
-            f.seek(at)
-            return f.read(length if limit is None else min(limit, length))
-
-        yield header, rest
-        pos = at + length + 4
+    """The records of an archive that is not compressed; what is not wanted is not read."""
+    return _stream_records(_Stream(lambda: f.read(1 << 16), lambda n: f.seek(f.tell() + n)))
 
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", html: str = "html", min_bytes: int = 0) -> DataFrame:
@@ -320,14 +384,15 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", html: str = "html",
     revisits if an equal payload has one, and rows that share the smallest id are all
     responses.  Input columns of these names are replaced."""
     pages = pages.drop(*[c for c in ("payload", "record_type", "refers_to") if c not in (id_col, html)])
+    digest, smallest = free_name(pages, "_digest"), free_name(pages, "_first")
     payload = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
-    own = pages.withColumn("payload", payload).withColumn("_digest", F.when(F.length("payload") >= min_bytes, F.sha1("payload")))
-    first = materialize(own.where("_digest is not null").groupBy("_digest").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n"))
-                        .where("_n > 1").drop("_n"), "warc-copies")
-    joined = own.join(bounded_broadcast(first), "_digest", "left")
-    revisit = F.col("_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("_first"))
+    own = pages.withColumn("payload", payload).withColumn(digest, F.when(F.length("payload") >= min_bytes, F.sha1("payload")))
+    first = materialize(own.where(F.col(digest).isNotNull()).groupBy(digest).agg(F.min(id_col).alias(smallest), F.count(F.lit(1)).alias("n"))
+                        .where("n > 1").select(digest, smallest), "warc-copies")
+    joined = own.join(bounded_broadcast(first), digest, "left")
+    revisit = F.col(smallest).isNotNull() & ~F.col(id_col).eqNullSafe(F.col(smallest))
     return (joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
-            .withColumn("refers_to", F.when(revisit, F.col("_first"))).drop("_digest", "_first"))
+            .withColumn("refers_to", F.when(revisit, F.col(smallest))).drop(digest, smallest))
 
 
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = 0, **options) -> None:
@@ -346,11 +411,15 @@ def read_archive(spark: SparkSession, path: str, columns: str = SCHEMA, **option
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
-    """Write ``pages`` to a fresh archive in the shared folder and read its headers back."""
+    """Write ``pages`` to a fresh archive in the shared folder and read it back: of responses
+    the payload, which is measured; of revisits the headers alone, their blocks passed over."""
     spark = pages.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, "warc")
     write_archive(pages, path, id_col)
     kind = dict(pages.dtypes)[id_col]
-    read = read_archive(spark, path, "record_id string, record_type string, payload_digest string, refers_to string, payload_bytes long")
+    heads = "record_id string, record_type string, payload_digest string, refers_to string"
+    responses = read_archive(spark, path, f"{heads}, payload binary").where("record_type = 'response'")
+    revisits = read_archive(spark, path, f"{heads}, payload_bytes long").where("record_type = 'revisit'")
+    read = responses.withColumn("payload", F.length("payload").cast("long")).withColumnRenamed("payload", "payload_bytes").unionByName(revisits)
     return read.select(F.col("record_id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

@@ -74,6 +74,54 @@ def test_archives_from_elsewhere(spark, tmp_path):
                 assert all(bytes(r["payload"]) == b"payload %d" % int(r["record_id"]) * 5000 for r in rows)
 
 
+def http(header, payload):
+    return b"HTTP/1.1 200 OK\r\n" + header + b"\r\n" + payload
+
+
+def foreign(record_id, block, kind="response"):
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{record_id}>\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
+FOREIGN = [foreign(0, http(b"X-Long: " + b"h" * 8192 + b"\r\nContent-Length: 7\r\n", b"payload")), foreign(1, http(b"", b"no\r\n\r\nlength" * 30_000)),
+           foreign(2, b"software: x\r\n\r\ny", "warcinfo"), foreign(3, http(b"Content-Length: 99\r\n", b""), "revisit"), foreign(4, b""), foreign(5, http(b"", b""), "revisit"),
+           foreign(6, http(b"", b"last"))]
+WANT = {"0": (7, b"payload"), "1": (360_000, b"no\r\n\r\nlength" * 30_000), "2": (16, None), "3": (99, None), "4": (0, b""), "5": (None, None), "6": (4, b"last")}
+
+
+@pytest.mark.parametrize("kind", ["one member", "a member each", "two of three", "plain", "no line breaks between"])
+def test_all_records_of_foreign_archives(spark, tmp_path, kind):
+    raw = {"one member": gzip.compress(b"".join(FOREIGN)), "a member each": b"".join(map(gzip.compress, FOREIGN)),
+           "two of three": gzip.compress(b"".join(FOREIGN[:3])) + gzip.compress(b"".join(FOREIGN[3:])), "plain": b"".join(FOREIGN),
+           "no line breaks between": b"".join(r[:-4] for r in FOREIGN)}[kind]
+    (tmp_path / ("a.warc.gz" if "member" in kind or "three" in kind else "a.warc")).write_bytes(raw)
+    full = {r["record_id"]: (r["payload_bytes"], None if r["payload"] is None else bytes(r["payload"])) for r in warc.read_archive(spark, str(tmp_path)).collect()}
+    assert full == WANT
+    # the size does not depend on the columns that are asked for
+    sizes = {r[0]: r[1] for r in warc.read_archive(spark, str(tmp_path), "record_id string, payload_bytes long").collect()}
+    assert sizes == {k: v[0] for k, v in WANT.items()}
+    some = warc.read_archive(spark, str(tmp_path)).where("record_type = 'revisit'")
+    assert sorted(r["record_id"] for r in some.collect()) == ["3", "5"]
+
+
+def test_a_cut_off_archive_ends(spark, tmp_path):
+    whole = gzip.compress(b"".join(FOREIGN), mtime=0)
+    for n in (30, len(whole) // 2, len(whole) - 5):
+        (tmp_path / "a.warc.gz").write_bytes(whole[:n])
+        assert warc.read_archive(spark, str(tmp_path), "record_id string").count() <= len(FOREIGN)
+
+
+def test_columns_with_names_used_inside(spark):
+    df = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab")], "page_id long, url string, html string")
+    df = df.select("*", *[F.lit(c).alias(c) for c in ("_first", "_digest", "n", "_n", "payload", "record_type")])
+    out = warc.with_revisits(df)
+    assert set(df.columns) <= set(out.columns)
+    rows = {r["page_id"]: r for r in out.collect()}
+    assert (rows[2]["record_type"], rows[2]["refers_to"], rows[1]["record_type"]) == ("revisit", 1, "response")
+    assert all(r["_first"] == "_first" and r["_digest"] == "_digest" and r["n"] == "n" for r in rows.values())
+    assert sorted(warc.round_trip(df).select("page_id", "payload_bytes", "refers_to").collect()) == [(1, 2, None), (2, 2, 1)]
+
+
 def test_members_are_plain_gzip():
     raw = warc.record_bytes("1", "response", "u", None, b"x" * 5000, "d")
     member = warc.gzip_member(raw, 1)
