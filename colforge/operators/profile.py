@@ -6,14 +6,18 @@ its unpivoted form), never one job per column.
 
 from __future__ import annotations
 
+import json
+import math
+from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import nan_to_null
-from ..session import bounded_broadcast
+from ..session import bounded_broadcast, materialize
 
 
 def _clean(df: DataFrame, c: str) -> Column:
@@ -104,43 +108,91 @@ def distinct_counts(df: DataFrame, cols=None, approx: bool = False, rsd: float =
     return names.join(found, "feature", "left").select("feature", F.coalesce("nunique", F.lit(0)).cast("bigint").alias("nunique"))
 
 
-#: Column pairs whose moments one aggregation computes; more pairs take more aggregations.
-PAIRS_AT_ONCE = 120
+#: Columns of one side of a scan's pairs; a task holds six sums for each pair.
+COLUMNS_AT_ONCE = 1_000
+
+#: Rows from which the values are shifted before they are summed.
+SHIFT_ROWS = 1_000
+
+#: A column is summed again about its mean if that is so many deviations from the shift.
+FAR_SHIFT = 1_000.0
+
+_PAIR = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pair_sums(x: DataFrame, left: list[int], right: list[int], shift: list[float]) -> DataFrame:
+    """Sums for every pair i < j of a column of ``left`` and one of ``right``, over the rows
+    where both are present: one block product per Arrow batch, one row per pair and task."""
+    used = sorted({*left, *right})
+    a, b = [used.index(i) for i in left], [used.index(j) for j in right]
+    about = np.array([shift[i] for i in used])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - about
+            m = (~np.isnan(v)).astype(np.float64)
+            v[m == 0] = 0.0
+            w = v * v
+            ml, mr, vl, vr = m[:, a], m[:, b], v[:, a], v[:, b]
+            with np.errstate(invalid="ignore"):  # infinities times nothing
+                sums = np.stack([ml.T @ mr, vl.T @ mr, ml.T @ vr, w[:, a].T @ mr, ml.T @ w[:, b], vl.T @ vr])
+            total = sums if total is None else total + sums
+        if total is None:
+            return
+        i, j = np.meshgrid(np.array(left), np.array(right), indexing="ij")
+        up = i < j
+        yield pa.RecordBatch.from_arrays([pa.array(i[up], pa.int32()), pa.array(j[up], pa.int32()), *[pa.array(t[up]) for t in total]],
+                                         ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return x.select(*[f"x{i}" for i in used]).mapInArrow(run, _PAIR)
 
 
 def pairwise_corr(df: DataFrame, cols) -> DataFrame:
-    """AG6: Pearson correlation of every column pair (i < j in the given order), over
-    the rows where both values are present.
-
-    Every pair is a handful of moment aggregates over the rows as they are: no row is
-    multiplied, and the shuffle carries one partial row per task.  Pairs are taken in
-    blocks, so that the generated code stays within bounds; each block reads its own
-    columns only.  A pair with a constant side (``min = max`` over its rows) or fewer
-    than two rows gives NULL, which never passes a threshold; ``try_divide`` keeps ANSI
-    mode from raising.  Output: ``feature_1, feature_2, corr``.
+    """AG6: Pearson correlation of every column pair (i < j in the given order), over the
+    rows where both values are present.
+
+    A masked Gram matrix: each task multiplies its Arrow batches, values and presence, into
+    block sums of all pairs, and the sums are added by pair.  One scan serves up to
+    ``COLUMNS_AT_ONCE`` columns, 1,000 by default; more take a scan per pair of such column
+    groups.  Values are summed about the mean of some first rows; if a column turns out to
+    lie far from that (``FAR_SHIFT`` deviations), all are summed once more about their means.
+    A pair with a constant side or fewer than two rows gives NULL, which never passes a
+    threshold, and so does a column with infinities.  Output: ``feature_1, feature_2, corr``.
     """
     cols = list(cols)
-    pairs = list(combinations(cols, 2))
     spark = df.sparkSession
-    if not pairs:
+    if len(cols) < 2:
         return spark.createDataFrame([], "feature_1 string, feature_2 string, corr double")
-    tables = []
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        block = pairs[at:at + PAIRS_AT_ONCE]
-        used = list(dict.fromkeys(c for p in block for c in p))
-        clean = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(used)])
-        aggs, rows = [], []
-        for k, (a, b) in enumerate(block):
-            x, y = F.col(f"x{used.index(a)}"), F.col(f"x{used.index(b)}")
-            both = x.isNotNull() & y.isNotNull()
-            x, y = F.when(both, x), F.when(both, y)
-            aggs += [F.covar_pop(x, y).alias(f"e{k}"), F.stddev_pop(x).alias(f"f{k}"), F.stddev_pop(y).alias(f"g{k}"), F.min(x).alias(f"a{k}"), F.max(x).alias(f"b{k}"), F.min(y).alias(f"c{k}"), F.max(y).alias(f"d{k}")]
-            varies = (F.col(f"a{k}") < F.col(f"b{k}")) & (F.col(f"c{k}") < F.col(f"d{k}"))
-            r = F.when(varies, F.try_divide(F.col(f"e{k}"), F.col(f"f{k}") * F.col(f"g{k}")))
-            r = F.when(r.isNotNull(), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
-            rows.append(F.struct(F.lit(a).alias("feature_1"), F.lit(b).alias("feature_2"), r.alias("corr")))
-        tables.append(clean.agg(*aggs).select(F.inline(F.array(*rows))))
-    return reduce(lambda a, b: a.unionByName(b), tables)
+    x = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)])
+    first = x.limit(SHIFT_ROWS).agg(*[F.avg(f"x{i}").alias(f"x{i}") for i in range(len(cols))]).first()
+    shift = [v if v is not None and math.isfinite(v) else 0.0 for v in first]
+    groups = [list(range(at, min(at + COLUMNS_AT_ONCE, len(cols)))) for at in range(0, len(cols), COLUMNS_AT_ONCE)]
+
+    def sums(shift: list[float]) -> DataFrame:
+        d = F.lit(len(cols))
+        none = (spark.range(len(cols) ** 2).select((F.col("id") / d).cast("int").alias("i"), (F.col("id") % d).cast("int").alias("j"))
+                .where("i < j").select("i", "j", *[F.lit(0.0).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
+        parts = [none, *[_pair_sums(x, g, h, shift) for k, g in enumerate(groups) for h in groups[k:]]]
+        rows = reduce(lambda p, q: p.unionByName(q), parts)
+        return materialize(rows.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]), "pair-sums")
+
+    found = sums(shift)
+    side = lambda c, s, ss: found.select(F.col(c).alias("c"), "n", F.col(s).alias("s"), F.col(ss).alias("ss"))
+    mean = F.try_divide(F.col("s"), F.col("n"))
+    most = (side("i", "sx", "sxx").unionByName(side("j", "sy", "syy")).groupBy("c")
+            .agg(F.max_by(F.struct(mean.alias("m"), F.try_divide(F.col("ss"), F.col("n")).alias("q")), "n").alias("x")).select("c", "x.*"))
+    means = {r["c"]: (r["m"], r["q"]) for r in most.collect() if r["m"] is not None and math.isfinite(r["m"]) and math.isfinite(r["q"])}  # one row per column
+    if any(q - m * m < (m / FAR_SHIFT) ** 2 and abs(m) > 1e-9 * abs(shift[i]) for i, (m, q) in means.items()):
+        found = sums([s + means[i][0] if i in means else s for i, s in enumerate(shift)])
+    n = F.col("n")
+    vx, vy = n * F.col("sxx") - F.col("sx") ** 2, n * F.col("syy") - F.col("sy") ** 2
+    # Less than this is what rounding leaves of a constant: shifted values have at least 1e-6.
+    varies = (n > 1) & (vx > n * F.col("sxx") * 1e-9) & (vy > n * F.col("syy") * 1e-9)
+    r = F.when(varies, F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(vx) * F.sqrt(vy)))
+    r = F.when(r.isNotNull() & ~F.isnan(r), F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))  # least/greatest skip NULL
+    names = F.from_json(F.lit(json.dumps(cols)), "array<string>")
+    return found.select(F.get(names, F.col("i")).alias("feature_1"), F.get(names, F.col("j")).alias("feature_2"), r.alias("corr"))
 
 
 def cumulative_share(imp: DataFrame, feature: str = "feature", value: str = "importance") -> DataFrame:

@@ -220,6 +220,49 @@ def test_pairwise_corr_of_many_columns_multiplies_no_rows(spark):
     assert len(got) == 190 and all(abs(v - want.loc[a, b]) < 1e-9 for (a, b), v in got.items())
 
 
+@pytest.mark.parametrize("at_once", [1000, 7])
+def test_five_hundred_columns_take_one_scan(spark, tmp_path, monkeypatch, at_once):
+    """Pairwise complete over nulls, far from zero, drifting, constant and infinite columns."""
+    import numpy as np
+    from colforge.operators import profile as pf
+    d = 500 if at_once > 500 else 20
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, d)) + rng.normal(size=(1500, 1))
+    x[:, 1] += 1e9
+    x[1000:, 2] += 1e7  # the first rows say nothing of the rest
+    x[:, 3] = 0.1
+    x[:, 4] = np.where(np.arange(1500) < 1200, np.nan, 5.0)
+    x[:, 5] = np.nan
+    x[7, 6] = np.inf
+    x[rng.random(x.shape) < 0.1] = np.nan
+    names = [f"c{i}" for i in range(d)]
+    import pandas as pd
+    pd.DataFrame(x, columns=names).to_parquet(tmp_path / "x.parquet", index=False)
+    df = spark.read.parquet(str(tmp_path / "x.parquet"))
+    monkeypatch.setattr(pf, "COLUMNS_AT_ONCE", at_once)
+    scans = []
+    real = pf._pair_sums
+    monkeypatch.setattr(pf, "_pair_sums", lambda *a: scans.append(1) or real(*a))
+    got = {(r[0], r[1]): r[2] for r in pf.pairwise_corr(df, names).collect()}
+    blocks = -(-d // at_once)
+    assert len(scans) <= 2 * blocks * (blocks + 1) // 2 and len(got) == d * (d - 1) // 2
+    want = pd.DataFrame(np.where(np.isinf(x), 0, x), columns=names).corr(min_periods=2).to_numpy()
+    for i in range(d):
+        for j in range(i + 1, d):
+            v = got[f"c{i}", f"c{j}"]
+            if {i, j} & {3, 4, 5, 6}:
+                assert v is None, (i, j)
+            else:
+                assert abs(v - want[i, j]) < 1e-6, (i, j)
+    plain = df.drop("c1", "c2", "c4")
+    scans.clear()
+    pf.pairwise_corr(plain, plain.columns).count()
+    if at_once > 500:
+        assert len(scans) == 1
+    none = {(r[0], r[1]): r[2] for r in pf.pairwise_corr(df.limit(0), names[:4]).collect()}
+    assert len(none) == 6 and set(none.values()) == {None}
+
+
 def test_selector_needs_labels_and_keeps_text_columns(spark):
     from colforge.operators.select import FeatureSelector
     rows = [(float(i), float(i % 3), "x" if i % 2 else "y", i % 2) for i in range(60)]
