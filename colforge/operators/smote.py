@@ -1,13 +1,5 @@
-"""SMOTE and SMOTE-NC oversampling (RB2, RB3) with exact k nearest neighbours.
-
-The neighbour search never forms all pairs of a class.  Every row gets a projection
-``p = x·u`` on a seeded unit direction; since ``|p_x − p_y| <= ||x − y||``, a row's true
-k nearest neighbours all lie inside the band ``|p_y − p_x| <= r_x`` for any upper bound
-``r_x`` of its k-th neighbour distance.  The bound comes from the k rows on each side
-in projection order (an equi-join on rank offsets), and the band is an equi-join on
-projection buckets followed by the exact band filter.  The search is exact; its work
-tracks how well one direction separates the class (dense, diffuse high-dimensional
-classes approach the class size per row, which is the inherent cost of exact k-NN).
+"""SMOTE and SMOTE-NC oversampling (RB2, RB3) with exact k nearest neighbours, found by
+the metric index of ``neighbours``.
 
 Synthetic rows are deterministic: each minority row seeds ``n_new / n_c`` samples
 (the remainder goes to the first rows of a seeded permutation), and the neighbour
@@ -16,90 +8,19 @@ and the interpolation gap of every sample come from hashes of ``(seed, key, samp
 
 from __future__ import annotations
 
-import math
-import random
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .neighbours import nearest_neighbours
 from .ranking import exact_row_number
 from .split import class_counts
 
 
-def _unit_vector(d: int, seed: int) -> list[float]:
-    rng = random.Random(seed)
-    v = [rng.gauss(0.0, 1.0) for _ in range(d)]
-    n = math.sqrt(sum(a * a for a in v)) or 1.0
-    return [a / n for a in v]
-
-
-def _dot(v: Column, u: list[float]) -> Column:
-    return F.aggregate(F.zip_with(v, F.array(*[F.lit(float(a)) for a in u]), lambda a, b: a * b),
-                       F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _sqdist(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, x: acc + x)
-
-
 def _uniform(seed: int, *cols) -> Column:
     """A hash-based uniform number in [0, 1)."""
     return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 30)).cast("double") / float(1 << 30)
 
 
-def nearest_neighbours(x: DataFrame, label: str, key: str, k: int, seed: int = 2,
-                       penalty: Column | None = None) -> DataFrame:
-    """Exact k nearest neighbours within each class.
-
-    ``x`` has ``key``, ``label``, ``_v`` (array<double>); ``penalty(l, r)`` (alias names) optionally
-    adds a squared-distance term (SMOTE-NC categorical mismatches), which only makes
-    distances larger, so the projection bound stays valid.
-    Returns ``(key, label, nb_rank 1..k, nb_key, nb_v)``.
-    """
-    d = len(x.select("_v").first()["_v"])
-    u = _unit_vector(d, seed)
-    x = x.withColumn("_p", _dot(F.col("_v"), u))
-    ranked = exact_row_number(x, [label], ["_p", key], name="_rk")
-
-    def dist(left: str, right: str):
-        sq = _sqdist(F.col(f"{left}._v"), F.col(f"{right}._v"))
-        if penalty is not None:
-            sq = sq + penalty(left, right)
-        return F.sqrt(sq)
-
-    # upper bound of the k-th distance: the k rows on each side in projection order
-    a = ranked.alias("a")
-    b = ranked.alias("b")
-    offs = a.select("*", F.explode(F.array(*[F.lit(o) for o in range(-k, k + 1) if o != 0])).alias("_off"))
-    near = offs.join(b, (F.col(f"a.{label}") == F.col(f"b.{label}")) & (F.col("a._rk") + F.col("_off") == F.col("b._rk")))
-    bound = (near.select(F.col(f"a.{key}").alias(key), dist("a", "b").alias("_d"))
-             .groupBy(key).agg(F.sort_array(F.collect_list("_d")).alias("_ds")))
-    bound = bound.select(key, F.element_at("_ds", F.least(F.size("_ds"), F.lit(k))).alias("_r"))
-    # bucket width per class: median bound (a small, class-count sized collect)
-    x2 = ranked.join(bound, key)
-    widths = {r[label]: (r["w"] or 1.0) for r in
-              x2.groupBy(label).agg(F.percentile_approx("_r", 0.5).alias("w")).collect()}
-    wexpr = None
-    for c, w in widths.items():
-        w = w if w > 0 else 1.0
-        cond = F.col(label) == F.lit(c)
-        wexpr = F.when(cond, F.lit(float(w))) if wexpr is None else wexpr.when(cond, F.lit(float(w)))
-    x2 = x2.withColumn("_w", wexpr)
-    probe = x2.withColumn("_b", F.explode(F.sequence(F.floor((F.col("_p") - F.col("_r")) / F.col("_w")),
-                                                     F.floor((F.col("_p") + F.col("_r")) / F.col("_w")))))
-    build = x2.withColumn("_b", F.floor(F.col("_p") / F.col("_w")))
-    l, r = probe.alias("l"), build.alias("r")
-    pairs = l.join(r, (F.col(f"l.{label}") == F.col(f"r.{label}")) & (F.col("l._b") == F.col("r._b")))
-    pairs = pairs.where((F.col(f"l.{key}") != F.col(f"r.{key}"))
-                        & (F.abs(F.col("l._p") - F.col("r._p")) <= F.col("l._r")))
-    cand = pairs.select(F.col(f"l.{key}").alias(key), F.col(f"l.{label}").alias(label),
-                        F.col(f"r.{key}").alias("nb_key"), F.col("r._v").alias("nb_v"),
-                        *([F.col("r._cat").alias("nb_cat")] if "_cat" in x.columns else []),
-                        dist("l", "r").alias("_d"))
-    w = Window.partitionBy(key).orderBy("_d", "nb_key")
-    return cand.withColumn("nb_rank", F.row_number().over(w)).where(F.col("nb_rank") <= k).drop("_d")
-
-
 def smote(df: DataFrame, label: str, key: str, features, k: int = 5, seed: int = 2,
           categorical=(), max_classes: int = 10_000) -> DataFrame:
     """RB2 (and RB3 when ``categorical`` is given): oversample every class to the
@@ -121,16 +42,11 @@ def smote(df: DataFrame, label: str, key: str, features, k: int = 5, seed: int =
     x = base.where(F.col(label).isin(*need)).select(
         key, label, F.array(*[F.col(c).cast("double") for c in features]).alias("_v"),
         *([F.array(*[F.col(c).cast("string") for c in categorical]).alias("_cat")] if categorical else []))
-    penalty = None
+    weight = 0.0
     if categorical:
         stds = x.select(*[F.stddev_pop(F.col("_v")[i]).alias(f"s{i}") for i in range(len(features))]).first()
-        med = sorted(float(stds[f"s{i}"] or 0.0) for i in range(len(features)))[len(features) // 2]
-
-        def penalty(left, right):
-            mism = F.aggregate(F.zip_with(F.col(f"{left}._cat"), F.col(f"{right}._cat"), lambda a, b: F.when(a == b, 0.0).otherwise(1.0)),
-                               F.lit(0.0), lambda acc, v: acc + v)
-            return mism * F.lit(med * med)
-    nbs = nearest_neighbours(x, label, key, k, seed, penalty)
+        weight = sorted(float(stds[f"s{i}"] or 0.0) for i in range(len(features)))[len(features) // 2] ** 2
+    nbs = nearest_neighbours(x, label, key, k, seed, weight)
     kk = nbs.groupBy(key).agg(F.max("nb_rank").alias("_k"))
     ranked = exact_row_number(x.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))), [label], ["_h", key], name="_rk")
     per = None

@@ -354,6 +354,18 @@ def rb2(spark, sf):
     return smote(df, "label", "vec_id", [f"e{i}" for i in range(64)], k=5, seed=2)
 
 
+@register("rb2_neighbours", """
+WITH p AS (SELECT a.vec_id, a.label, b.vec_id AS nb_key, list_sum(list_transform(range(1, 65), lambda i: (a.embedding[i]::DOUBLE - b.embedding[i]::DOUBLE) ** 2)) AS d
+           FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id)
+SELECT vec_id, label, nb_key, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY d, nb_key) AS INTEGER) AS nb_rank FROM p
+QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, nb_key) <= 5""")
+def rb2_neighbours(spark, sf):
+    """The neighbours between which RB2 interpolates."""
+    from ...operators.neighbours import nearest_neighbours
+    e = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("_v"))
+    return nearest_neighbours(e, "label", "vec_id", 5).select("vec_id", "label", "nb_rank", "nb_key")
+
+
 @register("rb2_class_counts", """
 SELECT label, (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label)) AS rows, count(*) AS originals
 FROM embeddings GROUP BY label""")
@@ -371,6 +383,20 @@ def rb3(spark, sf):
     return smote(c, "c_mktsegment", "c_custkey", ["c_acctbal", "nation"], k=5, seed=2, categorical=["tier"])
 
 
+@register("rb3_neighbours", """
+WITH p AS (SELECT a.c_custkey, b.c_custkey AS nb_key, (a.c_acctbal - b.c_acctbal) ** 2 + (a.c_nationkey - b.c_nationkey) ** 2
+                  + CASE WHEN a.c_custkey % 3 = b.c_custkey % 3 THEN 0 ELSE 10000 END AS d
+           FROM customer a JOIN customer b ON a.c_mktsegment = b.c_mktsegment AND a.c_custkey <> b.c_custkey)
+SELECT c_custkey, nb_key, CAST(row_number() OVER (PARTITION BY c_custkey ORDER BY d, nb_key) AS INTEGER) AS nb_rank FROM p
+QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY d, nb_key) <= 5""")
+def rb3_neighbours(spark, sf):
+    """The neighbours of RB3: a tier that differs adds 10000 to the squared distance."""
+    from ...operators.neighbours import nearest_neighbours
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", F.array(F.col("c_acctbal").cast("double"), F.col("c_nationkey").cast("double")).alias("_v"),
+                                            F.array((F.col("c_custkey") % 3).cast("string")).alias("_cat"))
+    return nearest_neighbours(c, "c_mktsegment", "c_custkey", 5, weight=10000.0).select("c_custkey", "nb_rank", "nb_key")
+
+
 @register("rb3_class_counts", """
 SELECT c_mktsegment, (SELECT max(n) FROM (SELECT count(*) AS n FROM customer GROUP BY c_mktsegment)) AS rows, count(*) AS originals
 FROM customer GROUP BY c_mktsegment""")
