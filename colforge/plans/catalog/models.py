@@ -308,14 +308,49 @@ def io7_keys(spark, sf):
     return io7(spark, sf).select("fixture_id", F.col("year").cast("double").alias("year"))
 
 
+@register("io7_upsert_values", """
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS price,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'second' END AS note
+FROM orders WHERE o_orderstatus <> 'P' OR o_orderkey % 3 = 0""")
+def io7_upsert(spark, sf):
+    """IO7: a table of two statuses; an upsert with changed prices, new keys and a new
+    column, run twice; one that is written but never published; the last version."""
+    from ...sources.keyed import read_keyed, upsert_keyed, write_upsert
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").alias("price"))
+    path = scratch_path(spark, "io7-upsert")
+    upsert_keyed(o.where("o_orderstatus <> 'P'"), path, ["o_orderkey"], buckets=4)
+    second = o.where("o_orderkey % 3 = 0").select("o_orderkey", "o_orderstatus", (F.col("price") * 2).alias("price"), F.lit("second").alias("note"))
+    upsert_keyed(second, path, ["o_orderkey"])
+    upsert_keyed(second, path, ["o_orderkey"])
+    write_upsert(o.withColumn("price", F.lit(0.0).cast(o.schema["price"].dataType)), path, ["o_orderkey"])
+    return read_keyed(spark, path)
+
+
+@register("io8_registry_lookup", """
+SELECT * FROM (VALUES ('forest', 'o_orderstatus', false, 'v2', 'forest/o_orderstatus/v2', 'F,O,P', 'o_totalprice double,o_shippriority int'),
+                      ('forest', 'o_orderstatus', true, 'v1', 'forest/o_orderstatus/v1/ht', 'F,O,P', 'o_totalprice double')) t(kind, label, halftime, version, path, classes, features)""")
+def io8_lookup(spark, sf):
+    """IO8: of two versions and a half-time model, what ``latest`` resolves to."""
+    from ...sources import registry
+    o = table(spark, sf, "orders").withColumns({"o_totalprice": F.col("o_totalprice").cast("double"), "o_shippriority": F.lit(0)})
+    classes = sorted(r[0] for r in o.select("o_orderstatus").distinct().collect())
+    root = scratch_path(spark, "io8-lookup")
+    for version, features, halftime in (("v1", ["o_totalprice"], False), ("v1", ["o_totalprice"], True), ("v2", ["o_totalprice", "o_shippriority"], False)):
+        registry.register(spark, root, "forest", "o_orderstatus", version, registry.features_of(o, features), classes, halftime=halftime)
+    rows = [registry.resolve(spark, root, "forest", "o_orderstatus", halftime=h) for h in (False, True)]
+    return spark.createDataFrame([(r["kind"], r["label"], r["halftime"], r["version"], r["path"].removeprefix(f"{root}/"), ",".join(r["classes"]),
+                                   ",".join(f"{f['name']} {f['type']}" for f in r["features"])) for r in rows],
+                                 "kind string, label string, halftime boolean, version string, path string, classes string, features string")
+
+
 @register("io8_model_registry")
 def io8(spark, sf):
-    from ...sources.registry import model_path
+    from ...sources.registry import load_model, save_model
     o = _orders(spark, sf)
     root = scratch_path(spark, "io8-registry")
-    path = model_path(root, "forest", "o_orderstatus", "v5", halftime=False)
-    ml.fit_save(o, path, "o_orderstatus", _O_FEATS, kind="forest", **_SMALL_FOREST)
-    return ml.load_transform(spark, path, o).select("o_orderkey", "predicted")
+    model = ml.train(o, "o_orderstatus", _O_FEATS, kind="forest", **_SMALL_FOREST)
+    save_model(model, o, root, "forest", "v5")
+    return load_model(spark, root, "forest", "o_orderstatus", df=o).transform(o).select("o_orderkey", "predicted")
 
 
 @register("cl4_predict_players")
