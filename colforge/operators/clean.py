@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,6 +107,11 @@ def first_failed_step(predicates) -> Column:
     return expr.otherwise(F.lit(0))
 
 
+def _step_counts(steps) -> list[Column]:
+    fs = first_failed_step([p for _, p in steps])
+    return [F.count(F.lit(1)).alias("n0"), *[F.sum(F.when(fs == i, 1).otherwise(0)).cast("bigint").alias(f"r{i}") for i in range(1, len(steps) + 1)]]
+
+
 def cleaning_report(df: DataFrame, steps) -> DataFrame:
     """FL7: rows removed by each step of an ordered filter chain, in one pass.
 
@@ -115,24 +120,47 @@ def cleaning_report(df: DataFrame, steps) -> DataFrame:
     ``step_no = 0, step = 'total'`` holds the overall loss.
     """
     steps = list(steps)
-    fs = first_failed_step([p for _, p in steps])
-    aggs = [F.count(F.lit(1)).alias("n0")]
-    aggs += [F.sum(F.when(fs == i, 1).otherwise(0)).cast("bigint").alias(f"r{i}") for i in range(1, len(steps) + 1)]
-    one = df.agg(*aggs)
+    return report_rows(df.agg(*_step_counts(steps)), [name for name, _ in steps])
+
+
+def report_rows(one: DataFrame, names) -> DataFrame:
+    """The report from a row of counts ``n0``, ``r1`` ..."""
     rows = []
-    before = F.col("n0")
-    for i, (name, _) in enumerate(steps, start=1):
-        removed = F.col(f"r{i}")
+    n0 = before = F.coalesce("n0", F.lit(0))
+    for i, name in enumerate(names, start=1):
+        removed = F.coalesce(F.col(f"r{i}"), F.lit(0))
         rows.append(F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
                              before.alias("rows_before"), removed.alias("rows_removed"),
                              (before - removed).alias("rows_after")))
         before = before - removed
-    rows.append(F.struct(F.lit(0).alias("step_no"), F.lit("total").alias("step"),
-                         F.col("n0").alias("rows_before"), (F.col("n0") - before).alias("rows_removed"),
-                         before.alias("rows_after")))
+    rows.append(F.struct(F.lit(0).alias("step_no"), F.lit("total").alias("step"), n0.alias("rows_before"),
+                         (n0 - before).alias("rows_removed"), before.alias("rows_after")))
     return one.select(F.inline(F.array(*rows)))
 
 
+class ObservedSteps:
+    """FL7 without a pass of its own: the counts are metrics that Spark gathers while the
+    cleaned rows are made.  ``watch`` puts them into a plan, before its filters; when an
+    action has run that plan, ``report`` has the counts of all its rows.
+
+    The rows that the first steps remove must reach the counting, so a plan that is watched
+    does not push those filters into its scan."""
+
+    def __init__(self):
+        self.observation, self.names = Observation(), []
+
+    def watch(self, df: DataFrame, steps) -> DataFrame:
+        steps = list(steps)
+        self.names = [name for name, _ in steps]
+        return df.observe(self.observation, *_step_counts(steps))
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        counts = self.observation.get
+        fields = ["n0", *[f"r{i}" for i in range(1, len(self.names) + 1)]]
+        one = spark.createDataFrame([tuple(counts.get(f) for f in fields)], ", ".join(f"{f} bigint" for f in fields))
+        return report_rows(one, self.names)
+
+
 def count_rows_with_missing(df: DataFrame, cols=None) -> DataFrame:
     """FL8: number of rows with at least one missing value (NaN counts as missing)."""
     cols = list(cols or df.columns)

@@ -16,7 +16,7 @@ from ...functions import bands
 from ...plans.fixtures import format_fixtures, prepare_fixtures
 from ...plans.players import prepare_players
 from ...presets import PRESETS, PlayerPreset
-from ...session import scratch_path
+from ...session import materialize, scratch_path
 from ...sources import files
 from .common import table
 
@@ -432,6 +432,28 @@ def fl7b(spark, sf):
 
 
 
+@register("fl7_observed_report", _fixture_report_sql())
+def fl7_observed(spark, sf):
+    """FL7 from the pass that prepares and stores the fixtures."""
+    from ...operators.clean import ObservedSteps
+    observed = ObservedSteps()
+    materialize(prepare_fixtures(fixtures_raw(spark, sf), "Team1Win", "v5", halftime_table(spark, sf), id_cols=IDS, score_cols=SCORES,
+                                 proba_cols=PROBAS, observed=observed), "fl7-prepared")
+    return observed.report(spark)
+
+
+@register("sm3_stream_report", _fixture_report_sql())
+def sm3(spark, sf):
+    """FL7 of a stream, added up over its micro-batches."""
+    from ...streaming.scoring import file_stream, prepare_with_report
+    stream = file_stream(spark, f"{sf.rstrip('/')}/orders*.parquet", table(spark, sf, "orders").schema)
+    raw = stream.select(*[F.expr(e).alias(k) for k, e in FIXTURES_RAW.items()])
+    halftime = halftime_table(spark, sf)
+    sink, reports = scratch_path(spark, "sm3-sink"), scratch_path(spark, "sm3-report")
+    prepare_with_report(raw, sink, reports, lambda batch, observed: prepare_fixtures(
+        batch, "Team1Win", "v5", halftime, id_cols=IDS, score_cols=SCORES, proba_cols=PROBAS, observed=observed))
+    report = spark.read.parquet(reports)
+    return report.groupBy("step_no", "step").agg(*[F.sum(c).alias(c) for c in ("rows_before", "rows_removed", "rows_after")])
 
 
 @register("sm1_stream_prepare_fixtures", CL1_SQL)

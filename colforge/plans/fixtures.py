@@ -64,9 +64,11 @@ def raw_filters(df: DataFrame, p: FixturePreset, proba_cols) -> list:
 
 def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePreset = "v5",
                      halftime: DataFrame | None = None, id_cols=None, score_cols=None,
-                     proba_cols=None, max_halftime_rows: int = 1_000_000) -> DataFrame:
+                     proba_cols=None, max_halftime_rows: int = 1_000_000,
+                     observed: clean.ObservedSteps | None = None) -> DataFrame:
     """CL1: clean, derive targets, add team means and half-time rates, filter, normalise
-    per round and fill, in the preset's step order.  ``label=None`` keeps every label."""
+    per round and fill, in the preset's step order.  ``label=None`` keeps every label.
+    With ``observed``, the pass that makes the rows also counts the cleaning report's."""
     p = PRESETS[preset] if isinstance(preset, str) else preset
     from ..presets import PLAYER_ID_COLS, PLAYER_SCORE_COLS, PROBA_COLS
     ids = [c for c in (id_cols or PLAYER_ID_COLS) if c in df.columns]
@@ -75,7 +77,7 @@ def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePres
     required = [s for s in p.required_slots if s in ids]
 
     out = clean.drop_columns(df, DROPPED_RAW_COLS)
-    if p.halftime != "group_mean":  # a group's mean is taken over the rows before any filter
+    if p.halftime != "group_mean" and observed is None:  # a group's mean is taken over the rows before any filter
         out = clean.filter_all(out, raw_filters(out, p, probas))
     out = out.withColumns({"event_date": pj.to_date("event_date")})
     out = out.withColumns({c: to_double(c) for c in p.numeric_cols if c in out.columns})
@@ -97,6 +99,8 @@ def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePres
         out = out.withColumns(pj.indicator_flags("pred_match_winner"))
     out = out.withColumns({c: pj.shift_negative(c) for c in ("pred_goals_home", "pred_goals_away") if c in out.columns})
     steps = filter_steps(p, probas, required if p.idnull_before_filters else [])
+    if observed is not None:
+        out = observed.watch(out, report_steps(p, probas, [s for s in p.required_slots if s in ids]))
     out = clean.filter_all(out, [pred for _, pred in steps])
     out = out.withColumns({"DiffWin12": pj.diff_pair("W1", "W2"), "DiffWin1N": pj.diff_pair("W1", "WN"),
                            "DiffWin2N": pj.diff_pair("W2", "WN")})
@@ -116,6 +120,15 @@ def prepare_fixtures(df: DataFrame, label: str | None, preset: str | FixturePres
     return clean.drop_columns(out, drop)
 
 
+def report_steps(p: FixturePreset, probas, required) -> list:
+    """The steps of the cleaning report; line-up ids count as missing whether or not they
+    have been replaced yet."""
+    steps = filter_steps(p, probas, [])
+    if required:
+        steps.append(("lineup", reduce(lambda a, b: a & b, [pj.replace_idnull(s) != "IDnull" for s in required])))
+    return steps
+
+
 def fixture_cleaning_report(df: DataFrame, preset: str | FixturePreset = "v5", proba_cols=None,
                             id_cols=None) -> DataFrame:
     """FL7 for fixtures: rows removed by each step of the preset's chain, one pass."""

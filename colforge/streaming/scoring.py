@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.clean import ObservedSteps
 from ..session import scratch_path
 
 
@@ -50,6 +51,27 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str | None = Non
     return sink
 
 
+def prepare_with_report(stream: DataFrame, sink: str, report_sink: str, prepare, checkpoint: str | None = None) -> str:
+    """Prepare arriving rows and report what was removed, batch by batch, each in one pass.
+
+    ``prepare(batch, observed)`` gives the prepared rows of a batch and has ``observed``
+    (``ObservedSteps``) watch its filters.  The report of a batch lands in
+    ``<report_sink>/batch=<id>``; both writes overwrite, so a retried batch replaces its own."""
+    checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream-checkpoint")
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        observed = ObservedSteps()
+        prepare(batch, observed).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        observed.report(batch.sparkSession).write.mode("overwrite").parquet(f"{report_sink}/batch={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return sink
+
+
 def read_sink(spark: SparkSession, sink: str, fmt: str = "parquet") -> DataFrame:
     """All batches written so far (the ``batch`` folder level is dropped)."""
     df = spark.read.format(fmt).load(sink)

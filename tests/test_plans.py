@@ -34,3 +34,22 @@ def test_format_split_and_codes(spark):
     assert out.where(F.col("split") == "head").count() == int(n * 0.8)
     assert out.where(F.col("homeTeam") < 0).count() == 0
     assert d.where(F.col("feature") == "homeTeam").count() == out.select("homeTeam").distinct().count()
+
+
+def test_observed_report_of_every_preset_takes_no_scan_of_its_own(spark):
+    """The counts of the pass that prepares equal the report's, for each preset, and the
+    prepared rows are the same."""
+    from colforge.operators.clean import ObservedSteps
+    raw, halftime = fixtures_raw(spark, SF), halftime_table(spark, SF)
+    kw = {"id_cols": IDS, "score_cols": SCORES, "proba_cols": PROBAS}
+    for preset in PRESETS:
+        observed = ObservedSteps()
+        rows = prepare_fixtures(raw, "Team1Win", preset, halftime, observed=observed, **kw)
+        n = len(rows.collect())
+        assert n == prepare_fixtures(raw, "Team1Win", preset, halftime, **kw).count()
+        got = sorted(map(tuple, observed.report(spark).collect()))
+        assert got == sorted(map(tuple, fixture_cleaning_report(raw, preset, proba_cols=PROBAS, id_cols=IDS).collect())), preset
+        assert got[0][4] == n
+        empty = ObservedSteps()
+        prepare_fixtures(raw.limit(0), "Team1Win", preset, halftime, observed=empty, **kw).collect()
+        assert {tuple(r)[2:] for r in empty.report(spark).collect()} == {(0, 0, 0)}
