@@ -184,12 +184,23 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def equal_pieces(texts: list[str], size: int) -> list[str]:
+    """The beginnings of all texts, as long as one another, ``size`` characters together;
+    what shorter texts leave goes to the others."""
+    left, share = size, 0
+    for i, n in enumerate(sorted(map(len, texts))):
+        share = max(1, left // (len(texts) - i))
+        left -= min(n, share)
+    return [t[:share] for t in texts]
+
+
 def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", rows_per_language: int = 64,
           chars_per_language: int = 20_000, longest: int = 20_000, max_languages: int = 128) -> Model:
     """Fit on a sample of the rows that ``learnable`` gives, drawn by a hash of id and text;
     about ``rows_per_language`` texts of each language reach the driver, and at most four
     times as many in all.  Of a text of more than ``longest`` characters, so many from its
-    first letter on are taken.  A language whose draw has no letter takes the text with
+    first letter on are taken.  The texts of a language have equal shares of its
+    ``chars_per_language``, so that no long one stands for all.  A language whose draw has no letter takes the text with
     letters of the smallest hash."""
     prepare(df.sparkSession)
     rows = learnable(df, id_col, text, lang)
@@ -215,7 +226,7 @@ def learn(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     texts = {k: v for k, v in texts.items() if any(ch.isalpha() for t in v for ch in t)}
     classes, tables, bits, own = letter_classes(t for v in texts.values() for t in v), [], [], []
     for name in texts:
-        codes = classes_of("\n".join(texts[name]), classes)[:chars_per_language]
+        codes = classes_of("\n".join(equal_pieces(texts[name], chars_per_language)), classes)[:chars_per_language]
         tables.append(dense(suffix_automaton(codes.tolist())))
         bits.append(math.log2(len(codes) + 1))
         half = len(codes) // 2

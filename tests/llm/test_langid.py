@@ -142,3 +142,19 @@ def test_short_texts_are_accepted(spark):
     docs = edge_docs(spark, clashes=False, rows=[(i, t, None, "a", 1) for i, t in enumerate(texts)])
     got = {r["text"]: r["language"]["accepted"] for r in langid.identify_languages(docs, model).collect()}
     assert got == texts
+
+
+def test_texts_have_equal_shares_of_the_sample():
+    texts = ["a" * 1000, "b" * 10, "c" * 500, "d" * 300]
+    assert [len(t) for t in langid.equal_pieces(texts, 700)] == [230, 10, 230, 230]
+    assert [len(t) for t in langid.equal_pieces(texts, 5000)] == [1000, 10, 500, 300]
+    assert [len(t) for t in langid.equal_pieces(["x"] * 9, 4)] == [1] * 9 and langid.equal_pieces([], 4) == []
+
+
+def test_one_long_text_is_not_the_model_of_its_language(spark):
+    rows = [(i, f"la casa de {w} y el perro del vecino come pan en la calle", "es") for i, w in enumerate(["ana", "luis", "eva", "juan", "rosa", "pepe"] * 6)]
+    rows += [(100 + i, f"the house of {w} and the dog of the neighbour eats bread in the street", "en") for i, w in enumerate(["ann", "bob", "eve", "jim", "sue", "joe"] * 6)]
+    rows += [(500, "xyzzy plugh qwfp zxcv " * 3000, "en"), (501, "xyzzy plugh qwfp zxcv " * 3000, "es")]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars_per_language=4000)
+    found = spark.createDataFrame([("the dog of the house eats in the street",), ("el perro de la casa come en la calle",)], "text string")
+    assert [r["language"]["lang"] for r in langid.identify_languages(found, model).collect()] == ["en", "es"]
