@@ -19,6 +19,12 @@ RULES = [urls.UrlRule("block", "net", "/"), urls.UrlRule("allow", "example.net",
          urls.UrlRule("block", "example.com", "/de/"), urls.UrlRule("allow", "org", "/fr/")]
 
 
+# Public suffixes of two labels under which many owners register domains; the
+# commonest of the public suffix list.  Any other host's suffix is its last label.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp", "co.kr",
+            "com.br", "com.cn", "com.hk", "com.mx", "com.sg", "com.tr", "com.tw")
+
+
 def read_tokenizer(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
@@ -70,17 +76,18 @@ def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select("page_id", "url")
     labels = table(spark, sf, "labels")
     outcomes = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
-    return urls.filter_urls(pages, outcomes, RULES).select("page_id", "host", "path", "rule", "verdict")
+    return urls.filter_urls(pages, outcomes, RULES, suffixes=SUFFIXES).select("page_id", "host", "path", "rule", "verdict")
 
 
-_OP3_SQL = r"""
+_OP3_SQL = rf"""
 WITH p AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
 l AS (SELECT host, quality = 0 OR toxic = 1 AS bad FROM p JOIN labels ON page_id = doc_id),
 nm AS (SELECT DISTINCT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM p),
-lv AS (SELECT host, string_split(name, '.')[-1] AS suffix,
-              CASE WHEN name LIKE '%.%' THEN string_split(name, '.')[-2] || '.' || string_split(name, '.')[-1] ELSE name END AS domain FROM nm),
+sx AS (SELECT host, name, string_split(name, '.') AS labels, array_to_string(string_split(name, '.')[-2:], '.') IN {SUFFIXES} AS two FROM nm),
+lv AS (SELECT host, CASE WHEN two THEN array_to_string(labels[-2:], '.') ELSE labels[-1] END AS suffix,
+              array_to_string(labels[(CASE WHEN two THEN -3 ELSE -2 END):], '.') AS domain FROM sx),
 bh AS (SELECT host, suffix, domain, count(*) AS n, sum(bad::INT)::BIGINT AS k FROM l JOIN lv USING (host) WHERE bad IS NOT NULL GROUP BY ALL),
 bd AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM bh GROUP BY ALL),
 bs AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM bd GROUP BY ALL),

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colforge.llm import urls
-from colforge.llm.queries import RULES
+from colforge.llm.queries import RULES, SUFFIXES
 
 
 def run(spark, pages, outcomes=(), rules=RULES, **kw):
@@ -45,6 +45,35 @@ def test_suffix_and_domain(spark):
     assert [tuple(r) for r in got] == [("co.uk", "b.co.uk"), ("com", "b.com"), ("com", "com"), ("", ""), ("org", "z.org")]
 
 
+def test_sites_of_one_public_suffix_do_not_share_a_reputation(spark):
+    rnd = random.Random(5)
+    outcomes = [(f"http://s{i}.bad.co.uk/{j}", rnd.random() < 0.95) for i in range(20) for j in range(20)]
+    outcomes += [(f"http://s{i}.good.co.uk/{j}", rnd.random() < 0.05) for i in range(20) for j in range(20)]
+    pages = ["http://new.bad.co.uk/", "http://new.good.co.uk/"]
+    whole = run(spark, pages, outcomes, rules=[], suffixes=SUFFIXES)
+    assert [whole[i]["verdict"] for i in range(2)] == ["block", "allow"]
+    shared = run(spark, pages, outcomes, rules=[])  # co.uk as one registered domain
+    assert len({shared[i]["bad_bound"] for i in range(2)}) == 1
+
+
+def test_query_and_sql_agree_on_suffixes_and_repeated_pages(spark, tmp_path):
+    import duckdb
+    from colforge.llm import queries as Q
+    rnd = random.Random(6)
+    hosts = ["a.bad.co.uk", "b.bad.co.uk", "x.good.co.uk", "co.uk", "bad.co.uk", "com", "y.z.com", "z.com", "one.net.au", "net.au", "", "u@b.co.jp:80", "l" * 5000 + ".co.uk"]
+    pages = [(i // 2, f"http://{h}/{'p' * (i % 3)}") for i, h in enumerate(hosts * 12)] + [(7, None), (7, "no scheme"), (None, "http://bad.co.uk/")]
+    labels = [(i, int(rnd.random() < (0.1 if "bad" in hosts[2 * i % len(hosts)] else 0.9)), 0) for i in range(70)]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    got = sorted(map(str, (tuple(r) for r in Q.op3_url_filter(spark, str(tmp_path)).collect())))
+    pages, labels = pages.toPandas(), labels.toPandas()  # read by DuckDB
+    pages["page_id"] = pages["page_id"].astype("Int64")
+    want = duckdb.sql(Q._OP3_SQL).limit(10**6).fetchall()
+    assert got == sorted(map(str, want)) and len(got) == 159
+
+
 def test_empty(spark):
     empty = spark.createDataFrame([], "page_id long, url string")
     assert urls.filter_urls(empty, spark.createDataFrame([], "url string, bad boolean"), RULES).count() == 0
