@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.missing import to_double
 from ..operators.encode import decode_columns, encode_columns, fit_dictionary, one_hot_pipeline_stages
 from ..operators.profile import with_class_weights
+from ..operators.split import first_by_hash
 from ..presets import GBT_LEVEL0, MAX_TREE_DEPTH, MLP_LAYOUTS
 
 # Probability column names of the three-class labels, in class order.
@@ -171,17 +172,28 @@ def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, lab
         data = data.withColumn("_cf_weight", F.lit(1.0))
     data = prepare_features(data, numeric, categorical)
     features = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
+    if kind == "perceptron" and balanced:  # it takes no row weights
+        data = replicate_by_weight(data, "_cf_label", "_cf_weight", [own(c) for c in [*numeric, *categorical]], seed)
     data = features.transform(data).select(FEATURES, "_cf_label", "_cf_weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_features = vector_size(data) if kind == "perceptron" else None
-        if kind == "perceptron" and balanced:
-            warnings.warn("Spark's perceptron takes no row weights; its classes are not balanced")
         model = estimator(kind, n_features, len(classes), seed, **params).fit(data)
     finally:
         data.unpersist()
     return TrainedModel(PipelineModel([*features.stages, model]), labels, label, numeric, categorical, classes)
 
 
+def replicate_by_weight(df: DataFrame, label: str, weight: str, key_cols, seed: int = 2) -> DataFrame:
+    """Rows as often as their weight says, for a learner that takes none: each row the whole
+    part of its class's weight, and of each class so many rows once more, those first in a
+    seeded order, that the class has its weight's share of rows exactly (rounded)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.first(weight).alias("w")).collect()  # classes are few: MAX_CLASSES
+    more = {r[label]: round(r["n"] * r["w"]) - r["n"] * int(r["w"]) for r in counts}
+    marked = first_by_hash(df, label, list(key_cols), seed, more, "_cf_more")
+    copies = F.floor(F.col(weight)).cast("int") + F.col("_cf_more").cast("int")
+    return marked.where(copies > 0).withColumn("_cf_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_cf_copy", "_cf_more")
+
+
 def vector_size(data: DataFrame) -> int | None:
     first = data.select(FEATURES).first()
     return len(first[0]) if first else None

@@ -140,6 +140,16 @@ def ml8_codes(spark, sf):
         "o_orderkey", F.coalesce(F.col("value") == F.col("predicted"), F.lit(False)).alias("belongs"))
 
 
+@register("ml8_class_codes", """
+SELECT o_orderpriority AS value, CAST(row_number() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS code
+FROM (SELECT DISTINCT o_orderpriority FROM orders WHERE o_orderpriority IS NOT NULL)""")
+def ml8_class_codes(spark, sf):
+    """ML8: the stored dictionary by which a model decodes, read back with it."""
+    o, path = _orders(spark, sf), scratch_path(spark, "ml8-model")
+    ml.fit_save(o, path, "o_orderpriority", _O_FEATS, kind="forest", **_SMALL_FOREST)
+    return ml.TrainedModel.load(spark, path).labels.select("value", "code")
+
+
 @register("ml7_probability_names")
 def ml7(spark, sf):
     li = table(spark, sf, "lineitem").select(

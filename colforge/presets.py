@@ -97,6 +97,7 @@ GBT_LEVEL0 = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate":
 MAX_TREE_DEPTH = 30
 
 # Perceptron layouts by name: hidden widths (input and output sizes are added at fit time).
+# Dropout, normalisation and penalties that a name speaks of have no counterpart in Spark ML.
 MLP_LAYOUTS = {
     "small": [64, 32, 16, 8],
     "medium": [256, 128, 64, 32, 16, 8],
@@ -104,6 +105,16 @@ MLP_LAYOUTS = {
     "large": [256, 128, 32],
     "wide5x200": [200] * 5,
     "deep3": [256] * 3, "deep4": [256] * 4, "deep5": [256] * 5, "deep6": [256] * 6, "deep7": [256] * 7,
+    # The 22 named networks, in the reference's order.
+    "model_small": [64, 32, 16, 8], "model_medium": [256, 128, 64, 32, 16, 8], "model_large": [256] * 5, "model_vlarge": [256] * 7,
+    "model_small_drop": [64, 32, 16, 8], "model_medium_drop": [256, 256, 128, 64, 32, 16], "model_mlarge_drop": [200] * 5, "model_large_drop": [256] * 5,
+    "model_vsmall_L2Regul": [256, 128, 32], "model_small_L2Regul": [256] * 3, "model_large_L2Regul": [256] * 5, "model_vlarge_L2Regul": [256] * 6,
+    "model_medium_L1Regul": [256] * 4, "model_large_L1Regul": [256] * 5,
+    "model_medium_BatchNormalization": [256, 128, 64, 32, 16, 8], "model_large_BatchNormalization": [256] * 5,
+    "model_large_layer1_BatchNormalization": [256] * 5, "model_large_Droupout_BatchNormalization": [256] * 5,
+    "model_large_L2Regul_BatchNormalization": [256] * 5, "model_large_L2Regul_drop_BatchNormalization": [256] * 5,
+    "model_vlarge_L2Regul_BatchNormalization": [256] * 6,
+    "model_large_L1L2Regul_BatchNormalization": [256] * 5,
 }
 
 # Per-label forest hyper-parameters as (min_samples_leaf, max_features,

@@ -161,3 +161,27 @@ def test_prediction_fits_nothing(spark, monkeypatch):
     out = matches.predict_matches(raw.where("event_date >= '2000-06-01'"), ht, ["TeamNWin"], catalog._FIX_FEATS, root, raw_columns=["event_date"], **common)
     assert {"TeamNWin_call", "TeamNWin_p_0", "event_date", "fixture_id"} <= set(out.columns)
     assert out.count() == out.select("fixture_id").distinct().count() > 0
+
+
+def test_networks_are_balanced_by_exact_replication(spark):
+    import random
+    rnd = random.Random(4)
+    rows = [(i, "rare" if i % 10 == 0 else "often", rnd.gauss(1.2 if i % 10 == 0 else 0.0, 1.0)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, y string, x double")
+    weighted = df.withColumn("l", (F.col("y") == "rare").cast("double")).withColumn("w", F.when(F.col("y") == "rare", 5.0).otherwise(1000 / 1800))
+    again = ml.replicate_by_weight(weighted, "l", "w", ["x"])
+    assert {r["l"]: r["count"] for r in again.groupBy("l").count().collect()} == {1.0: 500, 0.0: 500}
+    assert {r["count"] for r in again.where("l = 1").groupBy("id").count().collect()} == {5}
+    same = spark.createDataFrame([("a", 1.0)] * 7 + [("b", 1.0)], "l string, x double").withColumn("w", F.when(F.col("l") == "a", 8 / 14).otherwise(4.0))
+    assert {r["l"]: r["count"] for r in ml.replicate_by_weight(same, "l", "w", ["x"]).groupBy("l").count().collect()} == {"a": 4, "b": 4}
+    recall = {}
+    for balanced in (True, False):
+        pred = ml.train(df, "y", ["x"], kind="perceptron", balanced=balanced, layout=[4], maxIter=60).transform(df)
+        recall[balanced] = pred.where("y = 'rare'").select(F.avg((F.col("predicted") == "rare").cast("double"))).first()[0]
+    assert recall[True] > 0.6 > 0.4 > recall[False]
+
+
+def test_all_named_networks_have_widths():
+    from colforge.presets import MLP_LAYOUTS
+    named = [k for k in MLP_LAYOUTS if k.startswith("model_")]
+    assert len(named) == 22 and all(MLP_LAYOUTS[k] for k in named)
