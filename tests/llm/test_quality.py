@@ -66,3 +66,42 @@ def test_cascade_prefers_rejection_per_cost(spark):
     assert [p["rule"] for p in plan] == ["often", "slow"]
     assert plan[0]["reject"] > plan[1]["reject"] and plan[0]["cost_ns"] < plan[1]["cost_ns"]
     assert quality.plan_cascade(edge_docs(spark).limit(0)) != []
+
+
+def test_cascade_orders_by_what_the_rules_before_leave(spark):
+    """``b`` rejects what ``a`` rejects already, ``c`` fewer but others: by rejection alone b
+    comes second, by what is left c does, and the whole cascade costs less."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "en", "a", 1) for i in range(400)]
+    spin = lambda n: sum(i * i for i in range(n)) < 0
+    number = lambda d: int(d.text[1:d.text.index("x")])
+    a = quality.Rule("a", lambda d: spin(500) or number(d) % 2 == 0)
+    b = quality.Rule("b", lambda d: spin(500) or number(d) % 2 == 0)
+    c = quality.Rule("c", lambda d: spin(600) or number(d) % 10 in (1, 3))
+    plan = quality.plan_cascade(edge_docs(spark, rows=rows), rules=(a, b, c))
+    assert [p["rule"] for p in plan][1] == "c" and plan[2]["rule"] in "ab"
+    assert plan[0]["reject"] > plan[1]["reject"] > 0.3 and plan[2]["reject"] < 0.02
+
+    def work(order):
+        n = 0
+        for r in rows:
+            for rule in order:
+                n += 1
+                if rule.fails(quality.Doc(r[1])):
+                    break
+        return n
+
+    by_name = {"a": a, "b": b, "c": c}
+    assert work([by_name[p["rule"]] for p in plan]) < work([a, b, c])
+
+
+def test_features_that_are_there_cost_nothing(spark):
+    """Two rules read one dear feature: when the first has paid for it the second is cheap, and
+    features of the base rule are free for all."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(3000)), "en", "a", 1) for i in range(40)]
+    top = quality.Rule("top", lambda d: d.top_word > 1)
+    again = quality.Rule("again", lambda d: d.top_word > 2)
+    words = quality.Rule("words", lambda d: d.n_repeat_words > 5)
+    cost = {p["rule"]: p["cost_ns"] for p in quality.plan_cascade(edge_docs(spark, rows=rows), rules=(top, again, words))}
+    first, second = (cost["top"], cost["again"]) if cost["top"] > cost["again"] else (cost["again"], cost["top"])
+    assert first > 20 * second and first > 20 * cost["words"]
+    assert quality.plan_cascade(edge_docs(spark, rows=[(1, "short", "en", "a", 1)]), rules=(top, words))[0]["reject"] == 0.5
