@@ -456,8 +456,12 @@ def tg8(spark, sf):
     return count_by(out, *out.columns)
 
 
+#: The thresholds as the oracle knows them, written out and not read from the library.
+_DISTANCES = (("15", 1.5), ("10", 1.0), ("07", 0.7), ("05", 0.5), ("03", 0.3), ("02", 0.2))
+
+
 def _dist_sql(a, b, prefix):
-    return ", ".join(f"CAST(abs(({a}) - ({b})) >= {d} AS INTEGER) AS {prefix}{s}" for s, d in tg.DISTANCE_THRESHOLDS)
+    return ", ".join(f"CAST(abs(({a}) - ({b})) >= {d} AS INTEGER) AS {prefix}{s}" for s, d in _DISTANCES)
 
 
 @register("tg9_distance_flags", f"SELECT {_dist_sql(_NEXT, _CUR, 'NextRatingDiffOv')}, count(*) AS n FROM lineitem GROUP BY ALL")
@@ -484,10 +488,10 @@ def _tg11_sql(compat: bool) -> str:
     bands_sql = (f"{_band_half_sql('rating')} AS RatingRange, {_band_half_sql('PrevRating')} AS PrevRatingRange, "
                  f"{_band_half_sql('PrevRating2')} AS PrevRating2Range, {_band_half_sql('avg')} AS avgRange, "
                  f"{_band_half_sql('avg2')} AS avg2Range, {_band_unit_sql('NextRating')} AS NextRatingRange")
-    thresholds = [(s, (0.2 if (s == "07" and compat) else d)) for s, d in tg.DISTANCE_THRESHOLDS]
+    thresholds = [(s, (0.2 if (s == "07" and compat) else d)) for s, d in _DISTANCES]
     diffs = ", ".join(f"CAST(abs(NextRating - rating) >= {d} AS INTEGER) AS NextRatingDiffOv{s}" for s, d in thresholds)
     davg = ", ".join(f"CAST(abs(NextRating - avg) >= {d} AS INTEGER) AS NextRatingDiffAvgOv{s}"
-                     for s, d in tg.DISTANCE_THRESHOLDS)
+                     for s, d in _DISTANCES)
     outs = ", ".join(tg.PLAYER_TARGETS)
     return f"""
 WITH t AS (SELECT {base} FROM lineitem),

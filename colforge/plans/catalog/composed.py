@@ -9,13 +9,15 @@ the oracle side.
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ...functions import bands
 from ...plans.fixtures import format_fixtures, prepare_fixtures
 from ...plans.players import prepare_players
-from ...presets import PRESETS, PlayerPreset
+from ...presets import PlayerPreset
 from ...session import materialize, scratch_path
 from ...sources import files
 from .common import table
@@ -241,8 +243,21 @@ def _mean_sql(cols):
     return f"CASE WHEN ({cnt}) > 0 THEN ({total}) / CAST(({cnt}) AS DOUBLE) END"
 
 
+#: What the oracles know of the presets, written out and not read from the library.
+_SQL_PRESETS = {
+    "base": SimpleNamespace(season_gt=2015, round_ge=2, check_over05=True, numeric_cols=("W1", "W2"), int_cols=("HTF", "ATF", "round"), halftime="group_mean",
+                            required_slots=("HTPlayerG", "HTPlayerD1", "HTPlayerM1", "HTPlayerF1", "ATPlayerG", "ATPlayerD1", "ATPlayerM1", "ATPlayerF1"),
+                            exact_goal_labels=False, keep_ftr_totgoal=False, drop_ids=False),
+    "vocab": SimpleNamespace(season_gt=2015, round_ge=2, check_over05=True, numeric_cols=("W1", "W2"), int_cols=("round",), halftime="lookup",
+                             required_slots=("HTPlayerG", "ATPlayerG"), exact_goal_labels=True, keep_ftr_totgoal=False, drop_ids=False),
+    "stack": SimpleNamespace(season_gt=2015, round_ge=3, check_over05=False, numeric_cols=("W1", "W2"), int_cols=("HTF", "ATF", "round"), halftime="lookup",
+                             required_slots=("HTPlayerG", "ATPlayerG"), exact_goal_labels=True, keep_ftr_totgoal=True, drop_ids=False),
+    "v5": SimpleNamespace(season_gt=2016, round_ge=2),
+}
+
+
 def _fixtures_sql(label: str = "Team1Win") -> str:
-    p = PRESETS["v5"]
+    p = _SQL_PRESETS["v5"]
     raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
     ht = ", ".join(f"{e} AS {k}" for k, e in HALFTIME_RAW.items())
     probas = ", ".join(f"try_cast({c} AS DOUBLE) AS {c}" for c in PROBAS)
@@ -309,7 +324,7 @@ def _fixtures_base_sql(label: str = "Team1Win", preset: str = "base") -> str:
     """The presets that replace ids after the fill (*base*, *vocab*, *stack*): only
     W1/W2 coerced, ids kept, required slots checked after the fill; half-time rates
     from a group mean over all rows (*base*) or the lookup table (*vocab*, *stack*)."""
-    p = PRESETS[preset]
+    p = _SQL_PRESETS[preset]
     raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
     ht = ", ".join(f"{e} AS {k}" for k, e in HALFTIME_RAW.items())
     text_probas = [c for c in PROBAS if c not in p.numeric_cols]
@@ -406,7 +421,7 @@ def cl3(spark, sf):
 
 def _fixture_report_sql() -> str:
     raw = ", ".join(f"{e} AS {k}" for k, e in FIXTURES_RAW.items())
-    p = PRESETS["v5"]
+    p = _SQL_PRESETS["v5"]
     ranged = [c for c in PROBAS if c != "Over0_5goals"]
     steps = [("season", f"season > {p.season_gt}"),
              ("round", f"CAST(trunc(coalesce(round, 0)) AS INTEGER) >= {p.round_ge}"),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ...operators import balance, encode, joins, lineup, split
+from ...session import scratch_path
 from .common import count_by, table
 
 Q: dict = {}
@@ -63,6 +64,14 @@ def jn3(spark, sf):
                                 ["p_partkey"])
 
 
+@register("jn3_stored_statistics", _jn3_sql())
+def jn3_stored(spark, sf):
+    """JN3 from statistics stored once, bucketed by player."""
+    path = scratch_path(spark, "jn3-statistics")
+    name = lineup.store_statistics(table(spark, sf, "part"), f"colforge_{path.rsplit('-', 1)[-1]}", path, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"])
+    return lineup.enrich_lineup(_jn3_wide(spark, sf), "l_orderkey", _SLOTS, name, "p_partkey", ["p_size", "p_retailprice"], ["p_partkey"])
+
+
 _JN4_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

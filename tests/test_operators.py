@@ -137,6 +137,27 @@ def test_lineup_enrich_keeps_rows_apart_however_joined(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_stored_statistics_are_not_shuffled(spark):
+    """The same result as from a frame, and the table's side of the join has no exchange."""
+    from colforge.operators.lineup import enrich_lineup, store_statistics
+    from colforge.session import scratch_path
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([(1, None, "a", "b"), (2, "L", "a", "IDnull"), (2, "L", "b", None), (None, "L", "c", "0")], "k int, league string, s1 string, s2 string")
+        st = spark.createDataFrame([("a", None, 1.0, 1), ("a", "L", 2.0, 1), ("b", "L", 3.0, 2), ("b", "L", 9.0, 3), ("b", None, 4.0, 1), (None, "L", 5.0, 1)],
+                                   "pid string, league string, v double, o int")
+        name = store_statistics(st, "colforge_test_statistics", scratch_path(spark, "test-statistics"), "pid", ["v"], ["o"], extra_keys=["league"])
+        rows = [sorted((tuple(r) for r in enrich_lineup(df, "k", ["s1", "s2"], stats, "pid", ["v"], ["o"], extra_keys=["league"]).collect()), key=str) for stats in (st, name)]
+        assert rows[0] == rows[1]
+        out = enrich_lineup(df, "k", ["s1", "s2"], name, "pid", ["v"], ["o"], extra_keys=["league"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "hashpartitioning(player_id" in plan and "hashpartitioning(_cf_pid" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS colforge_test_statistics")
+
+
 def test_undersample_keeps_rows_without_a_label(spark):
     from colforge.operators.balance import undersample
     df = spark.createDataFrame([(i, None if i < 6 else ("a" if i < 20 else "b")) for i in range(23)], "k int, y string")
