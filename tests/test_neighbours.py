@@ -63,3 +63,20 @@ def test_clusters_leave_most_blocks_alone(spark):
     df = spark.createDataFrame([(i, "a", x.tolist()) for i, x in enumerate(v)], "id int, y string, _v array<double>")
     _, lists = nn._neighbour_lists(df, "y", "id", 5, 2, 0.0, nn.PIVOTS, 50)
     assert lists.agg(F.sum("compared")).first()[0] < 0.1 * 1600 * 1599
+
+
+def test_rows_visit_a_bounded_number_of_cells(spark):
+    """Diffuse rows look into all cells of their class; these grow with the rows, not in number."""
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1200, 20))
+    df = spark.createDataFrame([(i, "a", x.tolist()) for i, x in enumerate(v)], "id int, y string, _v array<double>")
+    _, lists = nn._neighbour_lists(df, "y", "id", 5, 2, 0.0, nn.PIVOTS, 10)
+    assert lists.count() <= 1200 * 48
+
+
+def test_categories_are_part_of_the_bound(spark):
+    rows = [(i, "a", [float(i % 97)], [str(i % 3)]) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, y string, _v array<double>, _cat array<string>")
+    found, lists = nn._neighbour_lists(df, "y", "id", 4, 2, 1e4, nn.PIVOTS, 64)
+    assert sorted(tuple(r) for r in found.select("id", "nb_rank", "nb_key").collect()) == brute(rows, 4, 1e4)
+    assert lists.agg(F.sum("compared")).first()[0] < 0.1 * 900 * 899
