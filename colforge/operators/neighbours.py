@@ -255,6 +255,8 @@ def _neighbour_lists(x: DataFrame, label: str, key: str, k: int, seed: int, weig
     spark = x.sparkSession
     cats = bool(weight)
     kind = x.schema[key].dataType
+    # a vector with a missing or infinite component lies at no distance from any other
+    x = x.where(F.forall("_v", lambda c: c.isNotNull() & (F.abs(c) < F.lit(float("inf")))))
     drawn = x.select("_v", F.xxhash64(F.lit(seed), F.col(key)).alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()
     keys_type, far = T.ArrayType(kind), T.ArrayType(T.DoubleType())
     lists = T.StructType([T.StructField("k", kind), T.StructField("nb", keys_type), T.StructField("d", far), T.StructField("compared", T.LongType())])

@@ -80,3 +80,11 @@ def test_categories_are_part_of_the_bound(spark):
     found, lists = nn._neighbour_lists(df, "y", "id", 4, 2, 1e4, nn.PIVOTS, 64)
     assert sorted(tuple(r) for r in found.select("id", "nb_rank", "nb_key").collect()) == brute(rows, 4, 1e4)
     assert lists.agg(F.sum("compared")).first()[0] < 0.1 * 900 * 899
+
+
+def test_vectors_with_missing_components_are_left_out(spark):
+    rows = make(90)
+    df = spark.createDataFrame(rows, "id int, y string, _v array<double>, _cat array<string>").drop("_cat")
+    odd = spark.createDataFrame([(1000, "a", [1.0, None, 0.0, 0.0]), (1001, "a", [1.0, float("nan"), 0.0, 0.0]), (1002, "a", None)], df.schema)
+    got = nn.nearest_neighbours(df.unionByName(odd), "y", "id", 4, block_rows=20, pivots=8)
+    assert sorted(tuple(r) for r in got.select("id", "nb_rank", "nb_key").collect()) == brute(rows, 4)
