@@ -81,6 +81,13 @@ def estimator(kind: str, n_features: int | None = None, n_classes: int | None =
     raise ValueError(f"unknown model kind {kind}")
 
 
+def fit_detached(learner, data: DataFrame):
+    """Fit, and leave out the training summary: of two classes it holds the session, which
+    every task that scores would carry, and which cannot be sent once it has observed a
+    frame.  A copy of a model has none."""
+    return learner.fit(data).copy()
+
+
 @dataclass
 class TrainedModel:
     pipeline: PipelineModel
@@ -177,7 +184,7 @@ def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, lab
     data = features.transform(data).select(FEATURES, "_cf_label", "_cf_weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_features = vector_size(data) if kind == "perceptron" else None
-        model = estimator(kind, n_features, len(classes), seed, **params).fit(data)
+        model = fit_detached(estimator(kind, n_features, len(classes), seed, **params), data)
     finally:
         data.unpersist()
     return TrainedModel(PipelineModel([*features.stages, model]), labels, label, numeric, categorical, classes)

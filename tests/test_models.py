@@ -185,3 +185,20 @@ def test_all_named_networks_have_widths():
     from colforge.presets import MLP_LAYOUTS
     named = [k for k in MLP_LAYOUTS if k.startswith("model_")]
     assert len(named) == 22 and all(MLP_LAYOUTS[k] for k in named)
+
+
+def _observe(spark):
+    """Once a session has observed a frame, it cannot be sent to tasks."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+
+
+def test_models_of_two_classes_score_without_the_session(spark, toy):
+    _observe(spark)
+    df = toy.withColumn("y2", F.when(F.col("x") > 30, "hi").otherwise("lo"))
+    chain = fit_chain(df, ["y", "y2"], ["x", "noise"], **SMALL)
+    out = chain.transform(toy.select("id", "x", "noise"))
+    assert out.where("y2_pred is not null").count() == 400
+    assert not any(m.pipeline.stages[-1].hasSummary for m in chain.models)
