@@ -18,7 +18,8 @@ from ..operators.encode import encode_columns
 from ..operators.evaluate import classification_report
 from ..operators.profile import with_class_weights
 from ..operators.split import stratified_folds
-from .models import FEATURES, TrainedModel, estimator, feature_stages, label_dictionary, prepare_features, train, vector_size
+from .models import (FEATURES, TrainedModel, estimator, feature_stages, fit_detached, label_dictionary, prepare_features, train,
+                     vector_size)
 
 
 SCORES = ("accuracy", "precision_macro", "recall_macro", "f1_macro")
@@ -72,7 +73,8 @@ def grid_search(df: DataFrame, label: str, key_cols, numeric, categorical=(), ki
 
         def score(job: tuple[dict, int]) -> dict[str, float]:
             point, fold = job
-            model = estimator(kind, size, n_classes, seed, **{**fixed, **point}).fit(data.where(F.col("_cf_fold") != fold))
+            learner = estimator(kind, size, n_classes, seed, **{**fixed, **point})
+            model = fit_detached(learner, data.where(F.col("_cf_fold") != fold))
             return confusion_scores(model.transform(data.where(F.col("_cf_fold") == fold)))
 
         with ThreadPool(max(1, parallelism)) as pool:

@@ -202,3 +202,14 @@ def test_models_of_two_classes_score_without_the_session(spark, toy):
     out = chain.transform(toy.select("id", "x", "noise"))
     assert out.where("y2_pred is not null").count() == 400
     assert not any(m.pipeline.stages[-1].hasSummary for m in chain.models)
+
+
+def test_stack_and_grid_of_two_classes_after_observing(spark, toy):
+    from colforge.ml.tuning import grid_search
+    _observe(spark)
+    level0 = {"forest": ("forest", SMALL), "mlp": ("perceptron", {"layout": "small", "maxIter": 2})}
+    model, held = fit_stack(toy, "y", ["id"], ["x", "noise"], level0=level0, level1=SMALL)
+    assert held.where("predicted in ('a', 'b')").count() == held.count() > 0
+    assert model.transform(toy).where("predicted in ('a', 'b')").count() == 400
+    _, metrics = grid_search(toy, "y", ["id"], ["x", "noise"], grid={"maxDepth": [2]}, folds=2, fixed={"numTrees": 3})
+    assert metrics.count() == 1
