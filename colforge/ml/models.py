@@ -32,6 +32,8 @@ from ..presets import GBT_LEVEL0, MAX_TREE_DEPTH, MLP_LAYOUTS
 COMPAT_NAMES = {"FTR": ("D", "W", "L"), "trend": ("D", "O", "I")}
 TREND_LABELS = {"NextTrend", "NextTrendRng"}
 MAX_CLASSES = 10_000
+#: Rows of a training frame in one partition, of which tree learners keep an object per row.
+ROWS_PER_TASK = 1_000_000
 
 
 def prob_name(c) -> str:
@@ -166,6 +168,7 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
 
 
 def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, labels, params) -> TrainedModel:
+    parts = partitions_wanted(data)
     labels = labels if labels is not None else label_dictionary(data, label)
     top = labels.limit(MAX_CLASSES + 1).collect()
     if len(top) > MAX_CLASSES:
@@ -181,6 +184,8 @@ def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, lab
     features = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
     if kind == "perceptron" and balanced:  # it takes no row weights
         data = replicate_by_weight(data, "_cf_label", "_cf_weight", [own(c) for c in [*numeric, *categorical]], seed)
+    if parts:
+        data = data.select(*[own(c) for c in [*numeric, *categorical]], "_cf_label", "_cf_weight").repartition(parts)
     data = features.transform(data).select(FEATURES, "_cf_label", "_cf_weight").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n_features = vector_size(data) if kind == "perceptron" else None
@@ -190,6 +195,17 @@ def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, lab
     return TrainedModel(PipelineModel([*features.stages, model]), labels, label, numeric, categorical, classes)
 
 
+def partitions_wanted(df: DataFrame) -> int | None:
+    """The number of partitions of ``ROWS_PER_TASK`` rows that ``df`` is to be dealt into;
+    None if no partition has more.  What a task of a fit reads and keeps is bounded by it,
+    however large the files or skewed the joins that ``df`` comes from."""
+    sizes = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    r = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.count(F.lit(1)).alias("parts")).first()
+    if not r["most"] or r["most"] <= ROWS_PER_TASK:
+        return None
+    return max(r["parts"], -(-r["rows"] // ROWS_PER_TASK))
+
+
 def replicate_by_weight(df: DataFrame, label: str, weight: str, key_cols, seed: int = 2) -> DataFrame:
     """Rows as often as their weight says, for a learner that takes none: each row the whole
     part of its class's weight, and of each class so many rows once more, those first in a

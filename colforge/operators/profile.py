@@ -20,6 +20,10 @@ from ..functions.missing import nan_to_null
 from ..session import bounded_broadcast, materialize
 
 
+#: Classes up to which their weights are read.
+FEW_CLASSES = 10_000
+
+
 def _clean(df: DataFrame, c: str) -> Column:
     t = dict(df.dtypes)[c]
     x = F.col(c)
@@ -63,9 +67,14 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """AG3 applied: attach the balanced weight of each row's class (for ``weightCol``).
-    The weights are one row per class, joined, and broadcast where that size is proven."""
+
+    The weights are one row per class.  A few are read and broadcast whatever Catalyst, which
+    takes them for a part of the table they were counted from, says of their size: joined by
+    a shuffle, all rows would lie in as many tasks as there are classes.  More are joined."""
     w = class_weights(df, label).select(F.col(label).alias("_cf_class"), F.col("weight").alias(weight_col))
-    return df.join(bounded_broadcast(w), F.col(label) == F.col("_cf_class"), "left").drop("_cf_class")
+    few = w.limit(FEW_CLASSES + 1).collect()
+    w = F.broadcast(df.sparkSession.createDataFrame(few, w.schema)) if len(few) <= FEW_CLASSES else bounded_broadcast(w)
+    return df.join(w, F.col(label) == F.col("_cf_class"), "left").drop("_cf_class")
 
 
 def missing_fraction(df: DataFrame, cols=None) -> DataFrame:

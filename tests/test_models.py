@@ -213,3 +213,30 @@ def test_stack_and_grid_of_two_classes_after_observing(spark, toy):
     assert model.transform(toy).where("predicted in ('a', 'b')").count() == 400
     _, metrics = grid_search(toy, "y", ["id"], ["x", "noise"], grid={"maxDepth": [2]}, folds=2, fixed={"numTrees": 3})
     assert metrics.count() == 1
+
+
+def test_class_weights_do_not_shuffle_the_rows(spark):
+    from colforge.operators.profile import with_class_weights
+    # an estimate of 400 MB: the weights of the classes are not taken for a large table
+    big = spark.range(50_000_000).select("id", F.when(F.col("id") % 4 == 0, 0.0).when(F.col("id") % 4 < 3, 1.0).alias("y"))
+    out = with_class_weights(big, "y")
+    parts = out.where("id < 1000").groupBy(F.col("y"), F.col("weight")).count().collect()
+    assert {(r.y, r.weight and round(r.weight, 12), r["count"]) for r in parts} == {(0.0, 1.5, 250), (1.0, 0.75, 500), (None, None, 250)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_training_rows_are_dealt_into_bounded_partitions(spark, monkeypatch):
+    df = spark.range(1000).select("id", (F.col("id") % 50).cast("double").alias("x"),
+                                  F.when(F.col("id") % 50 < 25, "a").otherwise("b").alias("y")).coalesce(2)
+    assert ml.partitions_wanted(df) is None and ml.partitions_wanted(df.where("id < 0")) is None
+    monkeypatch.setattr(ml, "ROWS_PER_TASK", 150)
+    assert ml.partitions_wanted(df) == 7
+    seen = []
+    fit = ml.fit_detached
+    monkeypatch.setattr(ml, "fit_detached", lambda e, data: seen.append(
+        [r["n"] for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]) or fit(e, data))
+    for kind, params in (("forest", SMALL), ("perceptron", {"maxIter": 2})):
+        m = ml.train(df, "y", ["x"], kind=kind, **params)
+        assert m.transform(df).where("predicted is not null").count() == 1000
+    assert all(sum(n) == 1000 and max(n) <= 150 for n in seen) and len(seen) == 2
