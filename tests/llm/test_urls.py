@@ -83,3 +83,34 @@ def test_native_plan(spark):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     plan = urls.filter_urls(df, spark.createDataFrame([], "url string, bad boolean"), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_plan_does_not_grow_with_the_suffixes(spark):
+    """The driver plans and compiles these expressions; nested per suffix they took its memory."""
+    pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
+    outcomes = spark.createDataFrame([("http://a.net/", True)], "url string, bad boolean")
+    sizes = [len(urls.filter_urls(pages, outcomes, RULES, suffixes=tuple(f"s{i}.uk" for i in range(n)))._jdf.queryExecution().optimizedPlan().toString())
+             for n in (1, 60)]
+    assert sizes[1] < sizes[0] + 4000
+
+
+def test_outcomes_are_read_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    outcomes = spark.createDataFrame([("http://a.net/", True), ("http://b.a.net/", False), (None, True)], "url string, bad boolean")
+    seen = F.udf(lambda u: (read.add(1), u)[1], "string").asNondeterministic()
+    pages = spark.createDataFrame([(1, "http://a.net/"), (2, "http://c.org/")], "page_id long, url string")
+    out = urls.filter_urls(pages, outcomes.select(seen("url").alias("url"), "bad"), RULES, suffixes=SUFFIXES)
+    assert out.count() == 2 and len(out.collect()) == 2
+    assert read.value == 3
+
+
+def test_suffixes_of_several_lengths(spark):
+    suffixes = ("co.uk", "a.co.uk", "org", "", "x.org")
+    hosts = ["", "uk", "co.uk", ".co.uk", "b.co.uk", "a.co.uk", "c.a.co.uk", "xa.co.uk", "x.org", "yx.org", "a.", "com.", "u@p.x.org:8", "a..co.uk", "é.x.org"]
+
+    def plain(host):
+        name = host.split("@")[-1].split(":")[0]
+        return max((s for s in suffixes if name == s or name.endswith("." + s)), key=len, default=name.split(".")[-1])
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {r[0]: r[1] for r in rows.select("host", urls.suffix_of(F.col("host"), suffixes)).collect()}
+    assert got == {h: plain(h) for h in hosts}
