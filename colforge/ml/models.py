@@ -34,6 +34,9 @@ TREND_LABELS = {"NextTrend", "NextTrendRng"}
 MAX_CLASSES = 10_000
 #: Rows of a training frame in one partition, of which tree learners keep an object per row.
 ROWS_PER_TASK = 1_000_000
+#: The same for a network, whose every epoch computes all rows at least once: a task is
+#: to take about a third of a second of it, so that all cores share the rows.
+NETWORK_ROWS_PER_TASK = 20_000
 
 
 def prob_name(c) -> str:
@@ -168,7 +171,7 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
 
 
 def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, labels, params) -> TrainedModel:
-    parts = partitions_wanted(data)
+    parts = partitions_wanted(data, min(ROWS_PER_TASK, NETWORK_ROWS_PER_TASK) if kind == "perceptron" else None)
     labels = labels if labels is not None else label_dictionary(data, label)
     top = labels.limit(MAX_CLASSES + 1).collect()
     if len(top) > MAX_CLASSES:
@@ -195,15 +198,16 @@ def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, lab
     return TrainedModel(PipelineModel([*features.stages, model]), labels, label, numeric, categorical, classes)
 
 
-def partitions_wanted(df: DataFrame) -> int | None:
-    """The number of partitions of ``ROWS_PER_TASK`` rows that ``df`` is to be dealt into;
+def partitions_wanted(df: DataFrame, rows_per_task: int | None = None) -> int | None:
+    """The number of partitions of ``rows_per_task`` rows (``ROWS_PER_TASK``) that ``df`` is to be dealt into;
     None if no partition has more.  What a task of a fit reads and keeps is bounded by it,
     however large the files or skewed the joins that ``df`` comes from."""
+    rows_per_task = rows_per_task or ROWS_PER_TASK
     sizes = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
     r = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.count(F.lit(1)).alias("parts")).first()
-    if not r["most"] or r["most"] <= ROWS_PER_TASK:
+    if not r["most"] or r["most"] <= rows_per_task:
         return None
-    return max(r["parts"], -(-r["rows"] // ROWS_PER_TASK))
+    return max(r["parts"], -(-r["rows"] // rows_per_task))
 
 
 def replicate_by_weight(df: DataFrame, label: str, weight: str, key_cols, seed: int = 2) -> DataFrame:

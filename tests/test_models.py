@@ -240,3 +240,16 @@ def test_training_rows_are_dealt_into_bounded_partitions(spark, monkeypatch):
         m = ml.train(df, "y", ["x"], kind=kind, **params)
         assert m.transform(df).where("predicted is not null").count() == 1000
     assert all(sum(n) == 1000 and max(n) <= 150 for n in seen) and len(seen) == 2
+
+
+def test_rows_of_a_network_are_shared_by_tasks_that_a_forest_takes_in_one(spark, monkeypatch):
+    df = spark.range(45_000).select("id", (F.col("id") % 50).cast("double").alias("x"),
+                                    F.when(F.col("id") % 50 < 25, "a").otherwise("b").alias("y")).coalesce(1)
+    seen = []
+    fit = ml.fit_detached
+    monkeypatch.setattr(ml, "fit_detached", lambda e, data: seen.append(
+        [r["n"] for r in data.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]) or fit(e, data))
+    for kind, params in (("forest", {"numTrees": 1, "maxDepth": 2}), ("perceptron", {"maxIter": 1})):
+        assert ml.train(df, "y", ["x"], kind=kind, balanced=False, **params).transform(df).count() == 45_000
+    assert seen[0] == [45_000]
+    assert sum(seen[1]) == 45_000 and max(seen[1]) <= 20_000
