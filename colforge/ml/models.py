@@ -157,6 +157,14 @@ def label_dictionary(df: DataFrame, label: str) -> DataFrame:
     return fit_dictionary(df.select(label), [label])
 
 
+def read_classes(labels: DataFrame, label: str) -> list:
+    """The values of a label's dictionary in the order of their codes."""
+    top = labels.limit(MAX_CLASSES + 1).collect()
+    if len(top) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return [r["value"] for r in sorted(top, key=lambda r: r["code"])]
+
+
 def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "forest", balanced: bool = True,
           seed: int = 2, labels: DataFrame | None = None, **params) -> TrainedModel:
     """ML1–ML4: fit one classifier on ``df``; rows with a missing label are skipped."""
@@ -173,10 +181,7 @@ def train(df: DataFrame, label: str, numeric, categorical=(), kind: str = "fores
 def _fit(data: DataFrame, label, numeric, categorical, kind, balanced, seed, labels, params) -> TrainedModel:
     parts = partitions_wanted(data, min(ROWS_PER_TASK, NETWORK_ROWS_PER_TASK) if kind == "perceptron" else None)
     labels = labels if labels is not None else label_dictionary(data, label)
-    top = labels.limit(MAX_CLASSES + 1).collect()
-    if len(top) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    classes = [r["value"] for r in sorted(top, key=lambda r: r["code"])]
+    classes = read_classes(labels, label)
     data = encode_columns(data, labels.withColumn("feature", F.lit(label)), [label], suffix="_cf_code")
     data = data.withColumn("_cf_label", F.col(f"{label}_cf_code").cast("double"))
     if balanced:

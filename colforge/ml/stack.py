@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.split import stacking_split, stratified_split
 from ..presets import RF_LEVEL0, RF_LEVEL1
 from ..session import materialize
+from .cells import CELL_PARAMS, fit_links
 from .models import TrainedModel, prob_name, train
 
 
@@ -131,8 +132,13 @@ class ChainModel:
 def fit_chain(df: DataFrame, targets, numeric, categorical=(), kind: str = "forest", seed: int = 2,
               checkpoint_every: int = 5, **params) -> ChainModel:
     """ML12: target *i* is trained on the base features plus the predictions of the
-    targets before it (predictions, not true values, so training matches scoring)."""
+    targets before it (predictions, not true values, so training matches scoring).
+    Forests of many rows are fitted on counted cells where those are far fewer."""
     targets, numeric = list(targets), list(numeric)
+    if kind == "forest" and not categorical and set(params) <= CELL_PARAMS:
+        models = fit_links(df, targets, numeric, seed, params)
+        if models is not None:
+            return ChainModel(targets, models)
     models = []
     cur = df
     feats = list(numeric)

@@ -45,10 +45,12 @@ def group_mean(df: DataFrame, key: str, col: str, name: str | None = None,
     return df.join(bounded_broadcast(means, max_broadcast_rows), on=key, how="left")
 
 
-def _counts_and_totals(df: DataFrame, label: str):
+def _counts_and_totals(df: DataFrame, label: str, rows: str | None = None):
     """Per-value counts plus the two scalars (rows, distinct values) read with one
-    aggregation over the counts, so no single-partition window spans all values."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    aggregation over the counts, so no single-partition window spans all values.  Where a
+    row stands for several, ``rows`` names the column with their number."""
+    n = F.sum(rows) if rows else F.count(F.lit(1))
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(n.alias("count"))
     tot = counts.agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("k")).first()
     return counts, (tot["n"] or 0), (tot["k"] or 0)
 
@@ -59,19 +61,19 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("ratio", F.col("count") / F.lit(n))
 
 
-def class_weights(df: DataFrame, label: str) -> DataFrame:
+def class_weights(df: DataFrame, label: str, rows: str | None = None) -> DataFrame:
     """AG3: balanced weights n / (k · n_c) per class."""
-    counts, n, k = _counts_and_totals(df, label)
+    counts, n, k = _counts_and_totals(df, label, rows)
     return counts.withColumn("weight", F.lit(n) / (F.lit(k) * F.col("count")))
 
 
-def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, weight_col: str = "weight", rows: str | None = None) -> DataFrame:
     """AG3 applied: attach the balanced weight of each row's class (for ``weightCol``).
 
     The weights are one row per class.  A few are read and broadcast whatever Catalyst, which
     takes them for a part of the table they were counted from, says of their size: joined by
     a shuffle, all rows would lie in as many tasks as there are classes.  More are joined."""
-    w = class_weights(df, label).select(F.col(label).alias("_cf_class"), F.col("weight").alias(weight_col))
+    w = class_weights(df, label, rows).select(F.col(label).alias("_cf_class"), F.col("weight").alias(weight_col))
     few = w.limit(FEW_CLASSES + 1).collect()
     w = F.broadcast(df.sparkSession.createDataFrame(few, w.schema)) if len(few) <= FEW_CLASSES else bounded_broadcast(w)
     return df.join(w, F.col(label) == F.col("_cf_class"), "left").drop("_cf_class")
