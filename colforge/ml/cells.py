@@ -1,4 +1,4 @@
-"""Forests of many rows, fitted over cells of binned features (ML11, ML12).
+"""Forests of many rows, fitted and applied over cells of binned features (ML11, ML12).
 
 Spark's tree learner sees a row only through the bins of its features (``maxBins``), its
 label and how often each tree drew it.  Rows that agree in bins, which are at least as
@@ -31,7 +31,7 @@ from .models import FEATURES, MAX_CLASSES, TrainedModel, estimator, fit_detached
 
 #: Rows from which a chain of forests is fitted on cells: fewer take less time as they are.
 CELL_ROWS = 4_000_000
-#: Bins of all features together, multiplied.
+#: Bins of all features together, multiplied: as many cells are scored and broadcast.
 MAX_GRID = 1 << 20
 #: Most bins of a feature.
 MAX_BINS = 1024
@@ -201,3 +201,31 @@ def fit_links(df: DataFrame, targets, numeric, seed: int, params: dict) -> list[
         cells = score_cells(cells, m, more, f"{t}_pred")
         more.append(f"{t}_pred")
     return models
+
+
+def shared_bins(models: list[TrainedModel]) -> Bucketizer | None:
+    """The bins of the first features of all links, if the chain was fitted on cells."""
+    first = [m.pipeline.stages[0] for m in models]
+    if all(isinstance(b, Bucketizer) for b in first) and len({repr((b.getInputCols(), b.getSplitsArray())) for b in first}) == 1:
+        return first[0]
+    return None
+
+
+def predict_links(df: DataFrame, models: list[TrainedModel], targets, bins: Bucketizer) -> DataFrame:
+    """Adds ``<target>_pred`` for every link: every cell that the bins can make is scored
+    once, and each row looks up its own."""
+    numeric = models[0].numeric
+    sizes = [len(s) - 1 for s in bins.getSplitsArray()]
+    strides = [math.prod(sizes[:i]) for i in range(len(sizes))]
+    n = grid_size(bins)
+    grid = df.sparkSession.range(0, n, 1, -(-n // CELLS_PER_TASK)).withColumns(
+        {b: (F.floor(F.col("id") / F.lit(s)) % k).cast("double") for b, s, k in zip(bins.getOutputCols(), strides, sizes)})
+    made = [f"{t}_pred" for t in targets]
+    for i, m in enumerate(models):
+        grid = score_cells(grid, m, made[:i], made[i])
+    table = grid.select(F.col("id").alias("_cf_cell"), *made)
+    cell = sum((F.col(b).cast("bigint") * s for b, s in zip(bins.getOutputCols(), strides)), F.lit(0).cast("bigint"))
+    drop = {*targets, *made, "prediction", "predicted", "rawPrediction", "probability", *[c for m in models for c in m.probability_columns]}
+    kept = [c for c in df.columns if c not in drop]
+    rows = bins.transform(prepare_features(df, numeric)).select(*[F.col(f"`{c}`") for c in kept], cell.alias("_cf_cell"))
+    return rows.join(F.broadcast(table), "_cf_cell", "left").select(*[F.col(f"`{c}`") for c in kept], *made)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators.split import stacking_split, stratified_split
 from ..presets import RF_LEVEL0, RF_LEVEL1
 from ..session import materialize
-from .cells import CELL_PARAMS, fit_links
+from .cells import CELL_PARAMS, fit_links, predict_links, shared_bins
 from .models import TrainedModel, prob_name, train
 
 
@@ -118,7 +118,11 @@ class ChainModel:
 
     def transform(self, df: DataFrame, checkpoint_every: int = 5) -> DataFrame:
         """ML11: apply the chain in order; each prediction becomes a feature of the next.
-        The plan is materialised every few links to keep the lineage short."""
+        The plan is materialised every few links to keep the lineage short; a chain fitted
+        on cells is scored on cells, which needs no more than one join."""
+        bins = shared_bins(self.models)
+        if bins is not None:
+            return predict_links(df, self.models, self.targets, bins)
         out = df
         for i, (t, m) in enumerate(zip(self.targets, self.models), start=1):
             pred = m.transform(out.drop(*[c for c in (t,) if c in out.columns]))

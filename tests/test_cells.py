@@ -1,4 +1,4 @@
-"""Chains of forests that are fitted over cells of binned features."""
+"""Chains of forests that are fitted and applied over cells of binned features."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -96,3 +96,15 @@ def test_split_points_follow_the_tree_learner():
 def test_rows_weigh_by_their_labels():
     found = cells.label_weights([("a", 1, 30), ("b", 1, 10), ("b", None, 20)], ["y", "w"])
     assert found == {("a", 1): 1.0, ("b", 1): 1.0, ("b", None): 0.5}
+
+
+def test_chain_scores_cells_as_it_scores_rows(many, monkeypatch):
+    chain = fit_chain(many, ["y", "w"], ["x", "z"], **SMALL)
+    odd = many.select("id", (F.col("x") * 1.37 - 20).alias("x"), F.when(F.col("id") % 3 > 0, F.col("z") * 2).otherwise(F.lit(float("nan"))).alias("z"))
+    odd = odd.union(odd.limit(5)).union(odd.selectExpr("id", "CAST(NULL AS DOUBLE)", "CAST('Infinity' AS DOUBLE)").limit(5))
+    fast = chain.transform(odd)
+    assert "_cf_cell" in fast._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr("colforge.ml.stack.shared_bins", lambda models: None)
+    slow = chain.transform(odd)
+    assert fast.columns == slow.columns and fast.schema == slow.schema
+    assert fast.exceptAll(slow).count() == slow.exceptAll(fast).count() == 0 and fast.count() == 6_010
