@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..operators.encode import encode_columns
 from ..operators.profile import with_class_weights
-from ..session import materialize
+from ..session import materialize, remove_scratch, write_scratch
 from .models import FEATURES, MAX_CLASSES, TrainedModel, estimator, fit_detached, label_dictionary, own, prepare_features, read_classes
 
 #: Rows from which a chain of forests is fitted on cells: fewer take less time as they are.
@@ -107,15 +107,18 @@ def grid_size(bins: Bucketizer) -> int:
     return math.prod(len(s) - 1 for s in bins.getSplitsArray())
 
 
-def count_cells(df: DataFrame, bins: Bucketizer, numeric, targets, trees: int, seed: int) -> DataFrame:
-    """One row per cell, that is per bins and labels: its rows ``_cf_n`` and how often each
-    tree draws them, ``_cf_draws``, by a generator seeded with the cell itself."""
-    keys = [*bins.getOutputCols(), *targets]
+def count_cells(df: DataFrame, bins: Bucketizer, numeric, targets) -> DataFrame:
+    """One row per cell, that is per bins and labels, with its number of rows ``_cf_n``."""
     cells = bins.transform(prepare_features(df.select(*dict.fromkeys([*numeric, *targets])), numeric))
     # The cast leaves out the attribute by which the learner would take bins for categories.
     cells = cells.select(*[F.col(b).cast("int").alias(b) for b in bins.getOutputCols()], *targets)
-    cells = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cf_n"))
-    cells = cells.withColumn("_cf_key", F.xxhash64(F.lit(seed), *keys, *[F.col(c).isNull() for c in targets]))
+    return cells.groupBy(*bins.getOutputCols(), *targets).agg(F.count(F.lit(1)).alias("_cf_n"))
+
+
+def with_draws(cells: DataFrame, bins: Bucketizer, targets, trees: int, seed: int) -> DataFrame:
+    """Adds how often each tree draws the rows of a cell, ``_cf_draws``, by a generator
+    seeded with the cell itself."""
+    cells = cells.withColumn("_cf_key", F.xxhash64(F.lit(seed), *bins.getOutputCols(), *targets, *[F.col(c).isNull() for c in targets]))
     schema = T.StructType([*cells.schema.fields, T.StructField("_cf_draws", T.ArrayType(T.LongType()))])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,11 +192,14 @@ def fit_links(df: DataFrame, targets, numeric, seed: int, params: dict) -> list[
     bins = fit_bins(df, numeric, targets, counts, trees.getMaxBins(), seed)
     if bins is None:
         return None
-    cells = materialize(count_cells(df, bins, numeric, targets, trees.getNumTrees(), seed), "chain-cells")
+    path = write_scratch(count_cells(df, bins, numeric, targets), "chain-counts")
+    cells = df.sparkSession.read.parquet(path)
     n = cells.count()
     if n * ROWS_PER_CELL > rows:
+        remove_scratch(df.sparkSession, path)
         return None
     cells = cells.repartition(-(-n // CELLS_PER_TASK))
+    cells = materialize(with_draws(cells, bins, targets, trees.getNumTrees(), seed), "chain-cells")
     models, more = [], []
     for t in targets:
         m = grow_forest(cells, t, bins, numeric, more, seed, params)

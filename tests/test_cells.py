@@ -67,12 +67,12 @@ def test_draws_of_a_cell_add_up_to_those_of_its_rows(many):
     counts = many.groupBy("y", "w").count().collect()
     bins = cells.fit_bins(many, ["x", "z"], ["y", "w"], counts, 32, 2)
     assert cells.grid_size(bins) == 100 * 13
-    found = cells.count_cells(many, bins, ["x", "z"], ["y", "w"], 50, 2)
+    found = cells.with_draws(cells.count_cells(many, bins, ["x", "z"], ["y", "w"]), bins, ["y", "w"], 50, 2)
     total = found.agg(F.sum("_cf_n"), F.sum(F.aggregate("_cf_draws", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()
     assert total[0] == 6_000 and abs(total[1] / 50 / 6_000 - 1) < 0.02
     spread = found.select("_cf_n", F.explode("_cf_draws").alias("d")).agg(F.avg((F.col("d") - F.col("_cf_n")) ** 2 / F.col("_cf_n"))).first()[0]
     assert abs(spread - 1) < 0.1  # variance of a Poisson number is its mean
-    again = cells.count_cells(many.repartition(3), bins, ["x", "z"], ["y", "w"], 50, 2)
+    again = cells.with_draws(cells.count_cells(many.repartition(3), bins, ["x", "z"], ["y", "w"]).repartition(3), bins, ["y", "w"], 50, 2)
     assert found.exceptAll(again).count() == again.exceptAll(found).count() == 0
 
 
